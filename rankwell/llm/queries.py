@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rankwell.llm import bpe
+from rankwell.llm import bpe, tokenfile
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,7 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op4_simple8b_tokens": lambda spark, d: tokenfile.op4_simple8b_tokens(spark, _documents(spark, d)),
         "op6_byte_bpe": lambda spark, d: bpe.op6_byte_bpe(spark, _documents(spark, d)),
     }
 
