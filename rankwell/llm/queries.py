@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rankwell.llm import bpe, tokenfile
+from rankwell.llm import bpe, simhash, tokenfile
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,7 @@ def queries() -> dict[str, Query]:
     return {
         "op4_simple8b_tokens": lambda spark, d: tokenfile.op4_simple8b_tokens(spark, _documents(spark, d)),
         "op6_byte_bpe": lambda spark, d: bpe.op6_byte_bpe(spark, _documents(spark, d)),
+        "op10_simhash_gray": lambda spark, d: simhash.op10_simhash_gray(spark, _documents(spark, d)),
     }
 
 
