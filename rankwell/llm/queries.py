@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rankwell.llm import bpe, simhash, tokenfile, toxicity
+from rankwell.llm import bpe, cotrain, simhash, tokenfile, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,7 @@ def queries() -> dict[str, Query]:
     return {
         "op3_toxicity_gbt": lambda spark, d: toxicity.op3_toxicity_gbt(spark, _documents(spark, d), _labels(spark, d)),
         "op4_simple8b_tokens": lambda spark, d: tokenfile.op4_simple8b_tokens(spark, _documents(spark, d)),
+        "op5_cotrain_quality": lambda spark, d: cotrain.op5_cotrain_quality(spark, _documents(spark, d), _labels(spark, d)),
         "op6_byte_bpe": lambda spark, d: bpe.op6_byte_bpe(spark, _documents(spark, d)),
         "op10_simhash_gray": lambda spark, d: simhash.op10_simhash_gray(spark, _documents(spark, d)),
     }
