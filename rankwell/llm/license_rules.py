@@ -31,7 +31,7 @@ apache licen[cs]e (?:version |v)?2(?: 0)?
 apache 2(?: 0)? licen[cs]ed?
 apache org licenses license 2 0
 spdx license identifier apache 2 0
-[asl 2 0 apache]
+asl 2 0 apache
 [apache-1.1 2 apache]
 apache software licen[cs]e (?:version )?1 1
 spdx license identifier apache 1 1
@@ -43,7 +43,8 @@ apache (?:software )?licen[cs]e
 apache software foundation
 [gpl-3.0-or-later 3 general public]
 gnu general public licen[cs]e (?:as published by the free software foundation )?(?:either )?version 3 (?:of the licen[cs]e )?or (?:at your option )?any later version
-[gpl 3 0 or later]
+[gpl-3.0-or-later 2 gpl]
+gpl 3 0 or later
 spdx license identifier gpl 3 0 or later
 [gpl-3.0 3 general public]
 gnu general public licen[cs]e version 3
@@ -57,7 +58,7 @@ spdx license identifier gpl 3 0(?: only)?
 [gpl-2.0-or-later 3 general public]
 gnu general public licen[cs]e (?:as published by the free software foundation )?(?:either )?version 2 (?:of the licen[cs]e )?or (?:at your option )?any later version
 [gpl-2.0-or-later 2 gpl]
-[gpl 2 0 or later]
+gpl 2 0 or later
 gpl ?v?2 or later
 [gpl-2.0 3 general public]
 gnu general public licen[cs]e version 2
@@ -78,7 +79,7 @@ gpl licen[cs]ed?
 under the gpl
 [gpl-classpath 3 classpath]
 classpath exception
-[gpl 2 0 with classpath exception 2 0]
+gpl 2 0 with classpath exception 2 0
 [lgpl-3.0 3 lesser]
 gnu lesser general public licen[cs]e (?:version |v)3(?: 0)?
 [lgpl-2.1 3 lesser]
@@ -113,7 +114,7 @@ everyone is permitted to copy and distribute verbatim copies
 cc0 1 0 universal
 released under cc0
 [cc0-1.0 2 cc0]
-[cc0(?: 1 0)?]
+cc0(?: 1 0)?
 spdx license identifier cc0 1 0
 [cc-by-4.0 3 cc by]
 licensed under (?:a |the )?cc by 4 0
@@ -180,20 +181,20 @@ odbl 1 0
 open data commons attribution licen[cs]e
 odc by(?: 1 0)?
 [bsd-3-clause 3 bsd]
-[bsd 3 clause (?:new |revised )?licen[cs]e]
+bsd 3 clause (?:new |revised )?licen[cs]e
 (?:new|revised|modified) bsd licen[cs]e
 three clause bsd licen[cs]e
 3 clause bsd licen[cs]e
 [bsd-3-clause 2 bsd]
-[bsd 3 clause]
+bsd 3 clause
 spdx license identifier bsd 3 clause
 [bsd-2-clause 3 bsd]
-[bsd 2 clause (?:simplified )?licen[cs]e]
+bsd 2 clause (?:simplified )?licen[cs]e
 (?:simplified|freebsd) bsd licen[cs]e
 two clause bsd licen[cs]e
 2 clause bsd licen[cs]e
 [bsd-2-clause 2 bsd]
-[bsd 2 clause]
+bsd 2 clause
 spdx license identifier bsd 2 clause
 [bsd-4-clause 3 bsd]
 bsd 4 clause (?:original |old )?licen[cs]e
@@ -247,7 +248,7 @@ eupl(?: (?:version |v)?1 [012])?
 [cddl 3 common development and distribution]
 common development and distribution licen[cs]e(?: (?:version |v)?1 [01])?
 [cddl 2 cddl]
-[cddl(?: 1 [01])?]
+cddl(?: 1 [01])?
 [cpl-1.0 3 common public licen]
 common public licen[cs]e(?: (?:version |v)?1 0)?
 [ipl-1.0 3 ibm public]
