@@ -49,7 +49,8 @@ class Lexicon:
             return 0.0
         a, b, p, n = *found, self.toxic, self.other
         if label is not None:
-            a, b, p, n = a - label, b - 1 + label, p - label, n - 1 + label
+            # a disguised word may not have been counted for this text
+            a, b, p, n = max(0, a - label), max(0, b - 1 + label), p - label, n - 1 + label
         odds = math.log(((a + 0.5) / (p + 1)) / ((b + 0.5) / (n + 1)))
         return odds if odds >= 1.4 and a >= 2 else 0.0
 
