@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rankwell.llm import bpe, cotrain, htmldiff, licenses, mixing, simhash, tokenfile, toxicity
+from rankwell.llm import ann, bpe, cotrain, htmldiff, licenses, mixing, simhash, tokenfile, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,7 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_license_scan": lambda spark, d: licenses.op1_license_scan(spark, _documents(spark, d)),
+        "op2_collision_ann": lambda spark, d: ann.op2_collision_ann(spark, spark.read.parquet(f"{d}/embeddings.parquet")),
         "op3_toxicity_gbt": lambda spark, d: toxicity.op3_toxicity_gbt(spark, _documents(spark, d), _labels(spark, d)),
         "op4_simple8b_tokens": lambda spark, d: tokenfile.op4_simple8b_tokens(spark, _documents(spark, d)),
         "op5_cotrain_quality": lambda spark, d: cotrain.op5_cotrain_quality(spark, _documents(spark, d), _labels(spark, d)),
