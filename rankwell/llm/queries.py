@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rankwell.llm import ann, bpe, cotrain, htmldiff, licenses, mixing, simhash, tokenfile, toxicity
+from rankwell.llm import ann, bpe, cotrain, htmldiff, iblt, licenses, mixing, simhash, tokenfile, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,7 @@ def queries() -> dict[str, Query]:
         "op4_simple8b_tokens": lambda spark, d: tokenfile.op4_simple8b_tokens(spark, _documents(spark, d)),
         "op5_cotrain_quality": lambda spark, d: cotrain.op5_cotrain_quality(spark, _documents(spark, d), _labels(spark, d)),
         "op6_byte_bpe": lambda spark, d: bpe.op6_byte_bpe(spark, _documents(spark, d)),
+        "op7_iblt_fingerprint": lambda spark, d: iblt.op7_iblt_fingerprint(spark, _documents(spark, d)),
         "op8_pivotal_mix": lambda spark, d: mixing.op8_pivotal_mix(spark, _documents(spark, d)),
         "op9_html_url_diff": lambda spark, d: htmldiff.op9_html_url_diff(spark, spark.read.parquet(f"{d}/pages.parquet")),
         "op10_simhash_gray": lambda spark, d: simhash.op10_simhash_gray(spark, _documents(spark, d)),
