@@ -18,11 +18,11 @@ PROJECTIONS = 64
 THRESHOLD = 0.7
 #: Half width of the first window over unit vectors, and the factor by which windows grow (virtual rehashing): the
 #: first up to half width WIDE, where only close neighbours collide, then the second, where every step adds many.
-FIRST, GROWTH, WIDE, SLOW_GROWTH = 0.012, 1.5, 0.08, 1.1
+FIRST, GROWTH, WIDE, SLOW_GROWTH = 0.025, 2.2, 0.12, 1.08
 #: Verified vectors of a block at which a query stops there: this share of the block, and SPARE times the neighbours wanted.
-VERIFY, SPARE = 0.1, 7
-#: Vectors of one index block, and queries that meet it in one task.
-BLOCK, QUERIES = 8_192, 512
+VERIFY, SPARE = 0.05, 10
+#: Vectors of one index block (places must fit 16 bits), and queries that meet it in one task.
+BLOCK, QUERIES = 16_384, 512
 SEED = 11
 
 
@@ -47,23 +47,22 @@ class Index:
         rest = np.sqrt(np.maximum(0.0, 1 - (scaled * scaled).sum(1)))
         self.longest = longest
         placed = np.column_stack([scaled, rest]) @ projections(vectors.shape[1] + 1)
-        self.order = np.argsort(placed, axis=0, kind="stable").T.astype(np.int64)
-        self.sorted = np.take_along_axis(placed, self.order.T, axis=0).T
+        order = np.argsort(placed, axis=0, kind="stable")
+        self.sorted = np.ascontiguousarray(np.take_along_axis(placed, order, axis=0).T)
+        self.place = np.empty((placed.shape[1], len(placed)), np.uint16)  # of each vector in each sorted array
+        np.put_along_axis(self.place, order.T, np.arange(len(placed), dtype=np.uint16)[None, :], axis=1)
 
     def search(self, queries: np.ndarray, own: list[np.ndarray], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each query the positions and inner products of its verified vectors; `own` has the positions left out.
 
-        All windows of a query widen together. A vector that has collided in THRESHOLD of the projections
-        is verified once. A query ends when k verified vectors lie within the radius that its windows stand for,
+        All windows of a query widen together; a window is an interval of places in a sorted array, so a vector
+        collides where its place lies inside. A vector that collides in THRESHOLD of the projections is verified once. A query ends when k verified vectors lie within the radius that its windows stand for,
         when VERIFY of the block and SPARE times k more have been verified, or when its windows hold the whole block.
         """
-        n, m = len(self.vectors), len(self.order)
+        n, m = len(self.vectors), len(self.sorted)
         lengths = np.sqrt((queries * queries).sum(1))
         # one product a query, for a row of a larger product may differ in its last bits with the rows beside it
         centres = np.stack([np.append(q / length, 0.0) @ projections(len(q) + 1) for q, length in zip(queries, lengths, strict=True)])
-        low = np.stack([np.searchsorted(self.sorted[i], centres[:, i]) for i in range(m)], axis=1)
-        high = low.copy()
-        counts = np.zeros((len(queries), n), np.int16)
         verified = np.zeros((len(queries), n), bool)
         for q, rows in enumerate(own):
             verified[q, rows] = True
@@ -72,24 +71,23 @@ class Index:
         total = np.zeros(len(queries), np.int64)
         need, most, half = int(np.ceil(THRESHOLD * m)), SPARE * k + int(VERIFY * n), FIRST
         active = np.arange(len(queries))
+        offset, inside = np.empty((m, n), np.uint16), np.empty((m, n), bool)
         while len(active):
-            new_low = np.stack([np.searchsorted(self.sorted[i], centres[active, i] - half) for i in range(m)], axis=1)
-            new_high = np.stack([np.searchsorted(self.sorted[i], centres[active, i] + half, "right") for i in range(m)], axis=1)
-            left, right = low[active], high[active]
-            low[active], high[active] = np.minimum(left, new_low), np.maximum(right, new_high)
+            low = np.stack([np.searchsorted(self.sorted[i], centres[active, i] - half) for i in range(m)], axis=1)
+            high = np.stack([np.searchsorted(self.sorted[i], centres[active, i] + half, "right") for i in range(m)], axis=1)
             still = []
-            for q, *spans in zip(active.tolist(), low[active].tolist(), left.tolist(), right.tolist(), high[active].tolist(), strict=True):
-                fresh = [row[a:b] for row, a, b in zip(self.order, spans[0], spans[1], strict=True) if b > a]
-                fresh += [row[a:b] for row, a, b in zip(self.order, spans[2], spans[3], strict=True) if b > a]
-                if fresh:
-                    counts[q] += np.bincount(np.concatenate(fresh), minlength=n).astype(np.int16)
-                hit = np.flatnonzero((counts[q] >= need) & ~verified[q])
+            for row, q in enumerate(active.tolist()):
+                # places below the window wrap around and are far above its width
+                np.subtract(self.place, low[row].astype(np.uint16)[:, None], out=offset)
+                np.less(offset, (high[row] - low[row]).astype(np.uint16)[:, None], out=inside)
+                counts = np.add.reduce(inside.view(np.uint8), axis=0, dtype=np.uint8)
+                hit = np.flatnonzero((counts >= need) & ~verified[q])
                 if len(hit):
                     verified[q, hit] = True
                     found[q].append(hit)
                     scores[q].append((self.vectors[hit] * queries[q]).sum(1))
                     total[q] += len(hit)
-                if total[q] >= most or (max(spans[0]) == 0 and min(spans[3]) == n):
+                if total[q] >= most or (high[row] - low[row]).min() == n:
                     continue
                 if total[q] >= k:
                     best = np.partition(np.concatenate(scores[q]), -k)[-k]
