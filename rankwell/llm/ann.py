@@ -20,7 +20,7 @@ THRESHOLD = 0.7
 #: first up to half width WIDE, where only close neighbours collide, then the second, where every step adds many.
 FIRST, GROWTH, WIDE, SLOW_GROWTH = 0.025, 2.2, 0.12, 1.08
 #: Verified vectors of a block at which a query stops there: this share of the block, and SPARE times the neighbours wanted.
-VERIFY, SPARE = 0.05, 10
+VERIFY, SPARE = 0.05, 20
 #: Vectors of one index block (places must fit 16 bits), and queries that meet it in one task.
 BLOCK, QUERIES = 16_384, 512
 SEED = 11
