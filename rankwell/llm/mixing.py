@@ -162,6 +162,6 @@ def op8_pivotal_mix(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The documents of the mix, each as often as it is taken, with the columns of docs."""
-    columns = docs.columns
-    made = mix(docs)
-    return made.filter("copies > 0").select(*columns, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("__copy")).drop("__copy")
+    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("__doc"), docs["doc_id"].alias("__id"), docs["source"].alias("__source"), docs["text"].alias("__text"))
+    made = mix(packed, "__text", "__source", "__id", keep=["__doc"])
+    return made.filter("copies > 0").select("__doc.*", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("__copy")).drop("__copy")

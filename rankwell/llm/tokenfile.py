@@ -20,6 +20,8 @@ from rankwell.llm.common import shared_dir
 
 #: Ids after which a segment is closed; one document may exceed it.
 SEGMENT_IDS = 1 << 20
+#: Segments up to which their starts (three integers each) are broadcast to the readers; beyond, they are joined.
+FEW_SEGMENTS = 100_000
 #: Pieces of words whose ids a worker keeps; beyond it the memory is emptied and filled anew.
 CACHE_PIECES = 500_000
 #: Bytes of text that are encoded at once.
@@ -169,6 +171,8 @@ def read_tokens(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataF
     inside = W.partitionBy("shard").orderBy("segment").rowsBetween(W.unboundedPreceding, -1)
     index = table.select("shard", "segment", F.coalesce(F.sum("n_ids").over(inside), F.lit(0)).alias("inside")).join(before, "shard")
     starts = index.select(F.col("shard").alias("s"), F.col("segment").alias("g"), (F.col("base") + F.col("inside")).alias("at"))
+    if table.count() <= FEW_SEGMENTS:
+        starts = F.broadcast(starts)
     opened = table.select("shard", "segment", "data").join(starts, (F.col("shard") == F.col("s")) & (F.col("segment") == F.col("g"))).select("at", "data")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
