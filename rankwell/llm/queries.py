@@ -11,8 +11,14 @@ from rankwell.llm import ann, bpe, cotrain, htmldiff, iblt, licenses, mixing, si
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _spread(scan: DataFrame) -> DataFrame:
+    """A scan with fewer parts than there are cores (a small table in one file), dealt over all cores."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return _spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,7 +35,7 @@ def queries() -> dict[str, Query]:
         "op6_byte_bpe": lambda spark, d: bpe.op6_byte_bpe(spark, _documents(spark, d)),
         "op7_iblt_fingerprint": lambda spark, d: iblt.op7_iblt_fingerprint(spark, _documents(spark, d)),
         "op8_pivotal_mix": lambda spark, d: mixing.op8_pivotal_mix(spark, _documents(spark, d)),
-        "op9_html_url_diff": lambda spark, d: htmldiff.op9_html_url_diff(spark, spark.read.parquet(f"{d}/pages.parquet")),
+        "op9_html_url_diff": lambda spark, d: htmldiff.op9_html_url_diff(spark, _spread(spark.read.parquet(f"{d}/pages.parquet"))),
         "op10_simhash_gray": lambda spark, d: simhash.op10_simhash_gray(spark, _documents(spark, d)),
     }
 
