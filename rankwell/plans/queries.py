@@ -368,7 +368,14 @@ def clean_text(spark, d):
     return load(spark, d, "documents").select("doc_id", text.clean_text(spoiled).alias("cleaned"))
 
 
-@query()
+def _markup_sql(column: str) -> str:
+    """The steps of `text.strip_markup` for a column, in the dialect of the checking engine."""
+    for pattern, to in (("(?s)<!--.*?-->", ""), ("(?i)<br\\s*/?>", " "), ("\\[(?:https?:)?//[^\\s\\]]+\\s+([^\\]]*)\\]", "\\1"), ("\\[(?:https?:)?//[^\\s\\]]+\\]", ""), ("\\[\\[(?:[^\\]|]*\\|)?([^\\]|]*)\\]\\]", "\\1"), *[("\\{\\{[^{}]*\\}\\}", "")] * 3, ("</?[a-zA-Z][^>]*>", ""), ("''{2,5}", ""), ("\\s+", " ")):
+        column = f"regexp_replace({column}, '{pattern}', '{to}', 'g')"
+    return f"trim({column})"
+
+
+@query(f"SELECT doc_id, {_markup_sql('w')} AS readable FROM (SELECT doc_id, '''''''[[Page|' || string_split(text, chr(10))[1] || ']]'''''' {{{{a|{{{{b}}}}}}}} <br/>[https://x.org label] <!-- no -->' AS w FROM documents)")
 def strip_markup(spark, d):
     wiki = F.concat(lit("'''[[Page|"), F.split("text", "\n")[0], lit("]]''' {{a|{{b}}}} <br/>[https://x.org label] <!-- no -->"))
     return load(spark, d, "documents").select("doc_id", text.strip_markup(wiki).alias("readable"))
@@ -409,13 +416,13 @@ def match_page_documents(spark, d):
     return readers.normalize_match_page(pages, datetime(2024, 1, 1)).select("page_id", "status", "team_1", "team_2", "score_1", "score_2", "map_count")
 
 
-@query("SELECT CAST(0 AS BIGINT) AS differing")
+@query("SELECT count(*) AS pages, CAST(0 AS BIGINT) AS differing FROM orders WHERE o_orderkey % 5 <> 0")
 def reparse_stored_pages(spark, d):
-    from rankwell.operators.extract import extract_match_pages, reparse_differences, slim_pages
+    from rankwell.operators.extract import extract_match_pages, reparse_stored, slim_pages
 
     built = load(spark, d, "orders").filter(c("o_orderkey") % 5 != 0).select(c("o_orderkey").alias("page_id"), _match_html().alias("html"))
     stored = extract_match_pages(built).withColumn("html", slim_pages(c("html")))
-    return reparse_differences(stored).agg(F.count(lit(1)).alias("differing"))
+    return reparse_stored(stored).agg(F.count(lit(1)).alias("pages"), F.count_if("differs").alias("differing"))
 
 
 @query("""SELECT o_orderkey + 1 AS match_id, CASE WHEN o_orderkey % 6 = 0 THEN NULL WHEN o_orderkey % 6 = 1 THEN 3 ELSE CAST(o_orderkey % 4000 AS INTEGER) END AS duration_seconds, CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_orderkey % 2 = 0 END AS radiant_win,
