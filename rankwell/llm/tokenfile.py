@@ -23,9 +23,9 @@ SEGMENT_IDS = 1 << 20
 #: Segments up to which their starts (three integers each) are broadcast to the readers; beyond, they are joined.
 FEW_SEGMENTS = 100_000
 #: Pieces of words whose ids a worker keeps; beyond it the memory is emptied and filled anew.
-CACHE_PIECES = 500_000
+CACHE_PIECES = 300_000
 #: Bytes of text that are encoded at once.
-SLICE_BYTES = 16_000_000
+SLICE_BYTES = 10_000_000
 #: Characters that lower case or composition may treat in context, and white space that only some libraries count as such.
 _ODD = re.compile("[\x1c-\x1f\x85\xa0\u0250-\U0010ffff]")
 _END = b"\xff\xff\xff\xff"
