@@ -1,7 +1,7 @@
 """HTML extraction by nearest-URL page differencing.
 
-Pages of a host are ordered by URL path; each page is aligned, line by line, with its neighbour on either side by
-longest common subsequence, and what it shares with them is the site's, not the article's.
+Pages of a host are ordered by URL path; each page is aligned, line by line, with the nearest page on either side that
+is no copy of it by longest common subsequence, and what it shares with them is the site's, not the article's.
 """
 
 from __future__ import annotations
@@ -32,6 +32,8 @@ MAIN_WORDS = frozenset("article articlebody main content entry post story".split
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<[!?][^>]*>", re.DOTALL)
 MARK = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 SPLIT = re.compile(r"[^a-z]+")
+#: Share of the characters of two pages outside furniture that lie in common lines, from which they are copies.
+COPY = 0.8
 #: Deleted lines that are sent to every task, at most; more are joined by page.
 FEW = 20_000
 
@@ -150,30 +152,78 @@ def shared_lines(mine: list[int], theirs: list[int]) -> set[int]:
     return found
 
 
+def copies(a: dict[int, int], b: dict[int, int]) -> bool:
+    """Whether two sets of lines outside furniture (hash: characters) are those of copies of one page."""
+    common = sum(size for line, size in a.items() if line in b)
+    return common >= COPY * (sum(a.values()) + sum(b.values()) - common)
+
+
+def weighed(page: dict) -> dict[int, int]:
+    """The lines outside furniture of a page, with their characters."""
+    return {line: size for line, size in zip(page["hashes"], page["sizes"], strict=True) if size}
+
+
 def article(lines: list[tuple[str, str]], deleted: set[int]) -> str:
-    """What remains of the lines: those of the article's element; without one, those that neighbours do not share."""
-    main = [text for zone, text in lines if zone == MAIN]
-    return "\n".join(main or [text for i, (zone, text) in enumerate(lines) if zone == OPEN and i not in deleted])
+    """What remains of the lines: those of the article's element, and those outside it that neighbours do not share."""
+    return "\n".join(text for i, (zone, text) in enumerate(lines) if zone == MAIN or zone == OPEN and i not in deleted)
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages in order with the number of their run and whether they lead it; a run's pages are copies of its leader."""
+    host, leader, run = None, {}, -1
+    for batch in batches:
+        numbers, leads = [], []
+        for row in batch.to_pylist():
+            lines = weighed(row["page"])
+            new = row["host"] != host or not copies(leader, lines)
+            if new:
+                host, leader, run = row["host"], lines, run + 1
+            numbers.append(run)
+            leads.append(new)
+        names = [*batch.schema.names, "run", "leads"]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(numbers, pa.int64()), pa.array(leads, pa.bool_())], names=names)
+
+
+def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each range the nearest leaders in the ranges on either side that are no copies of its outermost ones."""
+    rows = [row for batch in batches for row in batch.to_pylist()]
+
+    def nearest(mine: dict, others: Iterator[dict | None]) -> dict | None:
+        lines = weighed(mine["page"])
+        for other in others:
+            if other is not None:
+                if other["host"] != mine["host"]:
+                    return None
+                if not copies(lines, weighed(other["page"])):
+                    return other["page"]
+        return None
+
+    page = pa.struct([("hashes", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32()))])
+    left = [nearest(row["first"], (r[c] for r in reversed(rows[:i]) for c in ("last", "last_but_one"))) for i, row in enumerate(rows)]
+    right = [nearest(row["last"], (r[c] for r in rows[i + 1 :] for c in ("first", "second"))) for i, row in enumerate(rows)]
+    yield pa.RecordBatch.from_arrays([pa.array([r["part"] for r in rows], pa.int32()), pa.array(left, page), pa.array(right, page)], names=["part", "left", "right"])
 
 
 def neighbour_lines(pages: DataFrame) -> DataFrame:
-    """(key, hashes, before, after) of every distinct page: the hashes of its lines and of its neighbours' lines.
+    """(key, page, before, after) of every page: its lines and those of the nearest pages that are no copies of it.
 
-    Input: key, host, path, hashes. Pages are ordered by host, path and key over ranges of that order, which no
-    host can outgrow; only the first and last page of each range look beyond it, through a table of one row a range.
+    Input: key, host, path, page (hashes and sizes of its lines). Pages are ordered by host, path and key over ranges
+    of that order, which no host can outgrow, and fall into runs of copies. A page's neighbours are the leaders of the
+    runs beside its own; only the outermost runs of a range look beyond it, through a table of one row a range.
     """
     n = max(2, int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    ranged = materialize(pages.repartitionByRange(n, "host", "path", "key").withColumn("part", F.spark_partition_id()))
-    order = W.partitionBy("part").orderBy("host", "path", "key")
-    row = F.struct("host", "hashes")
-    near = ranged.select("key", "host", "path", "hashes", "part", F.lag(row).over(order).alias("p"), F.lead(row).over(order).alias("n"))
-    position = F.struct("host", "path", "key")
-    ends = ranged.groupBy("part").agg(F.min_by(row, position).alias("first"), F.max_by(row, position).alias("last"))
-    along = W.orderBy("part")
-    ends = ends.select("part", F.lag("last").over(along).alias("left"), F.lead("first").over(along).alias("right"))
-    near = near.join(F.broadcast(ends), "part").withColumns({"p": F.coalesce("p", "left"), "n": F.coalesce("n", "right")})
-    same = lambda c: F.when(F.col(c)["host"] == F.col("host"), F.col(c)["hashes"])
-    return near.select("key", "hashes", same("p").alias("before"), same("n").alias("after"))
+    ranged = pages.repartitionByRange(n, "host", "path", "key").withColumn("part", F.spark_partition_id()).sortWithinPartitions("host", "path", "key")
+    ranged = ranged.select("key", "host", "part", "page")
+    kind = "struct<hashes:array<bigint>,sizes:array<int>>"
+    walked = materialize(ranged.mapInArrow(_runs, f"key bigint, host string, part int, page {kind}, run bigint, leads boolean"))
+    order = W.partitionBy("part").orderBy("run")
+    row = F.struct("host", "page")
+    leaders = walked.filter("leads").select("part", "run", row.alias("row"), F.lag(row).over(order).alias("p"), F.lead(row).over(order).alias("n"))
+    ends = leaders.groupBy("part").agg(F.min_by("row", "run").alias("first"), F.max_by("row", "run").alias("last"), F.min_by("n", "run").alias("second"), F.max_by("p", "run").alias("last_but_one"))
+    across = ends.repartition(1).sortWithinPartitions("part").mapInArrow(_across, f"part int, left {kind}, right {kind}")
+    same = lambda c: F.when(F.col(c)["host"] == F.col("row")["host"], F.col(c)["page"])
+    beside = leaders.join(F.broadcast(across), "part").select("part", "run", F.when(F.col("p").isNull(), F.col("left")).otherwise(same("p")).alias("before"), F.when(F.col("n").isNull(), F.col("right")).otherwise(same("n")).alias("after"))
+    return walked.join(beside, ["part", "run"]).select("key", "page", "before", "after")
 
 
 def extract(df: DataFrame, html_col: str = "html", url_col: str = "url", text_col: str = "text") -> DataFrame:
@@ -181,7 +231,9 @@ def extract(df: DataFrame, html_col: str = "html", url_col: str = "url", text_co
 
     A null url has no host and no neighbours, so its page is judged alone; a null or empty page gives an empty
     text. Repeated rows are one page, which is aligned once and does not meet itself. Lines inside the article's
-    element stay even if a neighbour shares them, for copies of an article on one host share all of it.
+    element stay even if a neighbour shares them, for articles of one host may quote each other or hold equal lines;
+    every other line outside furniture goes if a neighbour shares it. Copies of a page are not its neighbours; a page
+    that has only copies on its host is judged alone.
     """
     key = F.xxhash64(df[url_col], df[html_col])
 
@@ -189,21 +241,27 @@ def extract(df: DataFrame, html_col: str = "html", url_col: str = "url", text_co
         rows = []
         for page in pages.to_pylist():
             lines = lines_of(page)
-            # a page whose article has an element of its own only serves its neighbours
-            rows.append({"alone": not any(zone == MAIN for zone, _ in lines), "hashes": [line_hash(text) for _, text in lines]})
-        return pa.array(rows, pa.struct([("alone", pa.bool_()), ("hashes", pa.list_(pa.int64()))]))
+            # a page without lines outside the article's element and furniture only serves its neighbours
+            rows.append({"open": any(zone == OPEN for zone, _ in lines), "page": {"hashes": [line_hash(text) for _, text in lines], "sizes": [0 if zone == CHROME else len(text) for zone, text in lines]}})
+        return pa.array(rows, pa.struct([("open", pa.bool_()), ("page", pa.struct([("hashes", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32()))]))]))
 
-    seen = df.filter(df[url_col].isNotNull()).select(key.alias("key"), F.lower(F.regexp_extract(df[url_col], r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)", 1)).alias("host"), F.regexp_extract(df[url_col], r"^(?:(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//[^/?#]*)?([^?#]*)", 1).alias("path"), F.arrow_udf(hashes, "alone boolean, hashes array<bigint>")(df[html_col]).alias("h"))
-    table = materialize(seen.select("key", "host", "path", "h.alone", "h.hashes").dropDuplicates(["key"]))
+    made = F.arrow_udf(hashes, "open boolean, page struct<hashes:array<bigint>,sizes:array<int>>")(df[html_col])
+    seen = df.filter(df[url_col].isNotNull()).select(key.alias("key"), F.lower(F.regexp_extract(df[url_col], r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)", 1)).alias("host"), F.regexp_extract(df[url_col], r"^(?:(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//[^/?#]*)?([^?#]*)", 1).alias("path"), made.alias("h"))
+    seen = seen.select("key", "host", "path", "h.open", "h.page").filter(F.size("page.hashes") > 0)
+    table = materialize(seen.dropDuplicates(["key"]))
 
     def align(mine: pa.Array, before: pa.Array, after: pa.Array) -> pa.Array:
-        rows = [sorted(shared_lines(a, b or []) | shared_lines(a, c or [])) for a, b, c in zip(mine.to_pylist(), before.to_pylist(), after.to_pylist(), strict=True)]
+        rows = []
+        for page, *beside in zip(mine.to_pylist(), before.to_pylist(), after.to_pylist(), strict=True):
+            # a page that is a copy of its run's leader may also be one of the next leader
+            others = [other for other in beside if other and not copies(weighed(page), weighed(other))]
+            rows.append(sorted(set().union(*(shared_lines(page["hashes"], other["hashes"]) for other in others))))
         return pa.array(rows, pa.list_(pa.int32()))
 
-    needed = table.filter("alone").select(F.col("key").alias("k"))
-    near = neighbour_lines(table.select("key", "host", "path", "hashes"))
-    near = near.join(needed, near["key"] == needed["k"], "left_semi")
-    shared = F.arrow_udf(align, "array<int>")("hashes", "before", "after")
+    needed = table.filter("open")
+    near = neighbour_lines(table.join(needed.select("host").distinct(), "host", "left_semi").select("key", "host", "path", "page"))
+    near = near.join(needed.select("key"), "key", "left_semi")
+    shared = F.arrow_udf(align, "array<int>")("page", "before", "after")
     deleted = materialize(near.select(F.col("key").alias("__k"), shared.alias("__d")).filter(F.size("__d") > 0))
     if deleted.limit(FEW + 1).count() <= FEW and (deleted.agg(F.sum(F.size("__d"))).first()[0] or 0) <= 50 * FEW:
         deleted = F.broadcast(deleted)

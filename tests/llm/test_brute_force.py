@@ -238,6 +238,20 @@ def test_furniture_is_left_out():
     assert htmldiff.article(htmldiff.lines_of(page), set()) == "T & U\na b c d\ne\none\ntwo"
 
 
+def test_differencing_decides_beside_an_article_and_skips_copies(spark):
+    menu, place = "<div>Home of all things</div><div>Imprint and rules</div>", "http://h/"
+    plain = lambda *lines: f"<html><body>{menu}" + "".join(f"<p>{x}</p>" for x in lines) + "<div>All the rest</div></body></html>"
+    long = [f"Paragraph {i} of an article that is found at many places of its host, at length." for i in range(10)]
+    edited = [*long[:9], "Another end of it."]
+    pages = {f"a/{i:02}": plain(*(edited if i % 3 == 1 else long)) for i in range(40)}  # more than a range of the order holds
+    pages |= {"a": plain("First page."), "b": plain("Second page."), "c/1": f"<body>{menu}<article><p>Told.</p></article><p>Set apart.</p></body>", "c/2": f"<body>{menu}<article><p>Told.</p><p>More.</p></article></body>"}
+    want = {f"a/{i:02}": edited if i % 3 == 1 else long for i in range(40)} | {"a": ["First page."], "b": ["Second page."], "c/1": ["Told.", "Set apart."], "c/2": ["Told.", "More."]}
+    rows = [(i, place + path, page) for i, (path, page) in enumerate(pages.items())] + [(99, "http://one/a", plain(*long)), (98, "http://one/b", plain(*edited))]
+    got = {r.url: r.text for r in htmldiff.op9_html_url_diff(spark, spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert {path: got[place + path].split("\n") for path in pages} == want
+    assert all(x in got["http://one/a"] for x in long) and all(x in got["http://one/b"] for x in edited)
+
+
 def test_op10_fingerprints_and_components(spark, docs):
     fps = {}
     for i, row in docs.items():
