@@ -23,6 +23,8 @@ FIRST, GROWTH, WIDE, SLOW_GROWTH = 0.025, 2.2, 0.12, 1.08
 VERIFY, SPARE = 0.05, 20
 #: Vectors of one index block (places must fit 16 bits), and queries that meet it in one task.
 BLOCK, QUERIES = 16_384, 512
+#: How many times longer than its shortest vector the longest of an index may be, beyond which short vectors crowd.
+RANGE = 1.25
 SEED = 11
 
 
@@ -35,9 +37,9 @@ def projections(dim: int) -> np.ndarray:
 
 
 class Index:
-    """Sorted projections of one block of vectors, for largest inner products.
+    """Sorted projections of vectors of like lengths, for largest inner products.
 
-    Vectors are divided by the longest length of the whole table and given one more component that makes them unit
+    Vectors are divided by the longest length among them and given one more component that makes them unit
     vectors; queries are made unit vectors with a zero there. The nearest of those are the largest inner products.
     """
 
@@ -101,18 +103,58 @@ class Index:
         return [(np.concatenate(f), np.concatenate(s)) for f, s in zip(found, scores, strict=True)]
 
 
-def _search_block(k: int, longest: float):
+def lengths_of(vectors: np.ndarray) -> np.ndarray:
+    """Lengths of vectors that are not zero, also where squares of their components are too small or large."""
+    largest = np.abs(vectors).max(1)
+    return largest * np.sqrt(((vectors / largest[:, None]) ** 2).sum(1))
+
+
+def length_ranges(lengths: np.ndarray, least: int) -> list[np.ndarray]:
+    """Positions of vectors by ranges of their length, longest first: RANGE wide, or of `least` vectors where few are."""
+    order, at, ranges = np.argsort(-lengths, kind="stable"), 0, []
+    while at < len(order):
+        like = int(np.searchsorted(-lengths[order], -lengths[order[at]] / RANGE, "right"))
+        stop = max(like, at + least)
+        ranges.append(np.sort(order[at:stop]))
+        at = stop
+    return ranges
+
+
+def search_ranges(vectors: np.ndarray, queries: np.ndarray, own: list[np.ndarray], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Positions and inner products of the verified vectors of each query, from one index for each range of lengths.
+
+    Ranges of no more vectors than a query may verify anyway are verified whole. A query leaves a range out if none
+    of its vectors is long enough to be among the k best found so far.
+    """
+    lengths, asked = lengths_of(vectors), lengths_of(queries)
+    found = [(np.empty(0, np.int64), np.empty(0)) for _ in queries]
+    for rows in length_ranges(lengths, SPARE * k):
+        longest = float(lengths[rows].max()) * (1 + 1e-9)
+        open_ = [q for q, (_, scores) in enumerate(found) if len(scores) < k or np.partition(scores, -k)[-k] <= longest * asked[q] * (1 + 1e-9)]
+        if not open_:
+            continue
+        left_out = [np.flatnonzero(np.isin(rows, own[q])) for q in open_]
+        if len(rows) <= SPARE * k:
+            made = [(kept := np.delete(np.arange(len(rows)), out), (vectors[rows[kept]] * queries[q]).sum(1)) for q, out in zip(open_, left_out, strict=True)]
+        else:
+            made = Index(vectors[rows], longest).search(queries[open_], left_out, k)
+        for q, (at, scores) in zip(open_, made, strict=True):
+            found[q] = (np.append(found[q][0], rows[at]), np.append(found[q][1], scores))
+    return found
+
+
+def _search_block(k: int):
     def run(key: tuple, vectors: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
         if vectors.empty or queries.empty:
             return empty
         vectors = vectors.sort_values("vec_id", kind="stable")
         ids = vectors["vec_id"].to_numpy()
-        index = Index(np.stack(vectors["v"].to_numpy()).astype(np.float64), longest)
         asked = queries["vec_id"].to_numpy()
         own = [np.flatnonzero(ids == query_id) for query_id in asked]
         out = []
-        for query_id, (rows, scores) in zip(asked, index.search(np.stack(queries["v"].to_numpy()).astype(np.float64), own, k), strict=True):
+        made = search_ranges(np.stack(vectors["v"].to_numpy()).astype(np.float64), np.stack(queries["v"].to_numpy()).astype(np.float64), own, k)
+        for query_id, (rows, scores) in zip(asked, made, strict=True):
             best = np.lexsort([ids[rows], -scores])[:k]
             out.append(pd.DataFrame({"query_id": query_id, "vec_id": ids[rows[best]], "score": scores[best]}))
         return pd.concat(out, ignore_index=True) if out else empty
@@ -133,19 +175,19 @@ def search(df: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_id",
     vector) count once; rows with a null id or an unusable vector take no part; vectors meet those of their own
     length only. Ties go to the smaller id. Other columns are ignored, an empty table gives an empty one. The
     blocks are dealt by a hash of the id, so copies of one vector spread over all of them; each task holds one
-    block and one batch of queries, and each query leaves k rows a block.
+    block and one batch of queries, with one index for each range of lengths, and each query leaves k rows a block.
     """
     rows = df.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"), queries.alias("asks"))
     rows = materialize(rows.filter(F.col("vec_id").isNotNull() & usable(F.col("v"))).withColumn("dim", F.size("v")).dropDuplicates(["vec_id", "v"]))
-    shape = rows.agg(F.count(F.lit(1)), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)), F.count_if("asks")).first()
-    n, longest, asked = shape[0] or 0, float(np.sqrt(shape[1] or 1.0)) * (1 + 1e-9), shape[2] or 0
+    shape = rows.agg(F.count(F.lit(1)), F.count_if("asks")).first()
+    n, asked = shape[0] or 0, shape[1] or 0
     blocks, batches = max(1, -(-n // BLOCK)), max(1, -(-asked // QUERIES))
     number = lambda count: F.pmod(F.xxhash64(F.lit(SEED), "vec_id"), F.lit(count)).cast("int")
     every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
     left = rows.select("vec_id", "v", "dim", number(blocks).alias("block"), every(batches).alias("batch"))
     right = rows.filter("asks").select("vec_id", "v", "dim", number(batches).alias("batch"), every(blocks).alias("block"))
     keys = ("dim", "block", "batch")
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_search_block(k, longest), "query_id long, vec_id long, score double")
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_search_block(k), "query_id long, vec_id long, score double")
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -70,6 +70,22 @@ def test_ann_search_of_a_whole_block_is_exact():
     assert sorted(rows) == list(range(1, 30)) and np.allclose(scores, (vectors[rows] * vectors[0]).sum(1))
 
 
+@pytest.mark.parametrize("kind", ["one long", "many lengths", "two lengths"])
+def test_ann_recall_with_differing_lengths(spark, kind):
+    draw = np.random.default_rng(5)
+    n, k = 8_192, 20
+    vectors = draw.normal(size=(100, 32))[draw.integers(100, size=n)] + 0.7 * draw.normal(size=(n, 32))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    vectors *= {"one long": np.where(np.arange(n) == 7, 10.0, 1.0), "many lengths": draw.lognormal(0, 1, n), "two lengths": np.where(np.arange(n) % 2 == 0, 1.0, 8.0)}[kind][:, None]
+    got = ann.search(spark.createDataFrame([(i, v) for i, v in enumerate(vectors.tolist())], "vec_id long, embedding array<double>"), ann.F.col("vec_id") % 256 == 0, k).toPandas()
+    hits = 0
+    for q, part in got.groupby("query_id"):
+        scores = vectors @ vectors[q]
+        scores[q] = -np.inf
+        hits += len(set(np.argsort(-scores)[:k]) & set(part["vec_id"]))
+    assert len(got) == n // 256 * k and hits >= 0.9 * len(got)
+
+
 @pytest.mark.parametrize(("name", "label", "least"), [("op3_toxicity_gbt", "toxic", 0.85), ("op5_cotrain_quality", "quality", 0.95)])
 def test_held_out_accuracy(spark, name, label, least):
     folder = "/root/testdata/sf0.01"
