@@ -2,7 +2,8 @@
 
 One block per licence: `[label priority keyword]` and below it its patterns, one a line, hand-written over a text in
 lower case whose words (letters, digits, everything outside ASCII) are separated by single spaces. A pattern is
-tried only where the text holds the keyword. Priority 3 marks full titles and grants, 2 short names, 1 hints.
+tried only where the text holds the keyword, so the keyword must lie in everything that the pattern can match: a
+licence has a block for each keyword. Priority 3 marks full titles and grants, 2 short names, 1 hints.
 """
 
 RULES = r"""
@@ -20,7 +21,9 @@ mit no attribution
 spdx license identifier mit 0
 [mit-grant 3 free of charge]
 permission is hereby granted free of charge to any person obtaining a copy
+[mit-grant 3 deal in the software]
 to deal in the software without restriction
+[mit-grant 3 this permission notice]
 the above copyright notice and this permission notice shall be included
 [apache-2.0 3 apache]
 licensed under the apache licen[cs]e version 2 0
@@ -147,23 +150,24 @@ cc by nc nd(?: [1234] [05])?
 [cc-by-long 3 creative commons attribution]
 creative commons attribution (?:licen[cs]e )?[1234] [05]
 creative commons attribution licen[cs]e
-[cc-by-sa-long 3 sharealike]
+[cc-by-sa-long 3 creative commons attribution share]
 creative commons attribution share ?alike(?: [1234] [05])?
 [cc-by-sa-long 3 share alike]
 creative commons attribution share alike(?: [1234] [05])?
-[cc-by-nc-long 3 noncommercial]
+[cc-by-nc-long 3 creative commons attribution non]
 creative commons attribution non ?commercial(?: [1234] [05])?
 [cc-by-nc-long 3 non commercial]
 creative commons attribution non commercial(?: [1234] [05])?
-[cc-by-nc-sa-long 3 noncommercial sharealike]
+[cc-by-nc-sa-long 3 creative commons attribution non]
 creative commons attribution non ?commercial share ?alike(?: [1234] [05])?
-[cc-by-nd-long 3 noderiv]
+[cc-by-nd-long 3 creative commons attribution no]
 creative commons attribution no ?deriv(?:ative)?s(?: [1234] [05])?
-[cc-by-nc-nd-long 3 noncommercial noderiv]
+[cc-by-nc-nd-long 3 creative commons attribution non]
 creative commons attribution non ?commercial no ?deriv(?:ative)?s(?: [1234] [05])?
 [creative-commons 1 creative commons]
 creative commons licen[cs]e
 creative commons
+[creative-commons 1 creativecommons org]
 creativecommons org licenses (?:by|by sa|by nc|by nd|by nc sa|by nc nd)
 [public-domain 3 public domain]
 (?:released|dedicated|placed) (?:in|in to|into|to) the public domain
@@ -173,12 +177,15 @@ public domain dedication
 public domain
 [pddl 3 public domain dedication]
 open data commons public domain dedication and licen[cs]e
+[pddl 3 pddl]
 pddl 1 0
 [odbl 3 open database]
 open database licen[cs]e
+[odbl 3 odbl]
 odbl 1 0
 [odc-by 3 open data commons]
 open data commons attribution licen[cs]e
+[odc-by 3 odc by]
 odc by(?: 1 0)?
 [bsd-3-clause 3 bsd]
 bsd 3 clause (?:new |revised )?licen[cs]e
@@ -203,18 +210,24 @@ four clause bsd licen[cs]e
 spdx license identifier bsd 4 clause
 [bsd-0-clause 2 0bsd]
 0bsd
+[bsd-0-clause 2 zero clause]
 zero clause bsd
 [bsd 1 bsd]
 bsd (?:style )?licen[cs]ed?
 under the bsd licen[cs]e
 [bsd-grant 3 redistribution and use]
 redistribution and use in source and binary forms with or without modification are permitted
+[bsd-grant 3 redistributions of source]
 redistributions of source code must retain the above copyright notice
+[bsd-grant 3 redistributions in binary]
 redistributions in binary form must reproduce the above copyright notice
+[bsd-grant 3 neither the name]
 neither the name of .{1,80}? nor the names of its contributors
 [isc 3 isc]
 isc licen[cs]e
+[isc 3 internet systems]
 internet systems consortium licen[cs]e
+[isc 3 isc]
 spdx license identifier isc
 [isc-grant 3 permission to use copy modify]
 permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted
@@ -267,6 +280,7 @@ artistic licen[cs]e (?:version |v)?1 0
 (?:the )?artistic licen[cs]e
 [perl 2 as perl]
 same terms as perl(?: itself)?
+[perl 2 as the perl]
 under the same terms as the perl 5 programming language
 [zlib 3 zlib]
 zlib libpng licen[cs]e
@@ -276,6 +290,7 @@ spdx license identifier zlib
 provided as is without any express or implied warranty in no event will the authors be held liable
 [libpng 3 libpng]
 libpng licen[cs]e
+[libpng 3 png reference]
 png reference library licen[cs]e
 [boost-1.0 3 boost]
 boost software licen[cs]e(?: (?:version |v)?1 0)?
@@ -301,6 +316,7 @@ spdx license identifier unlicense
 this is free and unencumbered software released into the public domain
 [wtfpl 3 wtfpl]
 wtfpl(?: (?:version |v)?2)?
+[wtfpl 3 do what the fuck]
 do what the fuck you want to public licen[cs]e
 [beerware 3 beer]
 beer ?ware licen[cs]e
@@ -325,6 +341,7 @@ openssl toolkit .{0,40}? licen[cs]e
 curl licen[cs]e
 [ncsa 3 illinois]
 university of illinois (?:ncsa )?open source licen[cs]e
+[ncsa 3 ncsa]
 ncsa open source licen[cs]e
 [w3c 3 w3c]
 w3c software (?:notice and )?licen[cs]e
@@ -408,13 +425,14 @@ mit lizenz
 apache lizenz(?: version 2 0)?
 [gpl-es 3 licencia p]
 licencia p[úu]blica general
-[openrail 3 openrail]
+[openrail 3 rail]
 (?:bigscience |creativeml )?open ?rail(?: [ms]{1,2})?(?: licen[cs]e)?
 [llama 3 community licen]
 llama [234] community licen[cs]e(?: agreement)?
 [proprietary 3 proprietary]
 proprietary and confidential
 proprietary licen[cs]e
+[proprietary 3 unauthorized copying]
 unauthorized copying of this file
 [proprietary 2 confidential]
 strictly confidential do not distribute

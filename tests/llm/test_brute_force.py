@@ -49,6 +49,34 @@ def test_license_rules_resolve_overlaps():
     assert found("a permission to limit") == []
 
 
+def test_license_keywords_lie_in_all_that_their_patterns_match():
+    from re import _parser
+
+    def literals(pattern):
+        """The texts that stand in every match, longest runs; a space stands on either side of a match."""
+        runs = [" "]
+        for op, value in _parser.parse(pattern):
+            plain = [(op, value)] if op is _parser.LITERAL else list(value[3]) if op is _parser.SUBPATTERN else []
+            if plain and all(o is _parser.LITERAL for o, _ in plain):
+                runs[-1] += "".join(chr(c) for _, c in plain)
+            else:
+                runs.append("")
+        runs[-1] += " "
+        return runs
+
+    lossy = []
+    for keyword, found in licenses.rules().items():
+        for rule in found:
+            inner = rule.pattern.pattern.removeprefix("(?<= )(?:").removesuffix(")(?= )")
+            lossy += [(keyword, inner)] * (not any(keyword in run for run in literals(inner)))
+    assert lossy == []
+
+
+@pytest.mark.parametrize(("text", "label"), [("PDDL-1.0", "pddl"), ("ODbL 1.0", "odbl"), ("ODC-By 1.0", "odc-by"), ("Internet Systems Consortium License", "isc"), ("zero-clause BSD", "bsd-0-clause"), ("NCSA Open Source License", "ncsa"), ("Unauthorized copying of this file", "proprietary"), ("to deal in the software without restriction", "mit-grant"), ("Redistributions of source code must retain the above copyright notice", "bsd-grant"), ("Creative Commons Attribution Non-Commercial 4.0", "cc-by-nc-long"), ("Open RAIL-M", "openrail")])
+def test_one_license_sentence_is_enough(text, label):
+    assert label in [d.label for d in licenses.scan(f"Words. {text}. Words.")[1]]
+
+
 def test_op2_recall_and_scores(spark):
     rows = spark.read.parquet(f"{SMALL}/embeddings.parquet").collect()
     ids, vectors = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], float)
