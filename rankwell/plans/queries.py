@@ -381,6 +381,13 @@ def strip_markup(spark, d):
     return load(spark, d, "documents").select("doc_id", text.strip_markup(wiki).alias("readable"))
 
 
+@query(f"SELECT doc_id, {_markup_sql('w')} AS readable FROM (SELECT doc_id, '[[Page|name]] ' || text || ' {{{{a|' || chr(10) || '{{{{b}}}}}}}} <br/>[https://x.org' || chr(10) || 'label] <!-- no' || chr(10) || text || ' -->' AS w FROM documents)")
+def strip_markup_text(spark, d):
+    """Whole texts between markup, and once more inside a comment of several lines."""
+    wiki = F.concat(lit("'''[[Page|name]]''' "), "text", lit(" {{a|\n{{b}}}} <br/>[https://x.org\nlabel] <!-- no\n"), "text", lit(" -->"))
+    return load(spark, d, "documents").select("doc_id", text.strip_markup(wiki).alias("readable"))
+
+
 def _wikitext() -> F.Column:
     return F.concat(lit("before <!-- {{Infobox league|name=no}} --> {{Infobox League|Name= [["), c("p_name"), lit("|"), c("p_brand"), lit("]]|liquipediatier="), c("p_type"), lit("|sdate=2024-01-0"), (c("p_partkey") % 9 + 1).cast("string"), lit("|edate=2024-??|prizepoolusd=$"), F.format_number(c("p_partkey") * 1000, 0), lit("|team_number= "), c("p_size").cast("string"), lit(" |format={{Abbr/Bo3|x=y}}|positional}} after"))
 
