@@ -253,6 +253,21 @@ def page_below(spark, d):
     return inc.page_below(load(spark, d, "events").select("event_id", "event_type"), "event_id", 5000, 100)
 
 
+def _middle(events: DataFrame) -> int:
+    """The id in the middle between the lowest and the highest; 0 of an empty table."""
+    low, high = events.agg(F.min("event_id"), F.max("event_id")).first()
+    return 0 if low is None else (low + high) // 2
+
+
+_MIDDLE_SQL = "(SELECT (min(event_id) + max(event_id)) // 2 FROM events)"
+
+
+@query(f"SELECT event_id, event_type FROM events WHERE event_id < {_MIDDLE_SQL} ORDER BY event_id DESC LIMIT 100")
+def page_below_middle(spark, d):
+    events = load(spark, d, "events").select("event_id", "event_type")
+    return inc.page_below(events, "event_id", _middle(events), 100)
+
+
 @query("""WITH b AS (SELECT max(event_id) - 250 AS high FROM events), n AS (SELECT count(*) AS n FROM events, b WHERE event_id > high),
 s AS (SELECT event_id FROM events ORDER BY event_id DESC LIMIT (SELECT 100 * least(10, n // 100 + 1) FROM n))
 SELECT min(event_id) AS lowest, max(event_id) AS highest, count(*) AS records, bool_or(event_id <= high) AS reached_known FROM s, b""")
@@ -268,6 +283,13 @@ def backfill_slice(spark, d):
     return inc.backfill_slice(load(spark, d, "events").select("event_id"), "event_id", inc.State(9000, 4000), 100, 3)
 
 
+@query(f"SELECT event_id FROM events WHERE event_id < {_MIDDLE_SQL} ORDER BY event_id DESC LIMIT 300")
+def backfill_slice_middle(spark, d):
+    events = load(spark, d, "events").select("event_id")
+    middle = _middle(events)
+    return inc.backfill_slice(events, "event_id", inc.State(2 * middle, middle), 100, 3)
+
+
 @query("""WITH w AS (SELECT user_id, min(event_id) AS lowest, max(event_id) AS highest, count(*) AS records FROM events GROUP BY 1),
 t AS (SELECT *, CASE WHEN user_id % 4 = 0 THEN NULL ELSE user_id * 40 END AS high, CASE WHEN user_id % 4 = 0 THEN NULL ELSE user_id * 10 END AS low, user_id % 2 = 0 AS back FROM w), k AS (SELECT *, coalesce(lowest <= high, false) AS reached FROM t)
 SELECT user_id, greatest(highest, high) AS new_high, CASE WHEN back OR reached THEN least(lowest, low) ELSE lowest END AS new_low, 7 + records AS new_seen,
@@ -432,6 +454,17 @@ def reparse_stored_pages(spark, d):
     return reparse_stored(stored).agg(F.count(lit(1)).alias("pages"), F.count_if("differs").alias("differing"))
 
 
+@query("SELECT (SELECT count(*) FROM orders) + (SELECT count(*) FROM pages) AS pages, CAST(0 AS BIGINT) AS differing, (SELECT count(*) FROM orders WHERE o_orderkey % 5 = 0) + (SELECT count(*) FROM pages) AS without_block")
+def reparse_all_pages(spark, d):
+    """Every order page and every row of pages, with a match block or without."""
+    from rankwell.operators.extract import extract_match_pages, reparse_stored, slim_pages
+
+    built = load(spark, d, "orders").select(c("o_orderkey").alias("page_id"), _match_html().alias("html"))
+    both = built.unionByName(load(spark, d, "pages").select((-c("page_id") - 1).alias("page_id"), "html"))
+    stored = extract_match_pages(both).withColumn("html", slim_pages(c("html")))
+    return reparse_stored(stored).agg(F.count(lit(1)).alias("pages"), F.count_if("differs").alias("differing"), F.count_if(c("html").isNull()).alias("without_block"))
+
+
 @query("""SELECT o_orderkey + 1 AS match_id, CASE WHEN o_orderkey % 6 = 0 THEN NULL WHEN o_orderkey % 6 = 1 THEN 3 ELSE CAST(o_orderkey % 4000 AS INTEGER) END AS duration_seconds, CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_orderkey % 2 = 0 END AS radiant_win,
 CASE WHEN o_orderkey % 7 <> 0 THEN 'C' || o_custkey END AS radiant_name, CASE WHEN o_orderkey % 9 <> 0 THEN CAST(o_orderkey % 9 AS BIGINT) END AS start_epoch, o_custkey AS league_id FROM orders WHERE o_orderkey % 10 <> 3""")
 def landing_matches(spark, d):

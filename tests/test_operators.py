@@ -3,6 +3,7 @@
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from rankwell.operators import extract, incremental as inc, priority, quality
 from rankwell.operators import relational as r
@@ -164,6 +165,15 @@ def test_infobox(text, fields):
     assert extract.infobox_of(text, "Infobox league") == fields
 
 
+def test_pages_stored_without_a_block_keep_their_document(spark):
+    pages = spark.createDataFrame([(1, PAGE), (2, "<p>nothing</p>"), (3, None)], "page_id int, html string")
+    stored = extract.extract_match_pages(pages).withColumn("html", extract.slim_pages(F.col("html")))
+    got = {r.page_id: (r.differs, r.document and r.document.status) for r in extract.reparse_stored(stored).collect()}
+    assert got[2] == (False, "unparsed") and got[3] == (False, None) and not got[1][0]
+    changed = stored.filter("page_id = 1").withColumn("html", F.lit("<p>nothing</p>"))
+    assert extract.reparse_stored(changed).first().differs
+
+
 def test_models_of_one_match(spark):
     pages = spark.createDataFrame([("valorant", "Match:1", 1, 1, PAGE), ("valorant", "Match:2", 2, 1, None)], "wiki string, page_title string, page_id int, revision_id int, html string")
     raw = readers.normalize_match_page(extract.extract_match_pages(pages), NOW).cache()
