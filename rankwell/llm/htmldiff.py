@@ -247,8 +247,8 @@ def extract(df: DataFrame, html_col: str = "html", url_col: str = "url", text_co
 
     made = F.arrow_udf(hashes, "open boolean, page struct<hashes:array<bigint>,sizes:array<int>>")(df[html_col])
     seen = df.filter(df[url_col].isNotNull()).select(key.alias("key"), F.lower(F.regexp_extract(df[url_col], r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)", 1)).alias("host"), F.regexp_extract(df[url_col], r"^(?:(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//[^/?#]*)?([^?#]*)", 1).alias("path"), made.alias("h"))
-    seen = seen.select("key", "host", "path", "h.open", "h.page").filter(F.size("page.hashes") > 0)
-    table = materialize(seen.dropDuplicates(["key"]))
+    # a filter ahead of the table would have every page read twice
+    table = materialize(seen.select("key", "host", "path", "h.open", "h.page").dropDuplicates(["key"])).filter(F.size("page.hashes") > 0)
 
     def align(mine: pa.Array, before: pa.Array, after: pa.Array) -> pa.Array:
         rows = []
