@@ -14,8 +14,12 @@ from pyspark.sql import types as T
 
 #: Texts above this many characters are handed to the encoder in pieces; the ids are the same.
 PIECE_CHARS = 20_000
-#: Where a match of the usual split patterns always ends: a visible character, then one space, then a visible character.
-SAFE = re.compile(r"(?<=[^\s\x1c-\x1f\x85]) (?=[^\s\x1c-\x1f\x85])")
+#: White space as the split pattern sees it; `re` and `str.split` count U+001C to U+001F as well.
+_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Between a visible character and white space a match of the usual split patterns always ends.
+SAFE = re.compile(f"(?<=[^{_SPACE}])(?=[{_SPACE}])")
+#: White space that the split pattern would walk back over character by character.
+LONG_SPACE = re.compile(f"[{_SPACE}]{{1000,}}")
 
 
 @functools.cache
@@ -40,12 +44,34 @@ def pieces(text: str, size: int = PIECE_CHARS) -> Iterator[str]:
     yield text[start:]
 
 
+def parts(text: str) -> Iterator[tuple[str, bool]]:
+    """Long white space apart from the rest, each part with whether it is one match of the split pattern.
+
+    Of a run of white space the pattern takes all but the last character as one match where something follows (the
+    last may go with a word), and all of it at the end of the text.
+    """
+    start = 0
+    for run in LONG_SPACE.finditer(text):
+        end = run.end() - (run.end() < len(text))
+        yield text[start : run.start()], False
+        yield text[run.start() : end], True
+        start = end
+    yield text[start:], False
+
+
 def encode_text(text: str, rank_file: str, pattern: str) -> list[int]:
-    """Ids of one whole text, without special tokens."""
-    encode = encoder(rank_file, pattern).encode_ordinary
+    """Ids of one whole text, without special tokens. `pattern` is one of the usual kind, as `parts` reads it."""
+    codec = encoder(rank_file, pattern)
     if len(text) <= PIECE_CHARS:
-        return encode(text)
-    return [i for part in pieces(text) for i in encode(part)]
+        return codec.encode_ordinary(text)
+    ids: list[int] = []
+    for part, whole in parts(text):
+        if whole:
+            ids += codec._core_bpe.encode_single_piece(part.encode())
+        else:
+            for piece in pieces(part):
+                ids += codec.encode_ordinary(piece)
+    return ids
 
 
 def encode_decode(df: DataFrame, rank_file: str, pattern: str, text_col: str = "text", id_col: str = "doc_id", ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:

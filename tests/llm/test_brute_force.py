@@ -161,6 +161,60 @@ def test_word_encoder_equals_the_library_on_odd_texts():
         assert [p.tolist() for p in parts] == [encoder.whole.encode(t or "", add_special_tokens=False).ids for t in batch]
 
 
+#: Every character below U+0250, combining marks, other scripts, emoji, odd white space.
+LETTERS = [*map(chr, range(0x250)), *map(chr, range(0x300, 0x330)), *"日本語漢字🎉👨\u200d👩①½ﬁİſKÅΣς\u1680\u2003\u2028\u3000\u200b\ufeff"]
+
+
+@pytest.mark.parametrize("marks", [[], ["<|endoftext|>"]])
+def test_word_encoder_equals_the_library_on_all_characters(marks):
+    import public_tokenizers
+
+    encoder, draw = tokenfile.word_encoder(public_tokenizers.path("word_bpe_49k.json")), random.Random(7)
+    letters = LETTERS + [" ", "\n", "a", "'s", "'LL", "Don't", "x1", *marks] * 25
+    texts = [t for c in LETTERS for t in (c, f"a{c}b", 2 * c)] + ["".join(draw.choices(letters, k=draw.randrange(90))) for _ in range(1500)]
+    ids, sizes = encoder.batch(pa.array(texts))
+    assert encoder.by_words and [p.tolist() for p in np.split(ids, np.cumsum(sizes)[:-1])] == [encoder.whole.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+@pytest.mark.parametrize("run", [" ", "\n", "\t", "a", "\x01", "é"])
+def test_encoders_on_runs_of_two_million(run):
+    import public_tokenizers
+
+    text = 2_000_000 * run
+    encoder = tokenfile.word_encoder(public_tokenizers.path("word_bpe_49k.json"))
+    assert encoder.batch(pa.array([text]))[0].tolist() == encoder.whole.encode(text, add_special_tokens=False).ids
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    ids = bpe.encode_text(f"w{text}x", ranks, public_tokenizers.PATTERN)
+    assert bpe.encoder(ranks, public_tokenizers.PATTERN).decode_bytes(ids) == f"w{text}x".encode()
+    if not run.isspace():  # the library's own split overflows on white space
+        assert ids == bpe.encoder(ranks, public_tokenizers.PATTERN).encode_ordinary(f"w{text}x")
+
+
+def test_tokenizers_of_another_make_go_through_the_library():
+    import public_tokenizers
+
+    encoder = tokenfile.word_encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["Hello  World \n", None, "", "don't <|endoftext|> x"]
+    ids, sizes = encoder.batch(pa.array(texts))
+    assert not encoder.by_words and [p.tolist() for p in np.split(ids, np.cumsum(sizes)[:-1])] == [encoder.whole.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+def test_op6_white_space_keeps_ids(monkeypatch):
+    import public_tokenizers
+
+    ranks, draw = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), random.Random(8)
+    encoder = bpe.encoder(ranks, public_tokenizers.PATTERN)
+    monkeypatch.setattr(bpe, "PIECE_CHARS", 2)
+    monkeypatch.setattr(bpe, "LONG_SPACE", re.compile(f"[{bpe._SPACE}]{{3,}}"))
+    spaces = [*" \n\t\r\x0b\x0c\x85\xa0\u2003\u3000\x1c\x1f"]
+    for _ in range(3000):
+        text = "".join(draw.choice(LETTERS if draw.random() < 0.2 else spaces) for _ in range(draw.randrange(60)))
+        assert bpe.encode_text(text, ranks, public_tokenizers.PATTERN) == encoder.encode_ordinary(text)
+    # a run that the library's split still takes
+    text = "a" + 900_000 * " " + "b" + 900_000 * "\n"
+    assert bpe.encode_text(text, ranks, public_tokenizers.PATTERN) == encoder.encode_ordinary(text)
+
+
 def test_simple8b_round_trip():
     draw = np.random.default_rng(0)
     for n in (0, 1, 511, 512, 513, 3000):
