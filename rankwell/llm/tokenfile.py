@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import functools
-import re
+import json
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -22,13 +22,18 @@ from rankwell.llm.common import shared_dir
 SEGMENT_IDS = 1 << 20
 #: Segments up to which their starts (three integers each) are broadcast to the readers; beyond, they are joined.
 FEW_SEGMENTS = 100_000
-#: Pieces of words whose ids a worker keeps; beyond it the memory is emptied and filled anew.
+#: Pieces of words whose ids a worker keeps; beyond it those that the texts at hand do not hold are forgotten.
 CACHE_PIECES = 300_000
 #: Bytes of text that are encoded at once.
 SLICE_BYTES = 10_000_000
-#: Characters that lower case or composition may treat in context, and white space that only some libraries count as such.
-_ODD = re.compile("[\x1c-\x1f\x85\xa0\u0250-\U0010ffff]")
+#: Words with other characters go through the whole tokenizer: lower case or composition may treat those in context,
+#: and some of them are white space to some libraries only.
+_PLAIN = r"^[\x00-\x{1b} -\x{84}\x{86}-\x{9f}\x{a1}-\x{24f}]*$"
 _END = b"\xff\xff\xff\xff"
+#: The normalizer and the split (fixed values of the tokenizer file) that `WordEncoder` can follow word by word.
+_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_SPLIT = {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True}
+_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
 
 
 class WordEncoder:
@@ -36,7 +41,8 @@ class WordEncoder:
 
     The tokenizer drops white space and never merges across it, so a text's ids are those of its words in turn.
     Words of Latin letters are cut by the tokenizer's own split pattern and each distinct piece goes to its BPE
-    model; any other word goes through the whole tokenizer.
+    model; any other word goes through the whole tokenizer. Texts with special tokens go through it whole, and so
+    does every text of a tokenizer whose file states another normalizer, split or kind of model.
     """
 
     def __init__(self, path: str):
@@ -45,53 +51,57 @@ class WordEncoder:
 
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
-        self.special = sorted(token.content for token in self.whole.get_added_tokens_decoder().values())
+        with open(path, encoding="utf-8") as stated:
+            stated = json.load(stated)
+        split = {"type": "Sequence", "pretokenizers": [_SPLIT, _BYTES]}
+        added = stated["added_tokens"]
+        self.by_words = (stated["normalizer"], stated["pre_tokenizer"], stated["model"]["type"], stated["truncation"]) == (_NORMALIZER, split, "BPE", None) and all(t["special"] and not t["normalized"] for t in added)
+        self.special = sorted(t["content"] for t in added)
         self.cut = regex.compile(r"\n|'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+").findall
         self.alphabet = byte_alphabet()
         self.pieces: dict[str, bytes] = {"\n": _END}
 
-    def _vocabulary(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = [np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32) for text in texts]
+        return np.concatenate([np.empty(0, np.uint32), *ids]), np.array([len(x) for x in ids], np.int64)
+
+    def _vocabulary(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the words in a row, and how many each has."""
-        joined, odd = "\n".join(words), {}
-        if _ODD.search(joined):
-            odd = {k: w for k, w in enumerate(words) if _ODD.search(w)}
-            joined = "\n".join("" if k in odd else w for k, w in enumerate(words))
-        cut = self.cut(joined.lower() + "\n")
+        plain = pc.match_substring_regex(words, _PLAIN)
+        odd = np.flatnonzero(~plain.to_numpy(zero_copy_only=False))
+        row = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), pc.if_else(plain, words, ""))
+        cut = self.cut(pc.binary_join(row, pa.scalar("\n", pa.large_string()))[0].as_py().lower() + "\n")
+        distinct = set(cut)
         if len(self.pieces) > CACHE_PIECES:
-            self.pieces = {"\n": _END}
-        for piece in set(cut).difference(self.pieces):
-            spelled = piece if piece.isascii() else "".join(map(self.alphabet.__getitem__, piece.encode()))
+            self.pieces = {piece: self.pieces[piece] for piece in distinct.intersection(self.pieces)}
+        for piece in distinct.difference(self.pieces):
+            spelled = piece if piece.isascii() and piece.isprintable() else "".join(map(self.alphabet.__getitem__, piece.encode()))
             self.pieces[piece] = array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
         pool = np.frombuffer(b"".join(map(self.pieces.__getitem__, cut)), np.uint32)
         ends = np.flatnonzero(pool == 0xFFFFFFFF)
         sizes = np.diff(ends, prepend=-1) - 1
-        pool = np.delete(pool, ends)
-        if odd:
-            parts = np.split(pool, np.cumsum(sizes)[:-1])
-            for k, word in odd.items():
-                parts[k] = np.array(self.whole.encode(word, add_special_tokens=False).ids, np.uint32)
-            pool, sizes = np.concatenate(parts), np.array([len(p) for p in parts])
+        pool = pool[pool != 0xFFFFFFFF]
+        if len(odd):
+            ids, lengths = self._whole(words.take(pa.array(odd)).to_pylist())
+            pool = np.insert(pool, np.repeat((np.cumsum(sizes) - sizes)[odd], lengths), ids)
+            sizes[odd] = lengths
         return pool, sizes
 
     def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in a row, and how many each text has; a null text has none."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        if any(pc.any(pc.match_substring(texts, s)).as_py() for s in self.special):
-            ids = [np.array(self.whole.encode(t, add_special_tokens=False).ids, np.uint32) for t in texts.to_pylist()]
-            return np.concatenate(ids), np.array([len(x) for x in ids], np.int64)
+        if not self.by_words or any(pc.any(pc.match_substring(texts, s)).as_py() for s in self.special):
+            return self._whole(texts.to_pylist())
         split = pc.ascii_split_whitespace(texts)
         edges = split.offsets.to_numpy()
         coded = split.flatten().dictionary_encode()
-        codes = coded.indices.to_numpy(zero_copy_only=False)
-        if not len(codes):
+        if not len(coded):
             return np.empty(0, np.uint32), np.zeros(len(texts), np.int64)
-        pool, sizes = self._vocabulary(coded.dictionary.to_pylist())
-        begins = np.cumsum(sizes) - sizes
-        each = sizes[codes]
-        ends = np.cumsum(each)
-        place = np.arange(ends[-1]) + np.repeat(begins[codes] - (ends - each), each)
-        ends = np.concatenate([[0], ends])
-        return pool[place], np.diff(ends[edges - edges[0]])
+        pool, sizes = self._vocabulary(coded.dictionary)
+        lists = pa.LargeListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)])), pa.array(pool))
+        ids = lists.take(coded.indices).flatten().to_numpy()
+        ends = np.concatenate([[0], np.cumsum(sizes[coded.indices.to_numpy(zero_copy_only=False)])])
+        return ids, np.diff(ends[edges - edges[0]])
 
 
 def byte_alphabet() -> list[str]:
@@ -122,13 +132,13 @@ def write_tokens(df: DataFrame, path: str, tokenizer: str, end_id: int = 2, text
 
     Rows of the written table: `shard` (ascending with the ids), `segment` (from 0 in each shard), `n_docs`,
     `n_ids`, `data` (the bytes of `simple8b.to_bytes`). Null and empty texts hold the end id alone; a null id
-    comes first; rows that share an id keep every copy, in the order of their texts. Other columns are ignored.
+    comes first; rows that share an id keep every copy, in the order of a hash of their texts. Other columns are ignored.
     Texts are dealt by ranges of the id, of about equal rows, so no source and no group of copies meets in one
     task, and each task holds one segment at a time.
     """
     n = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     dealt = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    dealt = dealt.repartitionByRange(n, "id", F.xxhash64("text")).sortWithinPartitions("id", "text")
+    dealt = dealt.repartitionByRange(n, "id", F.xxhash64("text")).sortWithinPartitions("id", F.xxhash64("text"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(tokenizer)
