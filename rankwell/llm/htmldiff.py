@@ -8,11 +8,13 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter, deque
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -29,13 +31,16 @@ ASIDE = frozenset("head nav footer aside form menu dialog button select template
 #: Words in class, id or role that mark a part as not the article, and those that mark the article.
 CHROME_WORDS = frozenset("ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist consent contentinfo cookie cookies disqus footer form gdpr header login masthead menu menubar modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted promotion related replies reply respond search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget widgets complementary".split())
 MAIN_WORDS = frozenset("article articlebody main content entry post story".split())
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<[!?][^>]*>", re.DOTALL)
+NAME = re.compile(r"(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
+#: What follows a tag's name, quoted values whole; never walks back.
+REST = re.compile(r"((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
+RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.IGNORECASE) for tag in RAW}
 MARK = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 SPLIT = re.compile(r"[^a-z]+")
 #: Share of the characters of two pages outside furniture that lie in common lines, from which they are copies.
 COPY = 0.8
-#: Deleted lines that are sent to every task, at most; more are joined by page.
-FEW = 20_000
+#: Bits of the vectors that one alignment keeps at once; longer pages are aligned by halves.
+TRACE_BITS = 1 << 24
 
 
 def _zone(tag: str, attributes: str, outer: str, in_main: bool) -> str:
@@ -52,16 +57,52 @@ def _zone(tag: str, attributes: str, outer: str, in_main: bool) -> str:
     return MAIN if tag in ("article", "main") or words & MAIN_WORDS and tag not in ("html", "body") else outer
 
 
+def tags(page: str) -> Iterator[tuple[int, int, str, str, str]]:
+    """Start, end, slash, name and attributes of every tag in order, in one pass.
+
+    Comments and declarations come without a name; an element whose content is no markup is one tag up to its end.
+    A tag that never ends is markup to the end of the page, as in browsers. If a quoted value never ends, tags from
+    there on end at the next angle bracket.
+    """
+    at, last, quoted = 0, page.rfind(">"), True
+    while (start := page.find("<", at)) >= 0:
+        slash = name = attributes = ""
+        if page.startswith("<!--", start):
+            found = page.find("-->", start + 2)
+            at = found + 3 if found >= 0 else len(page)
+        elif m := NAME.match(page, start + 1):
+            slash, name = m[1], m[2].lower()
+            rest = REST.match(page, m.end()) if quoted and start < last else None
+            if rest:
+                attributes, at = rest[1], rest.end()
+            elif start < last:
+                quoted, at = False, page.find(">", m.end()) + 1
+                attributes = page[m.end() : at - 1]
+            else:
+                slash, name, at = "", "", len(page)
+            if name in RAW and not slash and not attributes.endswith("/"):
+                end = RAW_END[name].search(page, at)
+                at = end.end() if end else len(page)
+        elif page.startswith(("<!", "<?", "</"), start):
+            at = page.find(">", start) + 1 if start < last else len(page)
+        else:  # an angle bracket in the text
+            at = start + 1
+            continue
+        yield start, at, slash, name, attributes
+
+
 def lines_of(page: str | None) -> list[tuple[str, str]]:
     """The lines of a whole page in order, each with its zone: in the article's element, outside it, or furniture.
 
     A line is the text between two block boundaries, its character references decoded, its white space single.
     Wrongly nested, unclosed and unknown tags are read as browsers do in outline: an end tag closes what is open
-    below it, a block closes an open paragraph. Null and empty pages have no lines.
+    below it, a block closes an open paragraph. Null and empty pages have no lines. The time grows with the length
+    of the page, however deep or broken it is.
     """
     page = page or ""
     out: list[tuple[str, str]] = []
     stack: list[tuple[str, str]] = []
+    opened: Counter[str] = Counter()
     held: list[str] = []
     at, zone = 0, OPEN
 
@@ -76,42 +117,39 @@ def lines_of(page: str | None) -> list[tuple[str, str]]:
         if text:
             held.append(html.unescape(text) if "&" in text else text)
 
-    while m := TOKEN.search(page, at):
-        add(page[at : m.start()])
-        at = m.end()
-        if not m[2]:
+    def close(tag: str) -> None:
+        while True:
+            last, _ = stack.pop()
+            opened[last] -= 1
+            if last == tag:
+                return
+
+    for start, end, slash, tag, attributes in tags(page):
+        add(page[at:start])
+        at = end
+        if not tag:
             continue
-        tag, closing = m[2].lower(), m[1]
-        if closing:
-            if any(t == tag for t, _ in stack):
-                if tag in BLOCKS:
-                    close_line()
-                while stack.pop()[0] != tag:
-                    pass
-            elif tag in BLOCKS:
-                close_line()
-        elif tag == "br":
+        if tag == "br":
             add(" ")
             continue
+        if tag in BLOCKS:
+            close_line()
+        if slash:
+            if opened[tag]:
+                close(tag)
         else:
-            if tag in BLOCKS:
-                close_line()
-                if stack and any(t == "p" for t, _ in stack[-4:]):
-                    while stack.pop()[0] != "p":
-                        pass
-                if tag in ("li", "td", "th", "tr", "dd", "dt", "option") and stack and stack[-1][0] == tag:
-                    stack.pop()
-            if tag in VOID or m[3].endswith("/") and tag not in BLOCKS:
-                continue
-            if tag in RAW:
-                end = re.compile(rf"</{tag}\s*>", re.IGNORECASE).search(page, at)
-                at = end.end() if end else len(page)
+            if tag in BLOCKS and any(t == "p" for t, _ in stack[-4:]):
+                close("p")
+            if tag in BLOCKS and stack and stack[-1][0] == tag and tag in ("li", "td", "th", "tr", "dd", "dt", "option"):
+                close(tag)
+            if tag in VOID or tag in RAW or attributes.endswith("/") and tag not in BLOCKS:
                 continue
             outer = stack[-1][1] if stack else OPEN
-            inner = _zone(tag, m[3], outer, any(t in ("article", "main") for t, _ in stack))
+            inner = _zone(tag, attributes, outer, bool(opened["article"] or opened["main"]))
             if inner != outer:
                 close_line()
             stack.append((tag, inner))
+            opened[tag] += 1
         new = stack[-1][1] if stack else OPEN
         if new != zone:
             close_line()
@@ -126,29 +164,56 @@ def line_hash(text: str) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def shared_lines(mine: list[int], theirs: list[int]) -> set[int]:
-    """Positions of `mine` in a longest common subsequence with `theirs`, by bit vectors."""
-    n = len(mine)
-    if not n or not theirs:
-        return set()
+def _states(mine: list[int], theirs: list[int]) -> Iterator[int]:
+    """After each line of `theirs`, the bits of `mine` at which no common subsequence grows."""
     masks: dict[int, int] = {}
     for i, x in enumerate(mine):
         masks[x] = masks.get(x, 0) | 1 << i
-    full, state, rows = (1 << n) - 1, (1 << n) - 1, []
+    full = state = (1 << len(mine)) - 1
     for x in theirs:
         both = state & masks.get(x, 0)
         state = ((state + both) | (state - both)) & full
-        rows.append(state)
-    found, row, col = set(), len(theirs), n
-    while row and col:
-        bit = 1 << (col - 1)
-        if rows[row - 1] & bit:
-            col -= 1
-        else:
-            row -= 1
-            if not row or rows[row - 1] & bit:
+        yield state
+
+
+def _lengths(mine: list[int], theirs: list[int]) -> np.ndarray:
+    """Length of the longest common subsequence of `theirs` with the first 0, 1, ... lines of `mine`."""
+    state = deque(_states(mine, theirs), 1)[0]
+    bits = np.unpackbits(np.frombuffer(state.to_bytes(-(-len(mine) // 8), "little"), np.uint8), bitorder="little")[: len(mine)]
+    return np.concatenate([[0], np.cumsum(1 - bits.astype(np.int64))])
+
+
+def shared_lines(mine: list[int], theirs: list[int]) -> set[int]:
+    """Positions of `mine` in a longest common subsequence with `theirs`, by bit vectors.
+
+    Lines that the other page does not hold are left out first; pages of very many common lines are cut where the
+    subsequence meets the middle of `theirs`, so that no more than TRACE_BITS bits are kept.
+    """
+    common = set(mine).intersection(theirs)
+    places = [i for i, x in enumerate(mine) if x in common]
+    theirs = [x for x in theirs if x in common]
+    todo, found = [(0, len(places), 0, len(theirs))], set()
+    while todo:
+        a, b, c, d = todo.pop()
+        here, there = [mine[i] for i in places[a:b]], theirs[c:d]
+        if not here or not there:
+            continue
+        if len(here) * len(there) > TRACE_BITS and len(there) > 1:
+            mid = (c + d) // 2
+            best = a + int(np.argmax(_lengths(here, theirs[c:mid]) + _lengths(here[::-1], theirs[mid:d][::-1])[::-1]))
+            todo += [(a, best, c, mid), (best, b, mid, d)]
+            continue
+        rows = list(_states(here, there))
+        row, col = len(there), len(here)
+        while row and col:
+            bit = 1 << (col - 1)
+            if rows[row - 1] & bit:
                 col -= 1
-                found.add(col)
+            else:
+                row -= 1
+                if not row or rows[row - 1] & bit:
+                    col -= 1
+                    found.add(places[a + col])
     return found
 
 
@@ -158,9 +223,15 @@ def copies(a: dict[int, int], b: dict[int, int]) -> bool:
     return common >= COPY * (sum(a.values()) + sum(b.values()) - common)
 
 
+def page_lines(lines: list[tuple[str, str]]) -> dict:
+    """Hash of every line, and its characters: 0 in furniture, below 0 in the article's element."""
+    sign = {CHROME: 0, MAIN: -1, OPEN: 1}
+    return {"hashes": [line_hash(text) for _, text in lines], "sizes": [sign[zone] * len(text) for zone, text in lines]}
+
+
 def weighed(page: dict) -> dict[int, int]:
     """The lines outside furniture of a page, with their characters."""
-    return {line: size for line, size in zip(page["hashes"], page["sizes"], strict=True) if size}
+    return {line: abs(size) for line, size in zip(page["hashes"], page["sizes"], strict=True) if size}
 
 
 def article(lines: list[tuple[str, str]], deleted: set[int]) -> str:
@@ -226,55 +297,70 @@ def neighbour_lines(pages: DataFrame) -> DataFrame:
     return walked.join(beside, ["part", "run"]).select("key", "page", "before", "after")
 
 
-def extract(df: DataFrame, html_col: str = "html", url_col: str = "url", text_col: str = "text") -> DataFrame:
+def extract(df: DataFrame, html_col: str = "html", url_col: str = "url", text_col: str = "text", counts: bool = False) -> DataFrame:
     """df with `text_col`, the main text of each page; every other column stays.
 
+    Every page is aligned with its neighbours and every line that it shares with one is deleted, in furniture as
+    elsewhere. Structure comes after: lines inside the article's element are protected, for articles of one host may
+    quote each other or hold equal lines, and furniture that differs from page to page is left out. With `counts`
+    there are also n_lines, n_deleted (by differencing), n_protected (shared, but in the article's element) and
+    n_furniture (left out by structure alone).
+
     A null url has no host and no neighbours, so its page is judged alone; a null or empty page gives an empty
-    text. Repeated rows are one page, which is aligned once and does not meet itself. Lines inside the article's
-    element stay even if a neighbour shares them, for articles of one host may quote each other or hold equal lines;
-    every other line outside furniture goes if a neighbour shares it. Copies of a page are not its neighbours; a page
-    that has only copies on its host is judged alone.
+    text. Repeated rows are one page, which is aligned once and does not meet itself. Copies of a page are not its
+    neighbours; a page that has only copies on its host is judged alone. What is shuffled is the lines' hashes and,
+    once, the lines that may stay; a page that very many rows repeat is one key, whose rows Spark splits.
     """
     key = F.xxhash64(df[url_col], df[html_col])
 
     def hashes(pages: pa.Array) -> pa.Array:
-        rows = []
-        for page in pages.to_pylist():
-            lines = lines_of(page)
-            # a page without lines outside the article's element and furniture only serves its neighbours
-            rows.append({"open": any(zone == OPEN for zone, _ in lines), "page": {"hashes": [line_hash(text) for _, text in lines], "sizes": [0 if zone == CHROME else len(text) for zone, text in lines]}})
-        return pa.array(rows, pa.struct([("open", pa.bool_()), ("page", pa.struct([("hashes", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32()))]))]))
-
-    made = F.arrow_udf(hashes, "open boolean, page struct<hashes:array<bigint>,sizes:array<int>>")(df[html_col])
-    seen = df.filter(df[url_col].isNotNull()).select(key.alias("key"), F.lower(F.regexp_extract(df[url_col], r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)", 1)).alias("host"), F.regexp_extract(df[url_col], r"^(?:(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//[^/?#]*)?([^?#]*)", 1).alias("path"), made.alias("h"))
+        return pa.array([page_lines(lines_of(page)) for page in pages.to_pylist()], pa.struct([("hashes", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32()))]))
+
+    made = F.arrow_udf(hashes, "struct<hashes:array<bigint>,sizes:array<int>>")(df[html_col])
+    host = F.lower(F.regexp_extract(df[url_col], r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)", 1))
+    path = F.regexp_extract(df[url_col], r"^(?:(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//[^/?#]*)?([^?#]*)", 1)
+    seen = df.filter(df[url_col].isNotNull()).select(key.alias("key"), host.alias("host"), path.alias("path"), made.alias("page"))
     # a filter ahead of the table would have every page read twice
-    table = materialize(seen.select("key", "host", "path", "h.open", "h.page").dropDuplicates(["key"])).filter(F.size("page.hashes") > 0)
+    table = materialize(seen.dropDuplicates(["key"])).filter(F.size("page.hashes") > 0)
 
     def align(mine: pa.Array, before: pa.Array, after: pa.Array) -> pa.Array:
         rows = []
         for page, *beside in zip(mine.to_pylist(), before.to_pylist(), after.to_pylist(), strict=True):
             # a page that is a copy of its run's leader may also be one of the next leader
             others = [other for other in beside if other and not copies(weighed(page), weighed(other))]
-            rows.append(sorted(set().union(*(shared_lines(page["hashes"], other["hashes"]) for other in others))))
-        return pa.array(rows, pa.list_(pa.int32()))
-
-    needed = table.filter("open")
-    near = neighbour_lines(table.join(needed.select("host").distinct(), "host", "left_semi").select("key", "host", "path", "page"))
-    near = near.join(needed.select("key"), "key", "left_semi")
-    shared = F.arrow_udf(align, "array<int>")("page", "before", "after")
-    deleted = materialize(near.select(F.col("key").alias("__k"), shared.alias("__d")).filter(F.size("__d") > 0))
-    if deleted.limit(FEW + 1).count() <= FEW and (deleted.agg(F.sum(F.size("__d"))).first()[0] or 0) <= 50 * FEW:
-        deleted = F.broadcast(deleted)
-
-    def finish(pages: pa.Array, marks: pa.Array) -> pa.Array:
-        return pa.array([article(lines_of(page), set(gone or ())) for page, gone in zip(pages.to_pylist(), marks.to_pylist(), strict=True)], pa.string())
-
-    kept = [F.col(c) for c in df.columns if c != text_col]
-    joined = df.withColumn("__key", key).join(deleted, F.col("__key") == F.col("__k"), "left")
-    return joined.select(*kept, F.arrow_udf(finish, "string")(F.col(html_col), F.col("__d")).alias(text_col))
+            shared = set().union(*(shared_lines(page["hashes"], other["hashes"]) for other in others))
+            rows.append([i in shared for i in range(len(page["hashes"]))])
+        return pa.array(rows, pa.list_(pa.bool_()))
+
+    shared = F.arrow_udf(align, "array<boolean>")("page", "before", "after")
+    marks = neighbour_lines(table).select(F.col("key").alias("__k"), shared.alias("__d"))
+
+    def kept(pages: pa.Array) -> pa.Array:
+        rows = [[(zone == MAIN, None if zone == CHROME else text) for zone, text in lines_of(page)] for page in pages.to_pylist()]
+        return pa.array(rows, pa.list_(pa.struct([("main", pa.bool_()), ("text", pa.string())])))
+
+    columns = [F.col(c) for c in df.columns if c != text_col]
+    lines = F.arrow_udf(kept, "array<struct<main:boolean,text:string>>")(F.col(html_col))
+    # the lines are read before the join, which then carries no page
+    read = df.select(*columns, key.alias("__key"), lines.alias("__l"))
+    joined = read.join(marks, F.col("__key") == F.col("__k"), "left")
+    shared = lambda i: F.coalesce(F.get("__d", i), F.lit(False))
+    stays = F.filter("__l", lambda x, i: x["text"].isNotNull() & (x["main"] | ~shared(i)))
+    text = F.array_join(F.transform(stays, lambda x: x["text"]), "\n").alias(text_col)
+    if not counts:
+        return joined.select(*columns, text)
+    number = lambda name, test: F.size(F.filter("__l", test)).cast("long").alias(name)
+    return joined.select(
+        *columns,
+        text,
+        F.size("__l").cast("long").alias("n_lines"),
+        number("n_deleted", lambda x, i: shared(i) & ~x["main"]),
+        number("n_protected", lambda x, i: shared(i) & x["main"]),
+        number("n_furniture", lambda x, i: x["text"].isNull() & ~shared(i)),
+    )
 
 
 def op9_html_url_diff(spark: SparkSession, pages: DataFrame) -> DataFrame:
-    """Main text of every page: page_id, url, text, n_chars."""
-    made = extract(pages.select("page_id", "url", "html"))
-    return made.select("page_id", "url", "text").withColumn("n_chars", F.char_length("text").cast("long"))
+    """Main text of every page: page_id, url, text, n_chars, and the counts of `extract`."""
+    made = extract(pages.select("page_id", "url", "html"), counts=True)
+    return made.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"), "n_lines", "n_deleted", "n_protected", "n_furniture")

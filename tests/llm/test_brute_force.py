@@ -331,6 +331,55 @@ def test_shared_lines_are_a_longest_common_subsequence():
         assert len(found) == longest(a, b) and all(a[i] in rest for i in found)
 
 
+def test_shared_lines_of_long_pages_are_found_by_halves(monkeypatch):
+    draw = random.Random(2)
+    cases = [[[draw.randrange(6) for _ in range(draw.randrange(20))] for _ in range(2)] for _ in range(600)]
+    whole = [len(htmldiff.shared_lines(a, b)) for a, b in cases]
+    monkeypatch.setattr(htmldiff, "TRACE_BITS", 6)
+    for (a, b), longest in zip(cases, whole, strict=True):
+        found, rest = sorted(htmldiff.shared_lines(a, b)), iter(b)
+        assert len(found) == longest and all(a[i] in rest for i in found)
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<div>", "<a '", '<a "> "<b ', "<!", "</p", "<p><b>", "<div class='x", "</b>"])
+def test_broken_and_deep_pages_are_read_in_linear_time(piece):
+    import time
+
+    began = time.time()
+    lines = htmldiff.lines_of("<p>one</p>" + 60_000 * piece + "<p>two</p>")
+    assert time.time() - began < 10 and lines[0][1] == "one"
+
+
+def test_tags_that_never_end_are_markup():
+    words = lambda page: [text for _, text in htmldiff.lines_of(page)]
+    assert words("<p>a < b <c d") == ["a < b"] and words("a<!-->b<!-- c") == ["ab"]
+    assert words('<p title="x>y">a</p><p title="z>b</p><p>c') == ["a", "b", "c"]
+    assert words("<script>if (a < b) '</p>'</script>x<script/>y") == ["xy"]
+
+
+def test_differencing_decides_where_pages_bear_no_marks(spark):
+    """The given pages without class names and without elements that tell furniture and article apart."""
+    import html
+
+    folder = "/root/testdata/sf0.01"
+    pages = spark.read.parquet(f"{folder}/pages.parquet").collect()
+    bare = lambda page: re.sub(r"(</?)(?:article|main|nav|footer|header|aside|section)\b[^>]*>", r"\1div>", re.sub(r"\s(?:class|id|role)=(?:\"[^\"]*\"|'[^']*')", "", page))
+    rows = [(r.page_id, "http://one.example/" + r.url.split("/", 3)[3], bare(r.html)) for r in pages]
+    # one host with one menu, as each of the given hosts has few pages
+    menu = "".join(f"<div><a href='/{i}'>Menu entry {i}</a></div>" for i in range(8))
+    rows = [(i, url, page.replace("<body>", "<body>" + menu, 1)) for i, url, page in rows]
+    got = {r.page_id: r for r in htmldiff.op9_html_url_diff(spark, spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    clean = kept = lost = 0
+    for r in pages:
+        article = re.search(r"<article>(.*?)</article>", r.html, re.DOTALL)[1]
+        blocks = [" ".join(html.unescape(re.sub(r"<[^>]*>", "", b)).split()) for b in re.split(r"</?(?:p|h1)>", article)]
+        left = got[r.page_id].text.split("\n")
+        kept, lost = kept + sum(b in left for b in blocks if b), lost + sum(b not in left for b in blocks if b)
+        clean += not any(line.startswith("Menu entry") for line in left) and got[r.page_id].n_deleted >= 8
+    # articles of this one host share some lines with their neighbours
+    assert clean >= 0.95 * len(pages) and kept >= 0.9 * (kept + lost), (clean, kept, lost)
+
+
 def test_furniture_is_left_out():
     page = '<header>H</header><nav>n</nav><div class="cookie-notice">c</div><div id="content"><h1>T &amp; U</h1><p>a <b>b</b>&nbsp;c<br>d<p>e<div class="ad">z</div><ul><li>one<li>two</ul><form>f</form><section class="comments"><p>bad</p></section></div><aside>s</aside><script>var x="</p>";</script><footer>F</footer>'
     assert htmldiff.article(htmldiff.lines_of(page), set()) == "T & U\na b c d\ne\none\ntwo"
