@@ -8,21 +8,29 @@ gives it up, it is taken from its other cells, and so on until nothing is left.
 
 from __future__ import annotations
 
+import math
+from collections import Counter
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rankwell.llm.common import bucket_of, split_points, whole_text
+from rankwell.llm.common import whole_text
 
 #: Cells of the stored sketch, and of the sketches tried in turn where it is too small.
 CELLS = 24
-LARGER = (24, 48, 96)
+LARGER = (24, 48, 96, 192)
 #: Differing paragraphs that one retried sketch is expected to hold; the digests are dealt over as many as it takes.
 LOAD = 8
 #: Steps of peeling; each works on one third of the cells, in turn.
 STEPS = 18
-#: Ranges of the id over which texts meet the next ones.
-RANGES = 256
+#: Bytes of text in one of the ranges over which texts meet the next ones, on average, and ranges at least.
+RANGE_BYTES = 1 << 25
+RANGES = 32
+#: Stands for a null id in the order of ids.
+_NO_ID = -(1 << 63)
+_FOUND = "array<struct<x:bigint,n:bigint>>"
 
 
 def digests(text: Column) -> Column:
@@ -66,7 +74,9 @@ def subtract(a: Column, b: Column) -> Column:
 
 
 def peel(difference: Column, cells: Column) -> Column:
-    """How many paragraphs differ, from the sketch of the difference; null if digests are left that do not come free."""
+    """The digests that differ, each with how many more the first version has (x, n), from the sketch of the
+    difference; null if digests are left that do not come free.
+    """
     def free(third: Column, t: Column) -> Column:
         whole = lambda c: F.when(c["k"] % F.nullif(c["n"], F.lit(0)) == 0, F.call_function("div", c["k"], F.nullif(c["n"], F.lit(0)))).otherwise(-1)
         keyed = F.transform(third, lambda c, i: F.when(c["n"] != 0, F.struct(c["n"].alias("n"), whole(c).alias("x"), c["h"].alias("h"), i.alias("i"))))
@@ -77,51 +87,89 @@ def peel(difference: Column, cells: Column) -> Column:
             less = lambda a, e: _cell(a["n"] - e["n"], a["k"] - e["n"] * e["x"], a["h"] - e["h"])
             gone = lambda u: F.transform(pure, lambda p: F.struct(_slot(p["x"], u, cells).alias("s"), p["n"].alias("n"), p["x"].alias("x"), p["h"].alias("h")))
             left = F.transform(state["cells"], lambda third, u: _let(gone(u), lambda out: F.transform(third, lambda c, i: F.aggregate(F.filter(out, lambda e: e["s"] == i), c, less))))
-            count = F.aggregate(pure, state["found"], lambda a, p: a + F.abs(p["n"]))
+            found = F.concat(state["found"], F.transform(pure, lambda p: F.struct(p["x"].alias("x"), p["n"].alias("n"))))
             idle = F.struct(state["cells"].alias("cells"), state["found"].alias("found"), (state["idle"] + 1).alias("idle"))
-            return F.when(F.size(pure) > 0, F.struct(left.alias("cells"), count.alias("found"), F.lit(0).alias("idle"))).otherwise(idle)
+            return F.when(F.size(pure) > 0, F.struct(left.alias("cells"), found.alias("found"), F.lit(0).alias("idle"))).otherwise(idle)
 
         # three steps in a row without a free cell: nothing more comes
         return F.when(state["idle"] < 3, _let(free(F.get(state["cells"], r % 3), r % 3), take)).otherwise(state)
 
-    start = F.struct(difference.alias("cells"), F.lit(0).cast("long").alias("found"), F.lit(0).alias("idle"))
+    start = F.struct(difference.alias("cells"), F.array().cast(_FOUND).alias("found"), F.lit(0).alias("idle"))
     end = F.aggregate(F.sequence(F.lit(0), F.lit(STEPS - 1)), start, step)
     clean = lambda c: (c["n"] == 0) & (c["k"] == 0) & (c["h"] == 0)
     return _let(end, lambda s: F.when(F.forall(s["cells"], lambda third: F.forall(third, clean)), s["found"]))
 
 
-def differing(a: Column, b: Column) -> Column:
-    """How many paragraphs two arrays of digests do not share, repeats counted.
+def _result(found: Column, failed: Column, direct: Column) -> Column:
+    return F.struct(found.cast(_FOUND).alias("found"), failed.cast("int").alias("failed"), direct.cast("int").alias("direct"))
+
+
+def _counted(a: Column, b: Column) -> Column:
+    """The differing digests of two small arrays, counted one by one."""
+    count = lambda of, x: F.size(F.filter(of, lambda e: e == x)).cast("long")
+    each = F.transform(F.array_distinct(F.concat(a, b)), lambda x: F.struct(x.alias("x"), (count(a, x) - count(b, x)).alias("n")))
+    return F.filter(each, lambda e: e["n"] != 0)
+
+
+def _grouped(a: Column, b: Column, parts: Column) -> Column:
+    """The digests of both arrays dealt over `parts`: arrays of (part, x, mine), by one sort and cuts between parts."""
+    deal = lambda of, mine: F.transform(of, lambda x: F.struct(F.pmod(F.xxhash64(x, F.lit(7)), parts).alias("part"), x.alias("x"), F.lit(mine).alias("mine")))
+
+    def cut(entries: Column) -> Column:
+        begins = lambda i: (i == 0) | (F.get(entries, i)["part"] != F.get(entries, i - 1)["part"])
+        starts = F.filter(F.transform(entries, lambda _, i: F.when(begins(i), i)), lambda i: i.isNotNull())
+        return _let(starts, lambda at: F.transform(at, lambda i, j: F.slice(entries, i + 1, F.coalesce(F.get(at, j + 1), F.size(entries)) - i)))
+
+    return _let(F.array_sort(F.concat(deal(a, True), deal(b, False))), cut)
 
-    Two sketches of the stored size are tried first. On failure the digests of both are dealt by their remainder
-    over enough sketches for LOAD paragraphs each, and each of those is retried larger as long as it fails; what
-    fails at every size is counted directly.
+
+def differences(a: Column, b: Column, stored_a: Column | None = None, stored_b: Column | None = None) -> Column:
+    """What two arrays of digests do not share: struct of `found` (digest x, n more in a than in b), `failed`, the
+    sketches that did not peel, and `direct`, the parts that did not peel at any size.
+
+    The stored sketches are subtracted and peeled first. On failure the digests of both are dealt over enough
+    sketches for LOAD paragraphs each, and each of those is retried larger as long as it fails; a part that fails at
+    every size is counted digest by digest. The work grows with the number of paragraphs (and the log of it).
     """
-    def direct(x: Column, y: Column) -> Column:
-        count = lambda of, d: F.size(F.filter(of, lambda e: e == d))
-        return F.aggregate(F.array_distinct(F.concat(x, y)), F.lit(0).cast("long"), lambda s, d: s + F.abs(count(x, d) - count(y, d)))
+    stored = lambda given, of: sketch(of, F.lit(CELLS)) if given is None else given
+    # what lambdas use again and again is computed once
+    return _let(F.struct(a.alias("a"), b.alias("b")), lambda v: _differences(v["a"], v["b"], stored(stored_a, v["a"]), stored(stored_b, v["b"])))
 
-    unknown = F.lit(None).cast("long")
 
-    def tried(x: Column, y: Column, sizes: Column) -> Column:
+def _differences(a: Column, b: Column, stored_a: Column, stored_b: Column) -> Column:
+    def tried(x: Column, y: Column) -> Column:
         once = lambda m: peel(subtract(sketch(x, m), sketch(y, m)), m)
-        return F.aggregate(sizes, unknown, lambda found, m: F.when(found.isNull(), once(m)).otherwise(found))
+        start = _result(F.lit(None), F.lit(0), F.lit(0))
+        again = lambda s, m: _let(once(m), lambda f: _result(f, s["failed"] + f.isNull().cast("int"), F.lit(0)))
+        end = F.aggregate(F.array(*map(F.lit, LARGER)), start, lambda s, m: F.when(s["found"].isNull(), again(s, m)).otherwise(s))
+        return _let(end, lambda s: F.when(s["found"].isNotNull(), s).otherwise(_result(_counted(x, y), s["failed"], F.lit(1))))
+
+    def dealt(parts: Column) -> Column:
+        side = lambda g, mine: F.transform(F.filter(g, lambda e: e["mine"] == F.lit(mine)), lambda e: e["x"])
+        groups = _grouped(a, b, parts)
+        each = F.transform(groups, lambda g: _let(F.struct(side(g, True).alias("x"), side(g, False).alias("y")), lambda p: tried(p["x"], p["y"])))
+        total = lambda of, name: F.aggregate(of, F.lit(0), lambda s, r: s + r[name])
+        return _let(each, lambda r: _result(F.flatten(F.transform(r, lambda x: x["found"])), total(r, "failed") + 1, total(r, "direct")))
 
-    def dealt(parts: Column, sizes: Column) -> Column:
-        pairs = F.transform(F.sequence(F.lit(0).cast("long"), parts - 1), lambda g: F.struct(F.filter(a, lambda x: x % parts == g).alias("a"), F.filter(b, lambda x: x % parts == g).alias("b")))
-        return F.aggregate(pairs, F.lit(0).cast("long"), lambda s, p: F.when(s.isNotNull(), s + tried(p["a"], p["b"], sizes)))
+    parts = F.ceil((F.size(a) + F.size(b)) / LOAD).cast("long")
+    first = peel(subtract(stored_a, stored_b), F.lit(CELLS))
+    return _let(first, lambda f: F.when(f.isNotNull(), _result(f, F.lit(0), F.lit(0))).otherwise(_let(parts, dealt)))
 
-    plan = lambda parts, *sizes: F.struct(parts.cast("long").alias("parts"), F.array(*map(F.lit, sizes)).alias("sizes"))
-    tries = F.array(plan(F.lit(1), CELLS), plan(F.ceil((F.size(a) + F.size(b)) / LOAD), *LARGER))
-    # as many paragraphs differ at least as one text has more than the other: then the first try is left out
-    tries = F.when(F.abs(F.size(a) - F.size(b)) > CELLS, F.slice(tries, 2, 1)).otherwise(tries)
-    return F.coalesce(F.aggregate(tries, unknown, lambda found, t: F.when(found.isNull(), dealt(t["parts"], t["sizes"])).otherwise(found)), direct(a, b))
 
+def apart(found: Column) -> Column:
+    """How many paragraphs `differences` found, repeats counted."""
+    return F.aggregate(found, F.lit(0).cast("long"), lambda s, e: s + F.abs(e["n"]))
 
-def likeness(a: Column, b: Column) -> Column:
+
+def differing(a: Column, b: Column) -> Column:
+    """How many paragraphs two arrays of digests do not share, repeats counted."""
+    return apart(differences(a, b)["found"])
+
+
+def likeness(a: Column, b: Column, differing: Column) -> Column:
     """Shared paragraphs as a share of all: 1 for equal texts, 0 if nothing is shared."""
     both = F.size(a) + F.size(b)
-    return _let(differing(a, b), lambda d: (both - d) / (both + d).cast("double"))
+    return (both - differing) / (both + differing).cast("double")
 
 
 def fingerprint(stored: Column) -> Column:
@@ -129,21 +177,59 @@ def fingerprint(stored: Column) -> Column:
     return F.array_join(F.transform(F.flatten(stored), lambda c: F.concat_ws(".", F.hex(c["n"]), F.hex(c["k"]), F.hex(c["h"]))), "-")
 
 
-def with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranges: int = RANGES) -> DataFrame:
+def id_ranges(ids: DataFrame, ranges: int) -> tuple[list[int], list[int]]:
+    """Ascending ids that end the ranges of a column `k`, and how many ranges each of the spans up to them gets.
+
+    An id that holds more rows than a range (it fills several quantiles) is a span of its own with as many ranges
+    as it fills. One aggregate; what reaches the driver is bounded by `ranges`.
+    """
+    shares = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
+    points = ids.agg(F.percentile_approx("k", shares, 10 * ranges).alias("p")).first()["p"] if ranges > 1 else None
+    times = Counter(points or [])
+    ends: dict[int, int] = {}
+    for point in sorted(times):
+        if times[point] > 1:
+            if point > _NO_ID:
+                ends.setdefault(point - 1, 1)
+            ends[point] = times[point]
+        else:
+            ends[point] = 1
+    return list(ends), [*ends.values(), 1]
+
+
+def range_of(k: Column, spread: Column, ends: list[int], parts: list[int]) -> Column:
+    """The range of an id: its span, found in a list of lists, and one of the span's ranges by the order of `spread`."""
+    if not ends:
+        return F.lit(0)
+    width = math.isqrt(len(ends)) + 1
+    rows = [ends[i : i + width] for i in range(0, len(ends), width)]
+    below = lambda values, x: F.size(F.filter(values, lambda p: p < x))
+    row = below(F.lit([r[-1] for r in rows]), k)
+    inner = F.coalesce(F.get(F.array(*map(F.lit, rows)), row), F.array().cast("array<bigint>"))
+    span = F.least(row * width + below(inner, k), F.lit(len(ends)))
+    first = list(accumulate(parts, initial=0))[:-1]
+    inside = (F.shiftright(spread, 32) + F.lit(1 << 31)) * F.get(F.lit(parts), span)
+    return (F.get(F.lit(first), span) + F.shiftright(inside, 32)).cast("int")
+
+
+def with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", range_bytes: int = RANGE_BYTES) -> DataFrame:
     """id, text and `next`, the text of the next row by ascending id; after the last row comes the first.
 
-    Null texts are empty. Rows that share an id follow each other in the order of their texts; null ids come first;
-    a single row is its own next. The rows are dealt by ranges of the id, of about equal rows; the last row of a
-    range takes the first of the next range from a table of one row a range.
+    Null texts are empty. Rows that share an id follow each other in the order of a hash of their texts; null ids
+    come first; a single row is its own next. The rows are dealt by ranges of that order, so many that a range holds
+    about `range_bytes`, an id with very many rows over several; the last row of a range takes the first of the next
+    range from a table of one row a range.
     """
-    slim = df.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text"))
-    points = split_points(df.select(F.col(id_col).alias("id")), "id", ranges)
-    ranged = slim.withColumn("range", bucket_of("id", points)).repartition("range")
-    place = F.struct(F.col("id").isNotNull(), "id", "text")
-    heads = slim.withColumn("range", bucket_of("id", points)).groupBy("range").agg(F.min_by("text", place).alias("head"))
+    slim = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("k"), whole_text(text_col).alias("text"))
+    stored = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ranges = max(RANGES, -(-stored // range_bytes))
+    ends, parts = id_ranges(slim.select("k"), ranges)
+    slim = slim.withColumn("h", F.xxhash64("text")).withColumn("range", range_of(F.col("k"), F.col("h"), ends, parts))
+    ranged = slim.repartition(sum(parts), "range")
+    heads = slim.groupBy("range").agg(F.min_by("text", F.struct("k", "h", "text")).alias("head"))
     everything = W.orderBy("range").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     follows = heads.select(F.col("range").alias("r"), F.coalesce(F.lead("head").over(W.orderBy("range")), F.first("head").over(everything)).alias("after"))
-    order = W.partitionBy("range").orderBy("id", "text")
+    order = W.partitionBy("range").orderBy("k", "h", "text")
     near = ranged.withColumns({"next": F.lead("text").over(order)})
     joined = near.join(follows, F.col("range") == F.col("r"), "left")
     return joined.select(F.col("id").alias(id_col), F.col("text").alias(text_col), F.coalesce("next", "after").alias("next"))
@@ -152,14 +238,25 @@ def with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ran
 def op7_iblt_fingerprint(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Fingerprint of every whole text and of its edited text, with likenesses.
 
-    doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
+    doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next; n_failed and n_direct
+    add up what `differences` says of both comparisons.
     """
     near = with_next(docs)
     size = F.char_length("text")
     half = F.floor(size / 2).cast("int")
     edited = F.concat(F.col("text").substr(F.lit(1), (size - half).cast("int")), F.col("next").substr(F.lit(1), half))
-    rows = near.select("doc_id", size.cast("long").alias("n_chars"), F.sha2(edited.cast("binary"), 256).alias("edited_sha256"), digests(F.col("text")).alias("a"), digests(edited).alias("e"), digests(F.col("next")).alias("b"))
-    stored = lambda of: fingerprint(sketch(of, F.lit(CELLS)))
-    near_both = F.transform(F.array("e", "b"), lambda other: likeness(F.col("a"), other))
-    rows = rows.select("doc_id", "n_chars", "edited_sha256", stored(F.col("a")).alias("fingerprint"), stored(F.col("e")).alias("edited_fingerprint"), near_both.alias("near"))
-    return rows.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", F.col("near")[0].alias("near_edited"), F.col("near")[1].alias("near_next"))
+    versions = F.transform(F.array(F.col("text"), edited, F.col("next")), lambda text: _let(digests(text), lambda d: F.struct(d.alias("d"), sketch(d, F.lit(CELLS)).alias("s"))))
+    rows = near.select("doc_id", size.cast("long").alias("n_chars"), F.sha2(edited.cast("binary"), 256).alias("edited_sha256"), versions.alias("v"))
+    first = F.col("v")[0]
+
+    def against(other: Column) -> Column:
+        found = differences(first["d"], other["d"], first["s"], other["s"])
+        return _let(found, lambda r: F.struct(likeness(first["d"], other["d"], apart(r["found"])).alias("near"), r["failed"].alias("failed"), r["direct"].alias("direct")))
+
+    both = F.transform(F.slice("v", 2, 2), against)
+    rows = rows.select("doc_id", "n_chars", "edited_sha256", fingerprint(first["s"]).alias("fingerprint"), fingerprint(F.col("v")[1]["s"]).alias("edited_fingerprint"), both.alias("near"))
+    number = lambda name: (F.col("near")[0][name] + F.col("near")[1][name]).cast("long")
+    return rows.select(
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", F.col("near")[0]["near"].alias("near_edited"), F.col("near")[1]["near"].alias("near_next"),
+        number("failed").alias("n_failed"), number("direct").alias("n_direct"),
+    )

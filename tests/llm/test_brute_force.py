@@ -272,6 +272,31 @@ def test_sketches_of_many_paragraphs_peel(spark):
     assert row.d == 450 + 600
 
 
+def test_sketches_of_a_hundred_thousand_paragraphs(spark):
+    from pyspark.sql import functions as F
+
+    n = 100_000
+    one, two = [f"line {i % (n - 50)}" for i in range(n)], [f"{'line' if i % 4 else 'other'} {i}" for i in range(n)]
+    frame = spark.createDataFrame([("\n".join(one), "\n".join(two))], "a string, b string")
+    row = frame.select(iblt.differences(iblt.digests(F.col("a")), iblt.digests(F.col("b"))).alias("d")).select("d.failed", "d.direct", iblt.apart(F.col("d.found")).alias("apart"), F.array_sort(F.transform("d.found", lambda e: e["x"])).alias("x")).first()
+    a, b = Counter(one), Counter(two)
+    assert row.apart == ((a - b) + (b - a)).total() and row.failed > 0 and row.direct == 0
+    lines = spark.createDataFrame([(x,) for x in {*(a - b), *(b - a)}], "line string").select(iblt.digests(F.col("line"))[0].alias("x"))
+    assert row.x == sorted(r.x for r in lines.collect())
+
+
+def test_next_texts_of_hot_ids_and_many_ranges(spark):
+    draw = random.Random(4)
+    rows = [(draw.choice([None, 7, 7, 7, draw.randrange(-50, 50), 9 * 10**17]), f"text {draw.randrange(500)}") for _ in range(3000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    points, parts = iblt.id_ranges(frame.select(iblt.F.coalesce("doc_id", iblt.F.lit(iblt._NO_ID)).alias("k")), 40)
+    assert points == sorted(set(points)) and parts[points.index(7)] > 10 and sum(parts) < 60
+    got = Counter((r.doc_id, r.text, r.next) for r in iblt.with_next(frame, range_bytes=300).collect())
+    hashed = {r.text: r.h for r in frame.select("text", iblt.F.xxhash64("text").alias("h")).distinct().collect()}
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, hashed[r[1]]))
+    assert got == Counter((i, t, after) for (i, t), (_, after) in zip(order, order[1:] + order[:1], strict=True))
+
+
 def test_op8_targets(spark, docs):
     size = {i: len(re.findall(r"[^\x20\x09-\x0D]+", r.text or "")) for i, r in docs.items()}
     by = Counter()
