@@ -9,11 +9,12 @@ from __future__ import annotations
 import html
 import re
 from collections import Counter, deque
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -239,6 +240,28 @@ def article(lines: list[tuple[str, str]], deleted: set[int]) -> str:
     return "\n".join(text for i, (zone, text) in enumerate(lines) if zone == MAIN or zone == OPEN and i not in deleted)
 
 
+COUNTS = ("n_lines", "n_deleted", "n_protected", "n_furniture")
+
+
+def pack(lines: list[tuple[str, str]]) -> bytes:
+    """The lines of a page compressed, without the texts of furniture."""
+    return zstandard.ZstdCompressor(3).compress("\n".join(zone[0] + (text if zone != CHROME else "") for zone, text in lines).encode("utf-8", "replace"))
+
+
+def unpack(packed: bytes) -> list[tuple[str, str]]:
+    whole = zstandard.ZstdDecompressor().decompress(packed).decode()
+    zones = {zone[0]: zone for zone in (MAIN, OPEN, CHROME)}
+    return [(zones[line[0]], line[1:]) for line in whole.split("\n")] if whole else []
+
+
+def finished(lines: list[tuple[str, str]], shared: Sequence[bool]) -> dict:
+    """The text of a page and how its lines were treated; `shared` marks those that a neighbour has."""
+    of = {i for i, mark in enumerate(shared) if mark}
+    counts = Counter((zone, i in of) for i, (zone, _) in enumerate(lines))
+    deleted = counts[OPEN, True] + counts[CHROME, True]
+    return {"text": article(lines, of)} | dict(zip(COUNTS, (len(lines), deleted, counts[MAIN, True], counts[CHROME, False]), strict=True))
+
+
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pages in order with the number of their run and whether they lead it; a run's pages are copies of its leader."""
     host, leader, run = None, {}, -1
@@ -335,29 +358,20 @@ def extract(df: DataFrame, html_col: str = "html", url_col: str = "url", text_co
     shared = F.arrow_udf(align, "array<boolean>")("page", "before", "after")
     marks = neighbour_lines(table).select(F.col("key").alias("__k"), shared.alias("__d"))
 
-    def kept(pages: pa.Array) -> pa.Array:
-        rows = [[(zone == MAIN, None if zone == CHROME else text) for zone, text in lines_of(page)] for page in pages.to_pylist()]
-        return pa.array(rows, pa.list_(pa.struct([("main", pa.bool_()), ("text", pa.string())])))
+    def packed(pages: pa.Array) -> pa.Array:
+        return pa.array([pack(lines_of(page)) for page in pages.to_pylist()], pa.binary())
+
+    def finish(pages: pa.Array, marks: pa.Array) -> pa.Array:
+        rows = [finished(unpack(page), shared or ()) for page, shared in zip(pages.to_pylist(), marks.to_pylist(), strict=True)]
+        return pa.array(rows, pa.struct([("text", pa.string()), *((name, pa.int64()) for name in COUNTS)]))
 
     columns = [F.col(c) for c in df.columns if c != text_col]
-    lines = F.arrow_udf(kept, "array<struct<main:boolean,text:string>>")(F.col(html_col))
-    # the lines are read before the join, which then carries no page
-    read = df.select(*columns, key.alias("__key"), lines.alias("__l"))
+    # the lines are read and packed before the join, which then carries no page
+    read = df.select(*columns, key.alias("__key"), F.arrow_udf(packed, "binary")(F.col(html_col)).alias("__l"))
     joined = read.join(marks, F.col("__key") == F.col("__k"), "left")
-    shared = lambda i: F.coalesce(F.get("__d", i), F.lit(False))
-    stays = F.filter("__l", lambda x, i: x["text"].isNotNull() & (x["main"] | ~shared(i)))
-    text = F.array_join(F.transform(stays, lambda x: x["text"]), "\n").alias(text_col)
-    if not counts:
-        return joined.select(*columns, text)
-    number = lambda name, test: F.size(F.filter("__l", test)).cast("long").alias(name)
-    return joined.select(
-        *columns,
-        text,
-        F.size("__l").cast("long").alias("n_lines"),
-        number("n_deleted", lambda x, i: shared(i) & ~x["main"]),
-        number("n_protected", lambda x, i: shared(i) & x["main"]),
-        number("n_furniture", lambda x, i: x["text"].isNull() & ~shared(i)),
-    )
+    made = F.arrow_udf(finish, "struct<text:string," + ",".join(f"{name}:bigint" for name in COUNTS) + ">")("__l", "__d")
+    joined = joined.select(*columns, made.alias("__m"))
+    return joined.select(*columns, F.col("__m.text").alias(text_col), *[F.col(f"__m.{name}") for name in COUNTS if counts])
 
 
 def op9_html_url_diff(spark: SparkSession, pages: DataFrame) -> DataFrame:
