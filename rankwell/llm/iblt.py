@@ -25,9 +25,10 @@ LARGER = (24, 48, 96, 192)
 LOAD = 8
 #: Steps of peeling; each works on one third of the cells, in turn.
 STEPS = 18
-#: Bytes of text in one of the ranges over which texts meet the next ones, on average, and ranges at least.
-RANGE_BYTES = 1 << 25
-RANGES = 32
+#: Bytes of text in one of the ranges over which texts meet the next ones, on average: the first up to MANY ranges
+#: (as many at least as FEW), beyond that more, up to the second.
+RANGE_BYTES, LARGE_BYTES = 1 << 23, 1 << 28
+FEW, MANY = 32, 4096
 #: Stands for a null id in the order of ids.
 _NO_ID = -(1 << 63)
 _FOUND = "array<struct<x:bigint,n:bigint>>"
@@ -217,12 +218,12 @@ def with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ran
 
     Null texts are empty. Rows that share an id follow each other in the order of a hash of their texts; null ids
     come first; a single row is its own next. The rows are dealt by ranges of that order, so many that a range holds
-    about `range_bytes`, an id with very many rows over several; the last row of a range takes the first of the next
+    about `range_bytes` (more of very large tables, up to LARGE_BYTES), an id with very many rows over several; the last row of a range takes the first of the next
     range from a table of one row a range.
     """
     slim = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("k"), whole_text(text_col).alias("text"))
     stored = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    ranges = max(RANGES, -(-stored // range_bytes))
+    ranges = max(FEW, min(MANY, -(-stored // range_bytes)), -(-stored // LARGE_BYTES))
     ends, parts = id_ranges(slim.select("k"), ranges)
     slim = slim.withColumn("h", F.xxhash64("text")).withColumn("range", range_of(F.col("k"), F.col("h"), ends, parts))
     ranged = slim.repartition(sum(parts), "range")
