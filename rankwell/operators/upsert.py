@@ -20,14 +20,20 @@ def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def last_wins(df: DataFrame, keys: list[str] | tuple[str, ...], order: str) -> DataFrame:
-    """The last row of every key by `order`; of equal ones any."""
-    window = W.partitionBy(*keys).orderBy(F.desc(order))
-    return df.withColumn("__nth", F.row_number().over(window)).filter("__nth = 1").drop("__nth")
+    """The last row of every key by `order`, which must tell the rows of a key apart: differing rows that share the
+    last place are an error, for nothing says which of them came last. Rows that are wholly equal may repeat.
+    """
+    window = W.partitionBy(*keys).orderBy(F.desc(order), "__row")
+    ranked = df.withColumn("__row", F.xxhash64(*[df[c] for c in df.columns])).withColumns({"__nth": F.row_number().over(window), "__tied": F.lead(order).over(window).eqNullSafe(F.col(order)) & (F.lead("__row").over(window) != F.col("__row"))})
+    checked = F.when(F.col("__tied"), F.raise_error(F.lit(f"{order} does not tell the rows of {', '.join(keys)} apart")).cast("int")).otherwise(F.col("__nth"))
+    return ranked.filter("__nth = 1").withColumn("__nth", checked).filter("__nth = 1").drop("__nth", "__tied", "__row")
 
 
 @dataclass(frozen=True)
 class Upsert:
-    """The merged table, with `__change` telling inserted, updated and kept rows until `table` drops it."""
+    """The merged table, with `__change` telling inserted, updated, known (arrived again, with nothing to update) and
+    kept rows until `table` drops it.
+    """
 
     merged: DataFrame
     batch: DataFrame
@@ -37,8 +43,15 @@ class Upsert:
         return self.merged.drop("__change")
 
     def counts(self) -> dict[str, int]:
-        """Rows received, written, inserted and updated, from the merge itself."""
-        row = self.merged.agg(F.count_if(F.col("__change") == "insert").alias("inserted"), F.count_if(F.col("__change") == "update").alias("updated")).first()
+        """Rows received, written, inserted and updated, from the merge itself; rows left as they were are not written."""
+        return self._counts(["update"])
+
+    def key_counts(self) -> dict[str, int]:
+        """The same by keys: every distinct key of the batch is written, and updated unless it was inserted."""
+        return self._counts(["update", "known"])
+
+    def _counts(self, updates: list[str]) -> dict[str, int]:
+        row = self.merged.agg(F.count_if(F.col("__change") == "insert").alias("inserted"), F.count_if(F.col("__change").isin(updates)).alias("updated")).first()
         inserted, updated = row["inserted"], row["updated"]
         return {"received": self.batch.count(), "written": inserted + updated, "inserted": inserted, "updated": updated}
 
@@ -62,7 +75,7 @@ def upsert(target: DataFrame, batch: DataFrame, spec: TableSpec, order: str) ->
             return F.when(arrived, after).otherwise(before).alias(column)
         return F.when(old, before).otherwise(after).alias(column)
 
-    change = F.when(~old, "insert").when(arrived & F.lit(bool(spec.updatable)), "update").otherwise("keep")
+    change = F.when(~old, "insert").when(arrived, "update" if spec.updatable else "known").otherwise("keep")
     return Upsert(joined.select(*[pick(c) for c in spec.columns], change.alias("__change")), batch)
 
 

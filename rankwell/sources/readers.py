@@ -17,7 +17,7 @@ MATCH_FIELDS = ("match_id", "duration", "start_time", "radiant_team_id", "radian
 def read_match_landing(spark: SparkSession, path: str, fields: tuple[str, ...] = MATCH_FIELDS, id_field: str = "match_id", multi_line: bool = True) -> DataFrame:
     """Landed match lists (JSON arrays of objects) as one VARIANT column per field, and the record itself.
 
-    A body that is not an array of objects is an error; a record whose id is not an integer is dropped.
+    A body that is not an array of objects is an error; a record whose id is no integer by the rules of coercion is dropped.
     """
     if multi_line:
         bodies = spark.read.text(path, wholetext=True).select(F.try_parse_json("value").alias("body"))
@@ -27,7 +27,7 @@ def read_match_landing(spark: SparkSession, path: str, fields: tuple[str, ...] =
     else:
         records = spark.read.text(path).select(F.try_parse_json("value").alias("record"))
     shaped = records.select("record", *[F.try_variant_get("record", f"$.{f}", "variant").alias(f) for f in fields])
-    return shaped.filter(F.schema_of_variant(F.col(id_field)).isin("BIGINT"))
+    return shaped.filter(coerce.lossy_int(F.col(id_field)).isNotNull())
 
 
 def stamp(df: DataFrame, now: datetime) -> DataFrame:

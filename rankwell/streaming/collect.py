@@ -84,7 +84,7 @@ def collect(batch: DataFrame, number: int, feed: Feed, now: datetime) -> None:
     spark.createDataFrame([(*key, after.high_watermark, after.backfill_cursor, after.records_seen, now)], STATE.schema).coalesce(1).write.mode("overwrite").parquet(f"{feed.location}/state/batch={number}")
     reason = "empty_page" if not walk.records else "caught_up" if walk.reached_known else "exhausted"
     gap = bool(walk.records) and state.high_watermark is not None and not walk.reached_known
-    run = (f"{feed.resource}-{number}", *key, CATCHUP, now, now, 1, walk.records, change.get("insert", 0), change.get("update", 0), reason, after.high_watermark, after.backfill_cursor, gap)
+    run = (f"{feed.resource}-{number}", *key, CATCHUP, now, now, 1, walk.records, change.get("insert", 0), change.get("update", 0) + change.get("known", 0), reason, after.high_watermark, after.backfill_cursor, gap)
     spark.createDataFrame([run], RUNS.schema).coalesce(1).write.mode("overwrite").parquet(f"{feed.location}/runs/batch={number}")
 
 
@@ -93,7 +93,16 @@ def runs_of(spark: SparkSession, feed: Feed) -> DataFrame:
 
 
 def stream_collect(spark: SparkSession, landing: str, schema: T.StructType, feed: Feed, shape: Callable[[DataFrame], DataFrame], now: Callable[[], datetime], files_per_batch: int = 1000) -> StreamingQuery:
-    """Collect all landed JSON files that are not collected yet and stop; the checkpoint takes the cursor's place."""
+    """Collect all landed JSON files that are not collected yet and stop; the checkpoint takes the cursor's place.
+
+    `shape` also gets `landed`, the order of arrival: the time and name of the file, then the place in it. A feed
+    whose records carry no order of their own names it as its order, and the record that landed last wins.
+    """
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).json(landing)
-    sink = stream.writeStream.foreachBatch(lambda df, n: collect(shape(df), n, feed, now()))
-    return sink.option("checkpointLocation", f"{feed.location}/checkpoint").trigger(availableNow=True).start()
+    stream = stream.select("*", F.col("_metadata.file_modification_time").alias("__at"), F.col("_metadata.file_path").alias("__file"))
+
+    def each(df: DataFrame, number: int) -> None:
+        landed = F.struct(F.col("__at"), F.col("__file"), F.monotonically_increasing_id().alias("__place")).alias("landed")
+        collect(shape(df.select(*[c for c in df.columns if c not in ("__at", "__file")], landed)), number, feed, now())
+
+    return stream.writeStream.foreachBatch(each).option("checkpointLocation", f"{feed.location}/checkpoint").trigger(availableNow=True).start()

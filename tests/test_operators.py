@@ -1,10 +1,12 @@
 """Upsert, interval algebra, queue, quality checks, extraction and streaming on small frames."""
 
+import os
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
+from rankwell.functions.text import strip_markup
 from rankwell.operators import extract, incremental as inc, priority, quality
 from rankwell.operators import relational as r
 from rankwell.operators.upsert import conform, last_wins, materialize, table_exists, upsert
@@ -235,3 +237,44 @@ def test_running_score_and_profile(spark):
     assert [tuple(x) for x in got] == [(0, 0), (1, 0), (1, 1)]
     exact = r.tier_profile(spark.createDataFrame([(1, 1.0), (1, 4.0), (None, 2.0)], "tier_rank int, prize_pool_usd double"))
     assert sorted((x.tier_rank or 0, x.n, x.median_value) for x in exact.collect()) == [(0, 1, 2.0), (1, 2, 2.5)]
+
+
+def test_the_record_that_landed_last_wins(spark, tmp_path):
+    spec = TableSpec("m", "k bigint, v string", ("k",))
+    feed = collect.Feed("s", "d", "m", spec, "k", "landed", str(tmp_path / "feed"))
+    (tmp_path / "landing").mkdir()
+    for n in range(3):
+        (tmp_path / "landing" / f"{n}.json").write_text("\n".join(f'{{"k": {k}, "v": "{n}-{i}"}}' for i in range(4) for k in (1, 2, 3)) + "\n")
+        os.utime(tmp_path / "landing" / f"{n}.json", (1000 + n, 1000 + n))
+    collect.stream_collect(spark, str(tmp_path / "landing"), spec.schema, feed, lambda df: df, lambda: NOW).awaitTermination()
+    assert sorted(map(tuple, collect.current_table(spark, feed).collect())) == [(k, "2-3") for k in (1, 2, 3)]
+
+
+def test_ties_for_the_last_place_are_refused(spark):
+    frame = spark.createDataFrame([(1, 5, "a"), (1, 5, "a"), (1, 4, "x"), (2, 1, "b")], "k int, at int, v string")
+    assert sorted(map(tuple, last_wins(frame, ["k"], "at").collect())) == [(1, 5, "a"), (2, 1, "b")]
+    with pytest.raises(Exception, match="does not tell the rows of k apart"):
+        last_wins(frame.union(spark.createDataFrame([(1, 5, "c")], frame.schema)), ["k"], "at").collect()
+
+
+def test_known_keys_of_a_table_without_updates_count_as_updated(spark):
+    spec = TableSpec("links", "a int, b int", ("a", "b"))
+    made = upsert(spark.createDataFrame([(1, 1), (1, 2)], spec.schema), spark.createDataFrame([(1, 2), (1, 2), (1, 3)], spec.schema), spec, "a")
+    assert made.key_counts() == {"received": 3, "written": 2, "inserted": 1, "updated": 1} and made.counts()["updated"] == 0 and made.table.count() == 3
+
+
+def test_landed_ids_follow_the_rules_of_coercion(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"match_id": "12"}, {"match_id": 13.0}, {"match_id": true}, {"match_id": null}, {"match_id": "x1"}, {}, {"match_id": 14}]')
+    got = readers.normalize_matches(readers.read_match_landing(spark, str(tmp_path / "a.json")), NOW).collect()
+    assert sorted(x.match_id for x in got) == [12, 13, 14]
+
+
+@pytest.mark.parametrize("piece", ["<div>", "<b><i>", "</p>", "<a title='"])
+def test_deep_and_broken_pages_are_read(piece):
+    page = f"<div class='match-bm'>{20_000 * piece}<div class='match-bm-match-header-result-text'>Live</div></div>"
+    assert extract.match_document(page)["status"] in ("live", "unknown") and extract.slim_page(page).startswith("<div")
+
+
+def test_templates_go_at_any_depth(spark):
+    deep = "a " + 40 * "{{x|" + "y" + 40 * "}}" + " b {{q}}c"
+    assert spark.createDataFrame([(deep,), ("}} {{ open",), (None,)], "t string").select(strip_markup(F.col("t"))).collect() == [("a b c",), ("}} {{ open",), (None,)]
