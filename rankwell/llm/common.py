@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import functools
 import shutil
 import tempfile
 import uuid
@@ -11,16 +12,24 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+@functools.cache
+def _local_dir() -> str:
+    base = tempfile.mkdtemp(prefix="rankwell-")
+    atexit.register(shutil.rmtree, base, True)
+    return base
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A new folder below the cluster's shared one (spark.checkpoint.dir).
 
-    Only where that setting is absent, as in tests on one machine, a temporary folder stands in.
+    Where that setting is absent a temporary folder stands in on one machine, as in tests; on a cluster, whose
+    machines share no such folder, its absence is an error.
     """
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="rankwell-")
-        atexit.register(shutil.rmtree, base, True)
-        spark.conf.set("spark.checkpoint.dir", base)
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = _local_dir()
     return f"{base.rstrip('/')}/rankwell-{uuid.uuid4().hex}"
 
 
