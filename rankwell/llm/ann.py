@@ -21,8 +21,10 @@ THRESHOLD = 0.7
 FIRST, GROWTH, WIDE, SLOW_GROWTH = 0.025, 2.2, 0.12, 1.08
 #: Verified vectors of a block at which a query stops there: this share of the block, and SPARE times the neighbours wanted.
 VERIFY, SPARE = 0.05, 20
-#: Vectors of one index block (places must fit 16 bits), and queries that meet it in one task.
-BLOCK, QUERIES = 16_384, 512
+#: Vectors of one index block; queries that meet it in one task, at most and, where blocks are few, at least.
+BLOCK, QUERIES, FEW_QUERIES = 16_384, 8_192, 256
+#: Base buckets of a sorted projection (a byte each), which windows merge, and queries that find where to start.
+BUCKETS, PILOT = 256, 16
 #: How many times longer than its shortest vector the longest of an index may be, beyond which short vectors crowd.
 RANGE = 1.25
 SEED = 11
@@ -51,44 +53,65 @@ class Index:
         placed = np.column_stack([scaled, rest]) @ projections(vectors.shape[1] + 1)
         order = np.argsort(placed, axis=0, kind="stable")
         self.sorted = np.ascontiguousarray(np.take_along_axis(placed, order, axis=0).T)
-        self.place = np.empty((placed.shape[1], len(placed)), np.uint16)  # of each vector in each sorted array
-        np.put_along_axis(self.place, order.T, np.arange(len(placed), dtype=np.uint16)[None, :], axis=1)
+        self.bucket = np.empty((placed.shape[1], len(placed)), np.uint8)  # of each vector in each sorted array
+        np.put_along_axis(self.bucket, order.T, self._bucket(np.arange(len(placed)))[None, :], axis=1)
+
+    def _bucket(self, places: np.ndarray) -> np.ndarray:
+        return (places * BUCKETS // len(self.vectors)).astype(np.uint8)
 
     def search(self, queries: np.ndarray, own: list[np.ndarray], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each query the positions and inner products of its verified vectors; `own` has the positions left out.
 
-        All windows of a query widen together; a window is an interval of places in a sorted array, so a vector
-        collides where its place lies inside. A vector that collides in THRESHOLD of the projections is verified once. A query ends when k verified vectors lie within the radius that its windows stand for,
+        The first few queries start from the narrowest windows; the others from a little less than those ended with.
+        """
+        pilot, ended = self._search(queries[:PILOT], own[:PILOT], k, FIRST)
+        if len(queries) <= PILOT:
+            return pilot
+        rest, _ = self._search(queries[PILOT:], own[PILOT:], k, max(FIRST, float(np.median(ended)) / SLOW_GROWTH**3))
+        return pilot + rest
+
+    def _search(self, queries: np.ndarray, own: list[np.ndarray], k: int, half: float) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
+        """All windows of a query widen together by whole buckets of the sorted arrays around its own place.
+
+        A vector collides where its bucket lies inside the window; one that collides in THRESHOLD of the projections
+        is verified once. A query ends when k verified vectors lie within the radius that its windows stand for,
         when VERIFY of the block and SPARE times k more have been verified, or when its windows hold the whole block.
+        Also returned: the half width at which each query ended.
         """
         n, m = len(self.vectors), len(self.sorted)
         lengths = np.sqrt((queries * queries).sum(1))
         # one product a query, for a row of a larger product may differ in its last bits with the rows beside it
         centres = np.stack([np.append(q / length, 0.0) @ projections(len(q) + 1) for q, length in zip(queries, lengths, strict=True)])
-        verified = np.zeros((len(queries), n), bool)
-        for q, rows in enumerate(own):
-            verified[q, rows] = True
+        verified = [np.zeros(n, bool) for _ in own]
+        for marks, rows in zip(verified, own, strict=True):
+            marks[rows] = True
         found: list[list[np.ndarray]] = [[np.empty(0, np.int64)] for _ in queries]
         scores: list[list[np.ndarray]] = [[np.empty(0)] for _ in queries]
-        total = np.zeros(len(queries), np.int64)
-        need, most, half = int(np.ceil(THRESHOLD * m)), SPARE * k + int(VERIFY * n), FIRST
+        total, ended = np.zeros(len(queries), np.int64), np.zeros(len(queries))
+        need, most = int(np.ceil(THRESHOLD * m)), SPARE * k + int(VERIFY * n)
         active = np.arange(len(queries))
-        offset, inside = np.empty((m, n), np.uint16), np.empty((m, n), bool)
+        offset, inside = np.empty((m, n), np.uint8), np.empty((m, n), bool)
         while len(active):
             low = np.stack([np.searchsorted(self.sorted[i], centres[active, i] - half) for i in range(m)], axis=1)
             high = np.stack([np.searchsorted(self.sorted[i], centres[active, i] + half, "right") for i in range(m)], axis=1)
+            empty = low == high
+            first = self._bucket(np.minimum(low, n - 1))
+            width = self._bucket(np.maximum(high - 1, 0)) - first
             still = []
             for row, q in enumerate(active.tolist()):
-                # places below the window wrap around and are far above its width
-                np.subtract(self.place, low[row].astype(np.uint16)[:, None], out=offset)
-                np.less(offset, (high[row] - low[row]).astype(np.uint16)[:, None], out=inside)
+                # buckets below the window wrap around and are far above its width
+                np.add(self.bucket, -first[row][:, None], out=offset)
+                np.less_equal(offset, width[row][:, None], out=inside)
+                if empty[row].any():
+                    inside[empty[row]] = False
                 counts = np.add.reduce(inside.view(np.uint8), axis=0, dtype=np.uint8)
                 hit = np.flatnonzero((counts >= need) & ~verified[q])
                 if len(hit):
-                    verified[q, hit] = True
+                    verified[q][hit] = True
                     found[q].append(hit)
-                    scores[q].append((self.vectors[hit] * queries[q]).sum(1))
+                    scores[q].append(self.vectors[hit] @ queries[q])
                     total[q] += len(hit)
+                ended[q] = half
                 if total[q] >= most or (high[row] - low[row]).min() == n:
                     continue
                 if total[q] >= k:
@@ -100,7 +123,7 @@ class Index:
                 still.append(q)
             active = np.array(still, np.int64)
             half *= GROWTH if half < WIDE else SLOW_GROWTH
-        return [(np.concatenate(f), np.concatenate(s)) for f, s in zip(found, scores, strict=True)]
+        return [(np.concatenate(f), np.concatenate(s)) for f, s in zip(found, scores, strict=True)], ended
 
 
 def lengths_of(vectors: np.ndarray) -> np.ndarray:
@@ -145,7 +168,7 @@ def search_ranges(vectors: np.ndarray, queries: np.ndarray, own: list[np.ndarray
 
 def _search_block(k: int):
     def run(key: tuple, vectors: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
+        empty = pd.DataFrame({"query_id": [], "vec_id": [], "score": [], "verified": []}).astype({"query_id": "int64", "vec_id": "int64", "verified": "int64"})
         if vectors.empty or queries.empty:
             return empty
         vectors = vectors.sort_values("vec_id", kind="stable")
@@ -153,10 +176,16 @@ def _search_block(k: int):
         asked = queries["vec_id"].to_numpy()
         own = [np.flatnonzero(ids == query_id) for query_id in asked]
         out = []
-        made = search_ranges(np.stack(vectors["v"].to_numpy()).astype(np.float64), np.stack(queries["v"].to_numpy()).astype(np.float64), own, k)
-        for query_id, (rows, scores) in zip(asked, made, strict=True):
+        held, asked_for = (np.stack(rows["v"].to_numpy()).astype(np.float64) for rows in (vectors, queries))
+        made = search_ranges(held, asked_for, own, k)
+        for query_id, query, (rows, scores) in zip(asked, asked_for, made, strict=True):
+            # products of many rows at once may differ in their last bits, so what is near the k best is computed singly
+            number, scale = len(rows), np.abs(scores).max(initial=0.0)
+            if number > k:
+                rows = rows[scores >= np.partition(scores, -k)[-k] - 1e-9 * scale]
+            scores = (held[rows] * query).sum(1)
             best = np.lexsort([ids[rows], -scores])[:k]
-            out.append(pd.DataFrame({"query_id": query_id, "vec_id": ids[rows[best]], "score": scores[best]}))
+            out.append(pd.DataFrame({"query_id": query_id, "vec_id": ids[rows[best]], "score": scores[best], "verified": np.where(np.arange(len(best)) == 0, number, 0)}))
         return pd.concat(out, ignore_index=True) if out else empty
 
     return run
@@ -169,7 +198,8 @@ def usable(vector: Column) -> Column:
 
 
 def search(df: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """The k largest inner products found for every query row, nearest first: query_id, rank, vec_id, score.
+    """The k largest inner products found for every query row, nearest first: query_id, rank, vec_id, score, and how
+    many vectors were verified for the query.
 
     Every usable row is indexed; rows with the query's id are not its candidates. Repeated rows (same id, same
     vector) count once; rows with a null id or an unusable vector take no part; vectors meet those of their own
@@ -181,17 +211,21 @@ def search(df: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_id",
     rows = materialize(rows.filter(F.col("vec_id").isNotNull() & usable(F.col("v"))).withColumn("dim", F.size("v")).dropDuplicates(["vec_id", "v"]))
     shape = rows.agg(F.count(F.lit(1)), F.count_if("asks")).first()
     n, asked = shape[0] or 0, shape[1] or 0
-    blocks, batches = max(1, -(-n // BLOCK)), max(1, -(-asked // QUERIES))
+    blocks = max(1, -(-n // BLOCK))
+    # a block is copied once for each batch of queries, so batches are large unless cores would stand idle
+    spread = -(-4 * df.sparkSession.sparkContext.defaultParallelism // blocks)
+    batches = max(1, -(-asked // QUERIES), min(spread, -(-asked // FEW_QUERIES)))
     number = lambda count: F.pmod(F.xxhash64(F.lit(SEED), "vec_id"), F.lit(count)).cast("int")
     every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
     left = rows.select("vec_id", "v", "dim", number(blocks).alias("block"), every(batches).alias("batch"))
     right = rows.filter("asks").select("vec_id", "v", "dim", number(batches).alias("batch"), every(blocks).alias("block"))
     keys = ("dim", "block", "batch")
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_search_block(k), "query_id long, vec_id long, score double")
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_search_block(k), "query_id long, vec_id long, score double, verified long")
+    found = found.withColumn("verified", F.sum("verified").over(W.partitionBy("query_id")))
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score", "verified")
 
 
 def op2_collision_ann(spark: SparkSession, embeddings: DataFrame) -> DataFrame:
-    """The 20 nearest found of every row whose vec_id is divisible by 20: query_id, rank, vec_id, score."""
+    """The 20 nearest found of every row whose vec_id is divisible by 20: query_id, rank, vec_id, score, verified."""
     return search(embeddings, F.col("vec_id") % 20 == 0)
