@@ -194,8 +194,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, pool: int = PO
 
     both = F.arrow_udf(run, "array<double>")("text", F.col("source").cast("string"), F.col("lang").cast("string"), F.col("n_chars").cast("long"))
     texts = docs.select(F.col("doc_id").alias("__id"), "text", "source", "lang", "n_chars").join(F.broadcast(chosen), "__id")
-    rows = texts.select("__id", "__y", both.alias("f")).toPandas()
-    rows = rows.sort_values("__id", kind="stable").drop_duplicates("__id")
+    # of several rows with one id the one with the least hash, chosen before anything reaches the driver
+    rows = texts.select("__id", "__y", both.alias("f"), F.xxhash64("text", "source", "lang", "n_chars").alias("h"))
+    rows = rows.groupBy("__id").agg(F.min("__y").alias("__y"), F.min_by("f", F.struct("h", "f")).alias("f")).toPandas().sort_values("__id", kind="stable")
     # ids may run with the source or the time, so the rows are put in the order of a hash before they are cut
     rows = rows.iloc[np.argsort((rows["__id"].to_numpy(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(16), kind="stable")] if len(rows) else rows
     label = rows["__y"].to_numpy()

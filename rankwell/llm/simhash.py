@@ -217,7 +217,9 @@ def near_duplicates(df: DataFrame, text_col: str = "text", id_col: str = "doc_id
     """
     fps = materialize(fingerprints(df, text_col, id_col, shingle))
     distinct = fps.groupBy("fp").agg(F.min("id").alias("least"))
-    links = materialize(fingerprint_links(distinct.select("fp")))
+    # few bytes, but much work: dealt over all cores, which the size of the rows would not ask for
+    cores = max(2 * df.sparkSession.sparkContext.defaultParallelism, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    links = materialize(fingerprint_links(distinct.select("fp").repartition(cores, "fp")))
     classes = connected_components(links)
     named = classes.join(distinct, "fp").groupBy("root").agg(F.min("least").alias("least"))
     linked = classes.join(named, "root").select("fp", "least")

@@ -162,23 +162,23 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
     The sample's ids and labels are few by that bound and are broadcast to the scan of the texts. Word counts come
     from its texts; three quarters of it grow the trees, one quarter calibrates them. While the features of a
     sample text are counted, that text is left out of the word counts. Conflicting labels of one id: the larger
-    wins. Null labels are not used.
+    wins; of several texts of one id the least is learned from. Null labels are not used.
     """
     known = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
     known = known.groupBy(F.col(id_col).alias("__id")).agg(F.max(label_col).alias("__y")).orderBy(F.xxhash64("__id"), "__id").limit(sample)
-    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(F.broadcast(known), "__id").dropDuplicates(["__id"])
-    texts = materialize(texts.select("__id", "__y", "__text"))
+    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(F.broadcast(known), "__id")
+    texts = materialize(texts.groupBy("__id").agg(F.max("__y").alias("__y"), F.min("__text").alias("__text")))
     totals = dict(texts.groupBy("__y").count().collect())
     toxic, other = totals.get(1, 0), totals.get(0, 0)
     if toxic < 5 or other < 5:
         return ToxicityModel(Lexicon(toxic, other), None, None)
     least = max(3, math.ceil(toxic / 100))
-    words = texts.select("__y", F.explode(F.array_distinct(F.split(F.lower("__text"), r"[^\p{L}\p{N}]+"))).alias("w")).filter(F.length("w").between(3, 40))
+    words = texts.select("__y", F.explode(F.array_distinct(F.split(F.lower("__text"), r"[^\p{L}\p{N}]+"))).alias("w")).filter(F.length("w") > 0)
     stems = texts.select("__y", F.explode(F.array_distinct(F.transform(F.filter(F.split(F.lower("__text"), r"[^\p{L}\p{N}]+"), lambda w: F.length(w) > STEM), lambda w: F.concat(F.substring(w, 1, STEM), F.lit("*"))))).alias("w"))
     counts = words.unionByName(stems).groupBy("w").agg(F.sum("__y").cast("int").alias("a"), F.sum(1 - F.col("__y")).cast("int").alias("b"))
     signs = counts.filter((F.col("a") >= least) & ((F.col("a") + 0.5) / (toxic + 1) >= 4 * (F.col("b") + 0.5) / (other + 1)))
-    # each sign is in one toxic text of a hundred at least; the best two thousand are kept
-    best = signs.orderBy(F.desc((F.col("a") + 0.5) / (F.col("b") + 0.5)), "w").limit(2000).collect()
+    # each sign is in one toxic text of a hundred at least, so the sample bounds their number
+    best = signs.orderBy("w").collect()
     lexicon = Lexicon(toxic, other, {r["w"]: (r["a"], r["b"]) for r in best})
     table = texts.select("__id", F.col("__y").cast("double").alias("label"), array_to_vector(_feature_column(F.col("__text"), lexicon, F.col("__y"))).alias("__f"))
     table = materialize(table.orderBy("__id").coalesce(1)).coalesce(2)

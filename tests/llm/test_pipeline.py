@@ -76,3 +76,31 @@ def test_clean_documents_stay(spark, pipeline):
     second = pipeline.drop_poor(spark, first, folder)
     assert first.join(clean, "doc_id", "left_semi").count() >= 0.98 * clean.count()
     assert second.join(clean, "doc_id", "left_semi").count() >= 0.96 * clean.count()
+
+
+DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def odd_documents(spark):
+    long = " ".join(f"word{i % 977} is here" for i in range(60_000)) + 40_000 * " " + "end"
+    texts = [(1, "Some plain words of a text that is long enough to be read by all."), (2, None), (3, ""), (4, long), (5, "twice the same text here now"), (5, "twice the same text here now"), (6, "\n\t  \n"), (7, "🎉 é İstanbul \x01\x7f"), (None, "a text without any id"), (None, None)]
+    return spark.createDataFrame([(i, t, None if i == 2 else "en", None if i in (3, 7) else f"s{(i or 0) % 2}", None if i == 1 else len(t or "")) for i, t in texts], DOCUMENTS).repartition(3)
+
+
+@pytest.mark.parametrize("name", ["toxicity", "quality", "near_duplicates", "mixing", "byte_bpe"])
+def test_every_stage_takes_odd_and_empty_tables(spark, pipeline, name):
+    stage = dict(pipeline.STAGES)[name]
+    folder, docs = "/root/testdata/sf0.001", odd_documents(spark).withColumn("score", F.lit(1)).withColumn("ids", F.lit("x"))
+    rows = stage(spark, docs, folder).collect()
+    none = stage(spark, spark.createDataFrame([], docs.schema), folder)
+    last = name == pipeline.STAGES[-1][0]
+    assert none.count() == 0 and (last or none.columns == docs.columns)
+    if last:
+        want = sorted((r.doc_id or -1, hashlib.sha256((r.text or "").encode()).hexdigest()) for r in docs.collect())
+        assert sorted((r.doc_id or -1, r.decoded_sha256) for r in rows) == want
+    else:
+        left = Counter((r.doc_id, r.text) for r in docs.collect())
+        got = Counter((r.doc_id, r.text) for r in rows)
+        assert rows[0].score == 1 and set(got) <= set(left) and (name == "mixing" or not got - left)
+    if name == "near_duplicates":
+        assert got[5, "twice the same text here now"] == 1 and sum(n for (i, _), n in got.items() if i is None) == 2 and got[4, docs.filter("doc_id = 4").first().text] == 1
