@@ -166,9 +166,11 @@ def search_ranges(vectors: np.ndarray, queries: np.ndarray, own: list[np.ndarray
     return found
 
 
-def _search_block(k: int):
+def _search_block(k: int, counts: bool):
+    names = ["query_id", "vec_id", "score", *["verified"] * counts]
+
     def run(key: tuple, vectors: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"query_id": [], "vec_id": [], "score": [], "verified": []}).astype({"query_id": "int64", "vec_id": "int64", "verified": "int64"})
+        empty = pd.DataFrame({"query_id": [], "vec_id": [], "score": [], "verified": []}).astype({"query_id": "int64", "vec_id": "int64", "verified": "int64"})[names]
         if vectors.empty or queries.empty:
             return empty
         vectors = vectors.sort_values("vec_id", kind="stable")
@@ -186,7 +188,7 @@ def _search_block(k: int):
             scores = (held[rows] * query).sum(1)
             best = np.lexsort([ids[rows], -scores])[:k]
             out.append(pd.DataFrame({"query_id": query_id, "vec_id": ids[rows[best]], "score": scores[best], "verified": np.where(np.arange(len(best)) == 0, number, 0)}))
-        return pd.concat(out, ignore_index=True) if out else empty
+        return pd.concat(out, ignore_index=True)[names] if out else empty
 
     return run
 
@@ -197,9 +199,9 @@ def usable(vector: Column) -> Column:
     return F.coalesce(vector.isNotNull() & (F.size(vector) > 0) & sound & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def search(df: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """The k largest inner products found for every query row, nearest first: query_id, rank, vec_id, score, and how
-    many vectors were verified for the query.
+def search(df: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", counts: bool = False) -> DataFrame:
+    """The k largest inner products found for every query row, nearest first: query_id, rank, vec_id, score; with
+    `counts` also how many vectors were verified for the query.
 
     Every usable row is indexed; rows with the query's id are not its candidates. Repeated rows (same id, same
     vector) count once; rows with a null id or an unusable vector take no part; vectors meet those of their own
@@ -220,12 +222,14 @@ def search(df: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_id",
     left = rows.select("vec_id", "v", "dim", number(blocks).alias("block"), every(batches).alias("batch"))
     right = rows.filter("asks").select("vec_id", "v", "dim", number(batches).alias("batch"), every(blocks).alias("block"))
     keys = ("dim", "block", "batch")
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_search_block(k), "query_id long, vec_id long, score double, verified long")
-    found = found.withColumn("verified", F.sum("verified").over(W.partitionBy("query_id")))
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_search_block(k, counts), "query_id long, vec_id long, score double" + ", verified long" * counts)
+    columns = ["query_id", "rank", "vec_id", "score"]
+    if counts:
+        found, columns = found.withColumn("verified", F.sum("verified").over(W.partitionBy("query_id"))), [*columns, "verified"]
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score", "verified")
+    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(*columns)
 
 
 def op2_collision_ann(spark: SparkSession, embeddings: DataFrame) -> DataFrame:
-    """The 20 nearest found of every row whose vec_id is divisible by 20: query_id, rank, vec_id, score, verified."""
+    """The 20 nearest found of every row whose vec_id is divisible by 20: query_id, rank, vec_id, score."""
     return search(embeddings, F.col("vec_id") % 20 == 0)

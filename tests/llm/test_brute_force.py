@@ -98,6 +98,14 @@ def test_ann_search_of_a_whole_block_is_exact():
     assert sorted(rows) == list(range(1, 30)) and np.allclose(scores, (vectors[rows] * vectors[0]).sum(1))
 
 
+def test_ann_counts_what_it_verifies(spark):
+    draw = np.random.default_rng(6)
+    vectors = draw.normal(size=(3_000, 16)).tolist()
+    frame = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")
+    got = ann.search(frame, ann.F.col("vec_id") % 300 == 0, 5, counts=True).toPandas()
+    assert (got.groupby("query_id")["verified"].nunique() == 1).all() and got["verified"].between(5, 2_999).all()
+
+
 @pytest.mark.parametrize("kind", ["one long", "many lengths", "two lengths"])
 def test_ann_recall_with_differing_lengths(spark, kind):
     draw = np.random.default_rng(5)
