@@ -58,8 +58,9 @@ def merge_listing_with_content(listing: DataFrame, content: DataFrame, key: str)
 
 
 def flatten_links(pages: DataFrame, page_id: str, links: str, title: str = "match_title") -> DataFrame:
-    """Distinct (page, linked title); null titles are skipped."""
-    return pages.select(F.col(page_id), F.explode(links).alias(title)).filter(F.col(title).isNotNull()).distinct()
+    """Distinct (page, linked title); null titles are skipped. A page's own repeats go before they are shuffled."""
+    named = F.array_distinct(F.filter(links, lambda x: x.isNotNull()))
+    return pages.select(F.col(page_id), F.explode(named).alias(title)).distinct()
 
 
 def project_infobox(fields: Column) -> dict[str, Column]:
