@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -12,13 +13,16 @@ from pyspark.sql import functions as F
 
 from rankwell.llm.common import held_out, materialize
 
-#: Labelled rows that the views start from, and unlabelled rows that they may label for each other, at most.
+#: Rows that a view is fitted on, at most: labelled ones, and those that the other view has labelled in a round.
 SAMPLE = 20_000
-POOL = 20_000
+TAUGHT = 20_000
 ROUNDS = 5
-#: Share of the pool that each view labels for the other in a round, and how sure it must be.
+#: Share of all unlabelled rows that each view labels for the other, more by this in each round, and how sure it must be.
 SHARE = 0.05
 SURE = 0.95
+#: Log odds are counted in steps of this width, up to this many steps on either side.
+STEP = 0.02
+STEPS = 1500
 #: A document is kept if the combined probability of good quality is at least this.
 THRESHOLD = 0.5
 #: Ridge penalty of the logistic fits.
@@ -115,36 +119,110 @@ def logistic(x: np.ndarray, y: np.ndarray, steps: int = 30) -> np.ndarray:
     return w
 
 
-def co_train(text: np.ndarray, meta: np.ndarray, label: np.ndarray, rounds: int = ROUNDS) -> tuple[View, View, float]:
-    """Both calibrated views and the log odds of good quality. `label` is 0, 1, or -1 for the pool.
+#: Gives a lesson for two views, a share of the pool and the share of good labels.
+Teacher = Callable[[list[View], float, float], "Lesson"]
 
-    A fifth of the labelled rows calibrates and is never trained on. In each round each view labels the rows of
-    the pool it is surest of, good and bad in the proportion of the labels, and hands them to the other view.
+
+@dataclass
+class Lesson:
+    """Rows that the views have labelled: features of both views, and each view's labels (0, 1, or -1 for none)."""
+
+    data: tuple[np.ndarray, np.ndarray]
+    by: tuple[np.ndarray, np.ndarray]
+
+
+def steps_of(margin: np.ndarray) -> np.ndarray:
+    """Log odds as whole steps."""
+    return np.clip(np.floor(margin / STEP), -STEPS, STEPS).astype(np.int32)
+
+
+def sure_steps(counts: np.ndarray, share: float, prior: float) -> tuple[int, int]:
+    """The step from which rows are labelled good and the one up to which they are labelled bad.
+
+    `counts` holds the rows of each step from -STEPS on. The surest `share` of the rows are taken, good and bad in
+    the proportion of the labels; rows of one step are taken together, and none that is less sure than SURE.
+    """
+    least = int(np.ceil(np.log(SURE / (1 - SURE)) / STEP))
+    want = share * counts.sum()
+    from_top, from_below = np.cumsum(counts[::-1]), np.cumsum(counts)
+    good = STEPS - int(np.searchsorted(from_top, max(1.0, want * prior)))
+    bad = int(np.searchsorted(from_below, max(1.0, want * (1 - prior)))) - STEPS
+    return max(good, least), min(bad, -least - 1)
+
+
+def labels_of(steps: np.ndarray, cut: tuple[int, int]) -> np.ndarray:
+    return np.where(steps >= cut[0], 1, np.where(steps <= cut[1], 0, -1))
+
+
+def teach_in_memory(data: tuple[np.ndarray, np.ndarray]) -> Teacher:
+    """Lessons from a pool that is held as arrays."""
+
+    def teach(views: list[View], share: float, prior: float) -> Lesson:
+        by = []
+        for view, x in zip(views, data, strict=True):
+            steps = steps_of(view.margin(x))
+            by.append(labels_of(steps, sure_steps(np.bincount(steps + STEPS, minlength=2 * STEPS + 1), share, prior)))
+        some = (by[0] >= 0) | (by[1] >= 0)
+        return Lesson((data[0][some], data[1][some]), (by[0][some], by[1][some]))
+
+    return teach
+
+
+def teach_from_table(pool: DataFrame, width: int, most: int = TAUGHT) -> Teacher:
+    """Lessons from every row of a table of features (`f`, the first `width` of the text) and hashes (`h`).
+
+    Both views score all rows in each round. What reaches the driver is the number of rows at each step, bounded by
+    STEPS, and of the rows that are then labelled the `most` with the least hash, to be fitted on.
+    """
+
+    def teach(views: list[View], share: float, prior: float) -> Lesson:
+        def run(rows: pa.Array) -> pa.Array:
+            x = rows.flatten().to_numpy().astype(float).reshape(len(rows), -1)
+            made = [pa.array(steps_of(view.margin(part))) for view, part in zip(views, (x[:, :width], x[:, width:]), strict=True)]
+            return pa.StructArray.from_arrays(made, ["v0", "v1"])
+
+        scored = pool.select("h", "f", F.arrow_udf(run, "v0 int, v1 int")("f").alias("s"))
+        each = F.explode(F.array(*[F.struct(F.lit(k).alias("view"), F.col(f"s.v{k}").alias("step")) for k in (0, 1)])).alias("e")
+        counts = np.zeros((2, 2 * STEPS + 1))
+        for row in scored.select(each).groupBy("e.view", "e.step").count().collect():
+            counts[row["view"], row["step"] + STEPS] = row["count"]
+        labels = []
+        for k in (0, 1):
+            good, bad = sure_steps(counts[k], share, prior)
+            labels.append(F.when(F.col(f"s.v{k}") >= good, 1).when(F.col(f"s.v{k}") <= bad, 0).otherwise(-1).alias(f"by{k}"))
+        found = scored.select("h", "f", *labels).filter("by0 >= 0 or by1 >= 0").orderBy("h").limit(most).toPandas()
+        x = np.array(found["f"].tolist(), float).reshape(len(found), -1) if len(found) else np.empty((0, width + SOURCES + LANGS + 2))
+        return Lesson((x[:, :width], x[:, width:]), (found["by0"].to_numpy(), found["by1"].to_numpy()))
+
+    return teach
+
+
+def co_train(text: np.ndarray, meta: np.ndarray, label: np.ndarray, rounds: int = ROUNDS, teach: Teacher | None = None) -> tuple[View, View, float]:
+    """Both calibrated views and the log odds of good quality. `label` is 0, 1, or -1 for unlabelled rows, which
+    are the pool unless `teach` draws lessons from one of its own.
+
+    A fifth of the labelled rows calibrates and is never trained on. In each round each view labels the unlabelled
+    rows it is surest of, good and bad in the proportion of the labels, and hands them to the other view, which is
+    fitted on them and the labelled rows. Labels are given anew in each round, so that early errors do not stay.
     """
     rows = np.flatnonzero(label >= 0)
     back = rows[np.arange(len(rows)) % 5 == 4]
     train = np.setdiff1d(rows, back)
     prior = float(np.clip(label[train].mean(), 1e-3, 1 - 1e-3))
-    pool = np.flatnonzero(label < 0)
-    views, data, taught = [], (text, meta), [dict.fromkeys((), 0.0), dict.fromkeys((), 0.0)]
+    data = (text, meta)
+    teach = teach or teach_in_memory((text[label < 0], meta[label < 0]))
+    views: list[View] = []
     for step in range(rounds + 1):
+        lesson = teach(views, SHARE * step, prior) if step else None
         views = []
         for k in (0, 1):
-            extra = np.array(sorted(taught[k]), int)
-            view = View.fit(data[k][np.concatenate([train, extra])], np.concatenate([label[train], [taught[k][i] for i in extra]]))
+            x, y = data[k][train], label[train]
+            if lesson is not None:
+                told = lesson.by[1 - k] >= 0
+                x, y = np.concatenate([x, lesson.data[k][told]]), np.concatenate([y, lesson.by[1 - k][told]])
+            view = View.fit(x, y)
             view.calibrate(data[k][back], label[back])
             views.append(view)
-        if step == rounds or not len(pool):
-            break
-        for k in (0, 1):
-            free = np.array([i for i in pool if i not in taught[1 - k]], int)
-            if not len(free):
-                continue
-            p = 1 / (1 + np.exp(-views[k].margin(data[k][free])))
-            most = max(1, int(SHARE * len(pool)))
-            for good, sure, share in ((1.0, p, prior), (0.0, 1 - p, 1 - prior)):
-                best = np.argsort(-sure, kind="stable")[: max(1, int(most * share))]
-                taught[1 - k] |= {int(free[i]): good for i in best if sure[i] >= SURE}
     return views[0], views[1], float(np.log(prior / (1 - prior)))
 
 
@@ -177,34 +255,32 @@ class QualityModel:
         return made(text, source.cast("string"), lang.cast("string"), n_chars.cast("long"))
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, pool: int = POOL, label_col: str = "quality") -> QualityModel:
-    """Co-train on at most `sample` labelled and `pool` unlabelled documents, both those with the least hash of
-    their id; held-out rows take no part. What reaches the driver is their features, bounded by those two numbers.
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, taught: int = TAUGHT, label_col: str = "quality") -> QualityModel:
+    """Co-train on at most `sample` labelled documents, those with the least hash of their id, and all unlabelled
+    ones, of which at most `taught` a round are fitted on once they have labels; held-out rows take no part. What
+    reaches the driver is bounded by these two numbers. Of several labelled rows with one id one is taken.
     """
-    mixed = F.xxhash64("__id")
     known = labels.filter(F.col(label_col).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    known = known.groupBy(F.col("doc_id").alias("__id")).agg(F.min(label_col).cast("int").alias("__y")).orderBy(mixed, "__id").limit(sample)
-    named = docs.select(F.col("doc_id").alias("__id")).filter(F.col("__id").isNotNull() & ~held_out(F.col("__id"))).distinct()
-    rest = named.join(labels.select(F.col("doc_id").alias("__id")).distinct(), "__id", "left_anti").orderBy(mixed, "__id").limit(pool)
-    chosen = materialize(known.unionByName(rest.withColumn("__y", F.lit(-1))))
+    known = known.groupBy(F.col("doc_id").alias("__id")).agg(F.min(label_col).cast("int").alias("__y")).orderBy(F.xxhash64("__id"), "__id").limit(sample)
 
     def run(texts: pa.Array, sources: pa.Array, langs: pa.Array, sizes: pa.Array) -> pa.Array:
         rows = [text_features(t) + meta_features(s, g, n) for t, s, g, n in zip(texts.to_pylist(), sources.to_pylist(), langs.to_pylist(), sizes.to_pylist(), strict=True)]
-        return pa.array(rows, pa.list_(pa.float64()))
+        return pa.array(rows, pa.list_(pa.float32()))
 
-    both = F.arrow_udf(run, "array<double>")("text", F.col("source").cast("string"), F.col("lang").cast("string"), F.col("n_chars").cast("long"))
-    texts = docs.select(F.col("doc_id").alias("__id"), "text", "source", "lang", "n_chars").join(F.broadcast(chosen), "__id")
+    both = F.arrow_udf(run, "array<float>")("text", F.col("source").cast("string"), F.col("lang").cast("string"), F.col("n_chars").cast("long"))
+    named = docs.select(F.col("doc_id").alias("__id"), "text", "source", "lang", "n_chars").filter(F.col("__id").isNotNull() & ~held_out(F.col("__id")))
+    seen = materialize(named.select("__id", both.alias("f"), F.xxhash64("__id", "text", "source", "lang", "n_chars").alias("h")))
     # of several rows with one id the one with the least hash, chosen before anything reaches the driver
-    rows = texts.select("__id", "__y", both.alias("f"), F.xxhash64("text", "source", "lang", "n_chars").alias("h"))
-    rows = rows.groupBy("__id").agg(F.min("__y").alias("__y"), F.min_by("f", F.struct("h", "f")).alias("f")).toPandas().sort_values("__id", kind="stable")
+    rows = seen.join(F.broadcast(materialize(known)), "__id").groupBy("__id").agg(F.min("__y").alias("__y"), F.min_by("f", F.struct("h", "f")).alias("f")).toPandas().sort_values("__id", kind="stable")
     # ids may run with the source or the time, so the rows are put in the order of a hash before they are cut
     rows = rows.iloc[np.argsort((rows["__id"].to_numpy(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(16), kind="stable")] if len(rows) else rows
     label = rows["__y"].to_numpy()
     if min((label == 0).sum(), (label == 1).sum()) < 5:
         return QualityModel(None, None, 0.0)
-    x = np.stack(rows["f"].to_numpy())
+    x = np.array(rows["f"].tolist(), float)
     width = x.shape[1] - (SOURCES + LANGS + 2)
-    return QualityModel(*co_train(x[:, :width], x[:, width:], label))
+    rest = seen.join(labels.select(F.col("doc_id").alias("__id")).distinct(), "__id", "left_anti").select("h", "f")
+    return QualityModel(*co_train(x[:, :width], x[:, width:], label, teach=teach_from_table(materialize(rest), width, taught)))
 
 
 def op5_cotrain_quality(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
