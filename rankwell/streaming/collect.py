@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
@@ -13,13 +14,16 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rankwell.operators.incremental import CATCHUP, State, Walk, advance
 from rankwell.operators.relational import walk_bounds
-from rankwell.operators.upsert import upsert
+from rankwell.operators.upsert import conform, last_wins
 from rankwell.sources.schemas import RUNS, STATE, TableSpec
 
+#: Batches after which the table is written whole.
+FOLD = 32
+
 
 @dataclass(frozen=True)
 class Feed:
-    """A feed and where it is kept. Snapshots are folders numbered by batch; the newest complete one counts."""
+    """A feed and where it is kept. All folders are numbered by batch; complete ones count."""
 
     source: str
     discipline: str
@@ -39,12 +43,38 @@ def _snapshots(spark: SparkSession, path: str) -> list[int]:
     return sorted(int(p.getName().split("=")[1]) for p in done if "=" in p.getName() and fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
 
 
+def _parts(spark: SparkSession, feed: Feed, before: int | None) -> tuple[int | None, list[int]]:
+    """The newest base of the table (older than batch `before`, if given) and the batches that came after it."""
+    until = lambda kind: [n for n in _snapshots(spark, f"{feed.location}/{kind}") if before is None or n < before]
+    base = max(until("base"), default=None)
+    return base, [n for n in until("data") if base is None or n > base]
+
+
+def _versions(spark: SparkSession, feed: Feed, before: int | None = None) -> DataFrame:
+    """The rows of the base and of all batches after it, with the batch in `__batch`, -1 for the base."""
+    base, batches = _parts(spark, feed, before)
+    schema = T.StructType([*feed.spec.schema.fields, T.StructField("__batch", T.LongType())])
+    rows = spark.createDataFrame([], schema)
+    if base is not None:
+        rows = spark.read.schema(feed.spec.schema).parquet(f"{feed.location}/base/batch={base}").withColumn("__batch", F.lit(-1).cast("long"))
+    if batches:
+        later = spark.read.schema(schema).parquet(*[f"{feed.location}/data/batch={n}" for n in batches])
+        rows = later if base is None else rows.unionByName(later)
+    return rows
+
+
 def current_table(spark: SparkSession, feed: Feed, before: int | None = None) -> DataFrame:
-    """The newest snapshot (older than batch `before`, if given), empty at the start."""
-    found = [n for n in _snapshots(spark, f"{feed.location}/data") if before is None or n < before]
-    if not found:
-        return spark.createDataFrame([], feed.spec.schema)
-    return spark.read.schema(feed.spec.schema).parquet(f"{feed.location}/data/batch={found[-1]}")
+    """The table after the newest batch (older than batch `before`, if given), empty at the start.
+
+    Each key takes its updatable columns from the last batch that held it and the others from the first.
+    """
+    spec = feed.spec
+    latest = [c for c in spec.columns if c in spec.updatable]
+    kept = [c for c in spec.columns if c not in spec.keys and c not in latest]
+    made = [pick(F.struct(*names), "__batch").alias(alias) for pick, names, alias in ((F.max_by, latest, "__last"), (F.min_by, kept, "__first")) if names]
+    grouped = _versions(spark, feed, before).groupBy(*spec.keys)
+    merged = grouped.agg(*made) if made else grouped.agg(F.count(F.lit(1)))
+    return merged.select(*[F.col(c) if c in spec.keys else F.col("__last" if c in latest else "__first")[c].alias(c) for c in spec.columns])
 
 
 def load_state(spark: SparkSession, feed: Feed, before: int | None = None) -> State:
@@ -67,29 +97,71 @@ def run_history(runs: DataFrame) -> DataFrame:
 def collect(batch: DataFrame, number: int, feed: Feed, now: datetime) -> None:
     """One batch as one unit: data, then state, then the run row, each in a folder of the batch's number.
 
-    A batch that is run again starts from the state before it and writes the same folders anew, so a crash between
-    the three costs at most this batch and leaves nothing twice.
+    A batch writes its own rows alone; every FOLD batches the table is written whole as a new base. A batch that is
+    run again starts from the state before it and writes the same folders anew, so a crash between the three costs
+    at most this batch and leaves nothing twice. A run that fails leaves a row of its own and raises its error.
     """
     spark = batch.sparkSession
     state = load_state(spark, feed, number)
+    key = (feed.source, feed.discipline, feed.resource)
+    try:
+        _collect(batch, number, feed, now, state)
+    except Exception:
+        mark = uuid.uuid4().hex
+        run = (f"{feed.resource}-{number}-{mark}", *key, CATCHUP, now, now, 0, 0, 0, 0, "failed", state.high_watermark, state.backfill_cursor, False)
+        spark.createDataFrame([run], RUNS.schema).coalesce(1).write.parquet(f"{feed.location}/failures/run={mark}")
+        raise
+
+
+def _collect(batch: DataFrame, number: int, feed: Feed, now: datetime, state: State) -> None:
+    spark, spec = batch.sparkSession, feed.spec
+    key = (feed.source, feed.discipline, feed.resource)
     bounds = walk_bounds(batch, feed.id_col, state.high_watermark).first()
     walk = Walk(bounds["lowest"], bounds["highest"], bounds["records"], bounds["reached_known"])
-    merged = upsert(current_table(spark, feed, number), batch, feed.spec, feed.order)
-    merged.merged.write.mode("overwrite").parquet(f"{feed.location}/merge/batch={number}")
-    done = spark.read.parquet(f"{feed.location}/merge/batch={number}")
-    done.drop("__change").write.mode("overwrite").parquet(f"{feed.location}/data/batch={number}")
-    change = {r["__change"]: r["count"] for r in done.groupBy("__change").count().collect()}
+    rows = last_wins(batch, spec.keys, feed.order)
+    rows = conform(rows.drop(*{feed.order, "landed"} - set(spec.columns)), spec)
+    rows.withColumn("__batch", F.lit(number).cast("long")).write.mode("overwrite").parquet(f"{feed.location}/data/batch={number}")
+    arrived = spark.read.schema(spec.schema).parquet(f"{feed.location}/data/batch={number}").select(*spec.keys)
+    known = _versions(spark, feed, number).select(*[F.col(k).alias(f"__{k}") for k in spec.keys])
+    same = [F.col(f"__{k}").eqNullSafe(F.col(k)) for k in spec.keys]
+    updated = known.join(arrived, same, "left_semi").distinct().count()
+    inserted = arrived.count() - updated
     after = advance(state, walk, CATCHUP)
-    key = (feed.source, feed.discipline, feed.resource)
     spark.createDataFrame([(*key, after.high_watermark, after.backfill_cursor, after.records_seen, now)], STATE.schema).coalesce(1).write.mode("overwrite").parquet(f"{feed.location}/state/batch={number}")
     reason = "empty_page" if not walk.records else "caught_up" if walk.reached_known else "exhausted"
     gap = bool(walk.records) and state.high_watermark is not None and not walk.reached_known
-    run = (f"{feed.resource}-{number}", *key, CATCHUP, now, now, 1, walk.records, change.get("insert", 0), change.get("update", 0) + change.get("known", 0), reason, after.high_watermark, after.backfill_cursor, gap)
+    run = (f"{feed.resource}-{number}", *key, CATCHUP, now, now, 1, walk.records, inserted, updated, reason, after.high_watermark, after.backfill_cursor, gap)
     spark.createDataFrame([run], RUNS.schema).coalesce(1).write.mode("overwrite").parquet(f"{feed.location}/runs/batch={number}")
+    _fold(spark, feed, number)
+
+
+def _fold(spark: SparkSession, feed: Feed, number: int) -> None:
+    """Write the table as a new base once FOLD batches have come since the last one.
+
+    The last base and the batches after it stay, for a batch that is run again starts from them; what is older goes.
+    """
+    base, batches = _parts(spark, feed, number)
+    if len(batches) + 1 < FOLD:
+        return
+    current_table(spark, feed, number + 1).write.mode("overwrite").parquet(f"{feed.location}/base/batch={number}")
+    if base is None:
+        return
+    old = [f"base/batch={n}" for n in _snapshots(spark, f"{feed.location}/base") if n < base]
+    old += [f"data/batch={n}" for n in _snapshots(spark, f"{feed.location}/data") if n <= base]
+    for name in old:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{feed.location}/{name}")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def runs_of(spark: SparkSession, feed: Feed) -> DataFrame:
-    return spark.read.schema(RUNS.schema).parquet(f"{feed.location}/runs")
+    """The rows of all runs, failed ones too."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+    paths = [p for p in (f"{feed.location}/runs", f"{feed.location}/failures") if hadoop(p).getFileSystem(configuration).exists(hadoop(p))]
+    found = spark.createDataFrame([], RUNS.schema)
+    for path in paths:
+        found = found.unionByName(spark.read.schema(RUNS.schema).parquet(path).select(*RUNS.columns))
+    return found
 
 
 def stream_collect(spark: SparkSession, landing: str, schema: T.StructType, feed: Feed, shape: Callable[[DataFrame], DataFrame], now: Callable[[], datetime], files_per_batch: int = 1000) -> StreamingQuery:

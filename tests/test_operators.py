@@ -278,3 +278,41 @@ def test_deep_and_broken_pages_are_read(piece):
 def test_templates_go_at_any_depth(spark):
     deep = "a " + 40 * "{{x|" + "y" + 40 * "}}" + " b {{q}}c"
     assert spark.createDataFrame([(deep,), ("}} {{ open",), (None,)], "t string").select(strip_markup(F.col("t"))).collect() == [("a b c",), ("}} {{ open",), (None,)]
+
+
+def test_a_table_of_many_batches(spark, tmp_path, monkeypatch):
+    """Batches against a dictionary: over several bases, with a batch run again, write-once columns and a failed run."""
+    monkeypatch.setattr(collect, "FOLD", 3)
+    spec = TableSpec("m", "k bigint, born string, v string", ("k",), ("born",))
+    feed = collect.Feed("s", "d", "m", spec, "k", "at", str(tmp_path / "feed"))
+    frame = lambda n, keys: spark.createDataFrame([(k, f"b{n}", None if k == 2 and n == 5 else f"v{n}", n) for k in keys], "k bigint, born string, v string, at int")
+    expected, counts = {}, []
+    for n, keys in enumerate([(1, 2), (2, 3), (4,), (1, 4), (), (2, 5), (6, 1), (7,)]):
+        before = dict(expected)
+        for k in keys:
+            expected[k] = (before[k][0] if k in before else f"b{n}", None if k == 2 and n == 5 else f"v{n}")
+        counts.append((sum(k not in before for k in keys), sum(k in before for k in keys)))
+        for _ in range(2 if n in (2, 5, 6) else 1):
+            collect.collect(frame(n, keys), n, feed, NOW)
+        assert {x.k: (x.born, x.v) for x in collect.current_table(spark, feed).collect()} == expected
+    with pytest.raises(ValueError, match="unexpected columns"):
+        collect.collect(frame(8, (9,)).withColumn("more", F.lit(1)), 8, feed, NOW)
+    runs = collect.runs_of(spark, feed).collect()
+    assert sorted((x.inserted, x.updated) for x in runs if x.stop_reason != "failed") == sorted(counts)
+    assert [x.high_watermark for x in runs if x.stop_reason == "failed"] == [7] and collect.load_state(spark, feed).high_watermark == 7
+    assert [p.name for p in sorted((tmp_path / "feed" / "base").glob("batch=*"))] == ["batch=2", "batch=5"]
+    assert sorted(p.name for p in (tmp_path / "feed" / "data").glob("batch=*")) == ["batch=3", "batch=4", "batch=5", "batch=6", "batch=7"]
+
+
+def test_exact_medians_against_plain_ones(spark):
+    import random
+    import statistics
+
+    draw = random.Random(3)
+    rows = [(r, float(draw.choice((draw.randrange(50), draw.gauss(0, 1000))))) for r in (1, 2, None) for _ in range({1: 40_001, 2: 12_000, None: 7}[r])]
+    rows += [(3, 5.0)] * 1000 + [(3, 6.0)] * 1000 + [(4, None)] * 3 + [(1, None)] * 10
+    got = {x.r: (x.n, x.median_value) for x in r.tier_profile(spark.createDataFrame(rows, "r int, v double").repartition(7), "r", "v").collect()}
+    for rank in (1, 2, 3, 4, None):
+        values = [v for k, v in rows if k == rank and v is not None]
+        assert got[rank] == (sum(k == rank for k, _ in rows), pytest.approx(statistics.median(values), abs=1e-9) if values else None)
+    assert r.tier_profile(spark.createDataFrame([], "tier_rank int, prize_pool_usd double")).count() == 0
