@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rankwell.llm import ann, bpe, cotrain, decontamination, htmldiff, iblt, licenses, mixing, simhash, tokenfile, toxicity
+from rankwell.llm import ann, bpe, cotrain, decontamination, htmldiff, iblt, licenses, mixing, simhash, spelling, tokenfile, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +38,7 @@ def queries() -> dict[str, Query]:
         "op9_html_url_diff": lambda spark, d: htmldiff.op9_html_url_diff(spark, _spread(spark.read.parquet(f"{d}/pages.parquet"))),
         "op10_simhash_gray": lambda spark, d: simhash.op10_simhash_gray(spark, _documents(spark, d)),
         "op11_aho_decontamination": lambda spark, d: decontamination.op11_aho_decontamination(spark, _documents(spark, d), spark.read.parquet(f"{d}/benchmark.parquet")),
+        "op12_spelling_variants": lambda spark, d: spelling.op12_spelling_variants(spark, _documents(spark, d)),
     }
 
 
