@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rankwell.llm import ann, bpe, cotrain, decontamination, htmldiff, iblt, licenses, mixing, simhash, spelling, tokenfile, toxicity
+from rankwell.llm import ann, bpe, collocations, cotrain, decontamination, htmldiff, iblt, licenses, mixing, simhash, spelling, tokenfile, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,8 +39,9 @@ def queries() -> dict[str, Query]:
         "op10_simhash_gray": lambda spark, d: simhash.op10_simhash_gray(spark, _documents(spark, d)),
         "op11_aho_decontamination": lambda spark, d: decontamination.op11_aho_decontamination(spark, _documents(spark, d), spark.read.parquet(f"{d}/benchmark.parquet")),
         "op12_spelling_variants": lambda spark, d: spelling.op12_spelling_variants(spark, _documents(spark, d)),
+        "op13_phrase_collocations": lambda spark, d: collocations.op13_phrase_collocations(spark, _documents(spark, d)),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op11_aho_decontamination": decontamination.SQL}
+    return {"op11_aho_decontamination": decontamination.SQL, "op13_phrase_collocations": collocations.SQL}
