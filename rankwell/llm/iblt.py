@@ -1,34 +1,35 @@
 """Document fingerprints by invertible Bloom lookup sketches, with DataFrame functions only.
 
 A text is the multiset of its paragraphs (lines). Each paragraph's digest falls into three cells, one in each third
-of the sketch; a cell adds up how many digests it got, their sum, and the sum of their checks. The sketch of one
+of the sketch; a cell adds up how many digests it got, the sums of their upper and lower halves, and the sum of their
+checks. Sums of 28 bits at most hold 2^35 paragraphs, more than a text can have. The sketch of one
 version less that of another is the sketch of what differs; a cell with one digest left (once or several times)
 gives it up, it is taken from its other cells, and so on until nothing is left.
 """
 
 from __future__ import annotations
 
-import math
-from collections import Counter
-from itertools import accumulate
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rankwell.llm.common import whole_text
+from rankwell.llm.common import materialize, whole_text
 
 #: Cells of the stored sketch, and of the sketches tried in turn where it is too small.
 CELLS = 24
 LARGER = (24, 48, 96, 192)
 #: Differing paragraphs that one retried sketch is expected to hold; the digests are dealt over as many as it takes.
 LOAD = 8
+#: Bits of the lower half of a digest, and of the upper one.
+HALF = 22
 #: Steps of peeling; each works on one third of the cells, in turn.
 STEPS = 18
 #: Bytes of text in one of the ranges over which texts meet the next ones, on average: the first up to MANY ranges
 #: (as many at least as FEW), beyond that more, up to the second.
 RANGE_BYTES, LARGE_BYTES = 1 << 23, 1 << 28
 FEW, MANY = 32, 4096
+#: Keys drawn for each range.
+KEYS = 8
 #: Stands for a null id in the order of ids.
 _NO_ID = -(1 << 63)
 _FOUND = "array<struct<x:bigint,n:bigint>>"
@@ -48,18 +49,30 @@ def _slot(digest: Column, third: Column, cells: Column) -> Column:
     return (F.call_function("shiftright", digest, third * 12) % F.call_function("div", cells, F.lit(3))).cast("int")
 
 
-def _cell(n: Column, k: Column, h: Column) -> Column:
-    return F.struct(n.alias("n"), k.alias("k"), h.alias("h"))
+def _upper(digest: Column) -> Column:
+    return F.shiftright(digest, HALF)
+
+
+def _lower(digest: Column) -> Column:
+    return digest.bitwiseAND(F.lit((1 << HALF) - 1))
+
+
+def _cell(n: Column, k: Column, m: Column, h: Column) -> Column:
+    return F.struct(n.alias("n"), k.alias("k"), m.alias("m"), h.alias("h"))
+
+
+def _moved(cell: Column, digest: Column, n: Column) -> Column:
+    """A cell with n more of a digest in it."""
+    return _cell(cell["n"] + n, cell["k"] + n * _upper(digest), cell["m"] + n * _lower(digest), cell["h"] + n * _check(digest))
 
 
 def sketch(of: Column, cells: Column) -> Column:
-    """The cells (n, k, h) of an array of digests, third by third."""
-    zero = _cell(*[F.lit(0).cast("long")] * 3)
+    """The cells (n, k, m, h) of an array of digests, third by third."""
+    zero, one = _cell(*[F.lit(0).cast("long")] * 4), F.lit(1).cast("long")
 
     def third(t: Column) -> Column:
-        entries = F.transform(of, lambda x: F.struct(_slot(x, t, cells).alias("s"), x.alias("x")))
-        add = lambda a, e: _cell(a["n"] + 1, a["k"] + e["x"], a["h"] + _check(e["x"]))
-        return _let(entries, lambda held: F.transform(F.sequence(F.lit(0), (F.call_function("div", cells, F.lit(3)) - 1).cast("int")), lambda i: F.aggregate(F.filter(held, lambda e: e["s"] == i), zero, add)))
+        places = F.sequence(F.lit(0), (F.call_function("div", cells, F.lit(3)) - 1).cast("int"))
+        return F.transform(places, lambda i: F.aggregate(F.filter(of, lambda x: _slot(x, t, cells) == i), zero, lambda a, x: _moved(a, x, one)))
 
     return F.transform(F.array(F.lit(0), F.lit(1), F.lit(2)), third)
 
@@ -71,7 +84,7 @@ def _let(value: Column, body) -> Column:
 
 def subtract(a: Column, b: Column) -> Column:
     """The sketch of what differs."""
-    return F.zip_with(a, b, lambda x, y: F.zip_with(x, y, lambda p, q: _cell(p["n"] - q["n"], p["k"] - q["k"], p["h"] - q["h"])))
+    return F.zip_with(a, b, lambda x, y: F.zip_with(x, y, lambda p, q: _cell(*[p[name] - q[name] for name in "nkmh"])))
 
 
 def peel(difference: Column, cells: Column) -> Column:
@@ -79,14 +92,15 @@ def peel(difference: Column, cells: Column) -> Column:
     difference; null if digests are left that do not come free.
     """
     def free(third: Column, t: Column) -> Column:
-        whole = lambda c: F.when(c["k"] % F.nullif(c["n"], F.lit(0)) == 0, F.call_function("div", c["k"], F.nullif(c["n"], F.lit(0)))).otherwise(-1)
+        share = lambda c, name: F.when(c[name] % F.nullif(c["n"], F.lit(0)) == 0, F.call_function("div", c[name], F.nullif(c["n"], F.lit(0)))).otherwise(-1)
+        whole = lambda c: _let(F.struct(share(c, "k").alias("k"), share(c, "m").alias("m")), lambda s: F.when((s["k"] >= 0) & s["m"].between(0, (1 << HALF) - 1), F.shiftleft(s["k"], HALF) + s["m"]).otherwise(-1))
         keyed = F.transform(third, lambda c, i: F.when(c["n"] != 0, F.struct(c["n"].alias("n"), whole(c).alias("x"), c["h"].alias("h"), i.alias("i"))))
         return F.filter(keyed, lambda p: p.isNotNull() & (p["x"] >= 0) & (_check(p["x"]) * p["n"] == p["h"]) & (_slot(p["x"], t, cells) == p["i"]))
 
     def step(state: Column, r: Column) -> Column:
         def take(pure: Column) -> Column:
-            less = lambda a, e: _cell(a["n"] - e["n"], a["k"] - e["n"] * e["x"], a["h"] - e["h"])
-            gone = lambda u: F.transform(pure, lambda p: F.struct(_slot(p["x"], u, cells).alias("s"), p["n"].alias("n"), p["x"].alias("x"), p["h"].alias("h")))
+            less = lambda a, e: _moved(a, e["x"], -e["n"])
+            gone = lambda u: F.transform(pure, lambda p: F.struct(_slot(p["x"], u, cells).alias("s"), p["n"].alias("n"), p["x"].alias("x")))
             left = F.transform(state["cells"], lambda third, u: _let(gone(u), lambda out: F.transform(third, lambda c, i: F.aggregate(F.filter(out, lambda e: e["s"] == i), c, less))))
             found = F.concat(state["found"], F.transform(pure, lambda p: F.struct(p["x"].alias("x"), p["n"].alias("n"))))
             idle = F.struct(state["cells"].alias("cells"), state["found"].alias("found"), (state["idle"] + 1).alias("idle"))
@@ -97,7 +111,7 @@ def peel(difference: Column, cells: Column) -> Column:
 
     start = F.struct(difference.alias("cells"), F.array().cast(_FOUND).alias("found"), F.lit(0).alias("idle"))
     end = F.aggregate(F.sequence(F.lit(0), F.lit(STEPS - 1)), start, step)
-    clean = lambda c: (c["n"] == 0) & (c["k"] == 0) & (c["h"] == 0)
+    clean = lambda c: (c["n"] == 0) & (c["k"] == 0) & (c["m"] == 0) & (c["h"] == 0)
     return _let(end, lambda s: F.when(F.forall(s["cells"], lambda third: F.forall(third, clean)), s["found"]))
 
 
@@ -175,42 +189,34 @@ def likeness(a: Column, b: Column, differing: Column) -> Column:
 
 def fingerprint(stored: Column) -> Column:
     """The cells of a sketch as text."""
-    return F.array_join(F.transform(F.flatten(stored), lambda c: F.concat_ws(".", F.hex(c["n"]), F.hex(c["k"]), F.hex(c["h"]))), "-")
+    return F.array_join(F.transform(F.flatten(stored), lambda c: F.concat_ws(".", *[F.hex(c[name]) for name in "nkmh"])), "-")
 
 
-def id_ranges(ids: DataFrame, ranges: int) -> tuple[list[int], list[int]]:
-    """Ascending ids that end the ranges of a column `k`, and how many ranges each of the spans up to them gets.
+def range_ends(keys: DataFrame, ranges: int) -> DataFrame:
+    """One row: ascending ends (k, h) of about `ranges` ranges of equal rows, and `steps`, enough to find one by halving.
 
-    An id that holds more rows than a range (it fills several quantiles) is a span of its own with as many ranges
-    as it fills. One aggregate; what reaches the driver is bounded by `ranges`.
+    Every KEYS-th of KEYS times as many keys, which a hash draws; they deal the work and bear on no result. What one
+    task sorts is KEYS pairs of numbers a range.
     """
-    shares = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
-    points = ids.agg(F.percentile_approx("k", shares, 10 * ranges).alias("p")).first()["p"] if ranges > 1 else None
-    times = Counter(points or [])
-    ends: dict[int, int] = {}
-    for point in sorted(times):
-        if times[point] > 1:
-            if point > _NO_ID:
-                ends.setdefault(point - 1, 1)
-            ends[point] = times[point]
-        else:
-            ends[point] = 1
-    return list(ends), [*ends.values(), 1]
-
-
-def range_of(k: Column, spread: Column, ends: list[int], parts: list[int]) -> Column:
-    """The range of an id: its span, found in a list of lists, and one of the span's ranges by the order of `spread`."""
-    if not ends:
-        return F.lit(0)
-    width = math.isqrt(len(ends)) + 1
-    rows = [ends[i : i + width] for i in range(0, len(ends), width)]
-    below = lambda values, x: F.size(F.filter(values, lambda p: p < x))
-    row = below(F.lit([r[-1] for r in rows]), k)
-    inner = F.coalesce(F.get(F.array(*map(F.lit, rows)), row), F.array().cast("array<bigint>"))
-    span = F.least(row * width + below(inner, k), F.lit(len(ends)))
-    first = list(accumulate(parts, initial=0))[:-1]
-    inside = (F.shiftright(spread, 32) + F.lit(1 << 31)) * F.get(F.lit(parts), span)
-    return (F.get(F.lit(first), span) + F.shiftright(inside, 32)).cast("int")
+    n = keys.count()
+    drawn = keys.filter(F.pmod(F.xxhash64("k", "h", F.lit(7)), F.lit(1 << 30)) < min(1 << 30, (KEYS * ranges << 30) // max(1, n)))
+    held = drawn.agg(F.array_sort(F.array_distinct(F.collect_list(F.struct("k", "h")))).alias("keys"))
+    every = F.greatest(F.lit(1), F.call_function("div", F.size("keys"), F.lit(ranges)).cast("int"))
+    ends = F.filter("keys", lambda _, i: (i + 1) % every == 0)
+    return held.select(ends.alias("ends")).select("ends", F.ceil(F.log2(F.size("ends") + 2)).cast("int").alias("steps"))
+
+
+def range_of(k: Column, h: Column, ends: Column, steps: Column) -> Column:
+    """How many of the ends lie below a key, by halving."""
+    key = F.struct(k.alias("k"), h.alias("h"))
+
+    def halve(span: Column, _: Column) -> Column:
+        middle = F.shiftright(span["low"] + span["high"], 1)
+        below = F.get(ends, middle) < key
+        narrower = F.struct(F.when(below, middle + 1).otherwise(span["low"]).alias("low"), F.when(below, span["high"]).otherwise(middle).alias("high"))
+        return F.when(span["low"] < span["high"], narrower).otherwise(span)
+
+    return F.aggregate(F.sequence(F.lit(0), steps), F.struct(F.lit(0).alias("low"), F.size(ends).alias("high")), halve, lambda span: span["low"])
 
 
 def with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", range_bytes: int = RANGE_BYTES) -> DataFrame:
@@ -218,20 +224,24 @@ def with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ran
 
     Null texts are empty. Rows that share an id follow each other in the order of a hash of their texts; null ids
     come first; a single row is its own next. The rows are dealt by ranges of that order, so many that a range holds
-    about `range_bytes` (more of very large tables, up to LARGE_BYTES), an id with very many rows over several; the last row of a range takes the first of the next
-    range from a table of one row a range.
+    about `range_bytes` (more of very large tables, up to LARGE_BYTES); rows of one id may lie in several. The ends of
+    the ranges are data of a table with one row, so the plan does not grow with them. The last row of a range takes the
+    first of the next range, of which the order of range numbers alone (one row a range) goes through one task.
     """
-    slim = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("k"), whole_text(text_col).alias("text"))
+    slim = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("k"), whole_text(text_col).alias("text")).withColumn("h", F.xxhash64("text"))
     stored = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = max(FEW, min(MANY, -(-stored // range_bytes)), -(-stored // LARGE_BYTES))
-    ends, parts = id_ranges(slim.select("k"), ranges)
-    slim = slim.withColumn("h", F.xxhash64("text")).withColumn("range", range_of(F.col("k"), F.col("h"), ends, parts))
-    ranged = slim.repartition(sum(parts), "range")
-    heads = slim.groupBy("range").agg(F.min_by("text", F.struct("k", "h", "text")).alias("head"))
+    ends = materialize(range_ends(slim.select("k", "h"), ranges))
+    # the one row of ends goes to every task
+    placed = slim.crossJoin(F.broadcast(ends)).select("id", "k", "text", "h", F.coalesce(range_of(F.col("k"), F.col("h"), F.col("ends"), F.col("steps")), F.lit(0)).alias("range"))
+    ranged = placed.repartition(ranges, "range")
+    # both branches read the same exchange
+    heads = ranged.groupBy("range").agg(F.min_by(F.struct("id", "text"), F.struct("k", "h", "text")).alias("head"))
+    numbers = placed.groupBy("range").agg(F.count(F.lit(1)).alias("rows"))
     everything = W.orderBy("range").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    follows = heads.select(F.col("range").alias("r"), F.coalesce(F.lead("head").over(W.orderBy("range")), F.first("head").over(everything)).alias("after"))
-    order = W.partitionBy("range").orderBy("k", "h", "text")
-    near = ranged.withColumns({"next": F.lead("text").over(order)})
+    onward = numbers.select(F.col("range").alias("r"), F.coalesce(F.lead("range").over(W.orderBy("range")), F.first("range").over(everything)).alias("then"))
+    follows = onward.join(heads, F.col("then") == F.col("range")).select("r", F.col("head.text").alias("after"))
+    near = ranged.withColumns({"next": F.lead("text").over(W.partitionBy("range").orderBy("k", "h", "text"))})
     joined = near.join(follows, F.col("range") == F.col("r"), "left")
     return joined.select(F.col("id").alias(id_col), F.col("text").alias(text_col), F.coalesce("next", "after").alias("next"))
 

@@ -297,14 +297,35 @@ def test_next_texts_of_hot_ids_and_many_ranges(spark):
     draw = random.Random(4)
     rows = [(draw.choice([None, 7, 7, 7, draw.randrange(-50, 50), 9 * 10**17]), f"text {draw.randrange(500)}") for _ in range(3000)]
     frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
-    points, parts = iblt.id_ranges(frame.select(iblt.F.coalesce("doc_id", iblt.F.lit(iblt._NO_ID)).alias("k")), 40)
-    assert points == sorted(set(points)) and parts[points.index(7)] > 10 and sum(parts) < 60
+    F = iblt.F
+    keys = frame.select(F.coalesce("doc_id", F.lit(iblt._NO_ID)).alias("k"), F.xxhash64("text").alias("h"))
+    ends = iblt.range_ends(keys, 40)
+    held = ends.first().ends
+    assert held == sorted(set(held)) and 30 < len(held) < 60 and sum(e.k == 7 for e in held) > 10
+    placed = keys.crossJoin(ends).select("k", "h", iblt.range_of(F.col("k"), F.col("h"), F.col("ends"), F.col("steps")).alias("range")).collect()
+    assert all(r.range == sum(tuple(e) < (r.k, r.h) for e in held) for r in placed)
     got = Counter((r.doc_id, r.text, r.next) for r in iblt.with_next(frame, range_bytes=300).collect())
     hashed = {r.text: r.h for r in frame.select("text", iblt.F.xxhash64("text").alias("h")).distinct().collect()}
     order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, hashed[r[1]]))
     assert got == Counter((i, t, after) for (i, t), (_, after) in zip(order, order[1:] + order[:1], strict=True))
 
 
+def test_sketches_of_millions_of_lines(spark):
+    """Sums stay exact: two million equal lines through the query, ten million mixed ones through a sketch."""
+    from pyspark.sql import functions as F
+
+    docs = spark.createDataFrame([(1, "x\n" * 2_000_000), (2, "a\nb")], "doc_id long, text string")
+    one = {r.doc_id: r for r in iblt.op7_iblt_fingerprint(spark, docs).collect()}[1]
+    assert (one.n_chars, one.near_next, one.n_failed) == (4_000_000, 0, 0) and one.near_edited == pytest.approx(0.49999925)
+    n = 10_000_000
+    digits = F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: (i % 97).cast("string"))
+    made = spark.range(1).select(iblt._let(iblt.digests(F.array_join(digits, "\n")), lambda d: iblt.sketch(d, F.lit(24))).alias("s")).first().s
+    lines = spark.range(97).select((F.col("id").cast("string")).alias("line"), iblt.digests(F.col("id").cast("string"))[0].alias("x")).collect()
+    total = {int(r.line): r.x for r in lines}
+    times = {i: n // 97 + (0 < i <= n % 97) for i in total}
+    assert sum(c.n for c in made[0]) == n and sum((c.k << iblt.HALF) + c.m for c in made[0]) == sum(times[i] * x for i, x in total.items())
+
+
 def test_op8_targets(spark, docs):
     size = {i: len(re.findall(r"[^\x20\x09-\x0D]+", r.text or "")) for i, r in docs.items()}
     by = Counter()
