@@ -9,15 +9,6 @@ from pyspark.sql import functions as F
 
 #: Fixed value: attributes that make a rendered page heavy.
 HEAVY = ("src", "srcset", "style", "decoding", "loading", "width", "height")
-#: Wiki markup by what becomes of it: what is left out, what stands for a space, and links that keep their label.
-COMMENT = r"(?s)<!--.*?-->"
-BREAK = r"<[bB][rR]\s*/?>"
-OUTER_LINK = r"\[(?:https?:)?//[^\s\]]+(?:\s+([^\]]*))?\]"
-INNER_LINK = r"\[\[(?:[^|\]]*\|)?+([^|\]]*)\]\]"
-TEMPLATE = r"\{\{[^{}]*\}\}"
-TAG = r"<(?=/?\p{Alpha})[^>]+>"
-EMPHASIS = r"'{2,5}"
-
 
 def strip_comments(text: Column) -> Column:
     """Without HTML comments; one that is never closed runs to the end."""
@@ -25,27 +16,6 @@ def strip_comments(text: Column) -> Column:
     return F.regexp_replace(closed, r"(?s)<!--.*", "")
 
 
-def _without_templates(text: Column) -> Column:
-    """Templates go from the innermost outwards, as often as they are nested."""
-    marks = F.regexp_extract_all(text, F.lit(r"(\{\{|\}\})"))
-    level = lambda s, m: F.greatest(s["now"] + F.when(m == "{{", 1).otherwise(-1), F.lit(0))
-    deeper = lambda s, m: F.transform(F.array(level(s, m)), lambda n: F.struct(n.alias("now"), F.greatest(s["most"], n).alias("most")))[0]
-    depth = F.aggregate(marks, F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")), deeper, lambda s: s["most"])
-    times = F.transform(F.array(depth), lambda n: F.slice(F.sequence(F.lit(1), n + 1), F.lit(1), n))[0]
-    return F.aggregate(times, text, lambda t, _: F.regexp_replace(t, TEMPLATE, ""))
-
-
-def strip_markup(text: Column) -> Column:
-    """Readable value of a wikitext field: links keep their label, templates (however nested), tags and quotes go."""
-    for pattern, to in ((COMMENT, ""), (BREAK, " "), (OUTER_LINK, "$1"), (INNER_LINK, "$1")):
-        text = F.regexp_replace(text, pattern, to)
-    # a column of its own, as the depth of its templates is looked at first
-    text = F.transform(F.array(text), _without_templates)[0]
-    for pattern, to in ((TAG, ""), (EMPHASIS, ""), (r"(?U)\s+", " ")):
-        text = F.regexp_replace(text, pattern, to)
-    return F.trim(text)
-
-
 def slim_html(page: Column, attributes: Sequence[str] = HEAVY) -> Column:
     """Without the given attributes in double quotes."""
     return F.regexp_replace(page, rf'\s(?:{"|".join(attributes)})="[^"]*"', "")

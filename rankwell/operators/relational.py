@@ -7,11 +7,16 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from rankwell.sources.scratch import scratch_dir
 
 #: Rows up to which a decision table is broadcast.
 SEED_ROWS = 10_000
 #: Accuracy of approximate quantiles: their place is off by one part in this many of the rows, at most.
 ACCURACY = 10_000
+#: Rows of a partition up to which one task counts through it.
+LARGEST = 1_000_000
 
 
 def attach(left: DataFrame, right: DataFrame, on: Mapping[str, str] | Sequence[str], take: Sequence[str] | Mapping[str, str], how: str = "left") -> DataFrame:
@@ -23,6 +28,24 @@ def attach(left: DataFrame, right: DataFrame, on: Mapping[str, str] | Sequence[s
     return left.join(side, condition, how).drop(*[f"__k{i}" for i in range(len(pairs))])
 
 
+def attach_one(left: DataFrame, right: DataFrame, on: Mapping[str, str] | Sequence[str], take: Sequence[str] | Mapping[str, str], matches: str | None = None) -> DataFrame:
+    """`attach` to at most one row of right: the rows of left stay as many as they are.
+
+    Right is aggregated by its key first, in the exchange that the join needs anyway. A key that meets several rows
+    of right is an error; with `matches`, a column of that name tells how many were met (0 for none), and the least of
+    them is taken. Repeated keys of right that nothing asks for do no harm; null keys meet nothing.
+    """
+    pairs = dict(on) if isinstance(on, Mapping) else {k: k for k in on}
+    taken = dict(take) if isinstance(take, Mapping) else {c: c for c in take}
+    keys, columns = list(dict.fromkeys(pairs.values())), [F.col(c).alias(n) for c, n in taken.items()]
+    one = right.dropna(subset=keys).groupBy(*keys).agg(F.min(F.struct(*columns)).alias("__one"), F.count(F.lit(1)).alias("__met"))
+    joined = attach(left, one, pairs, ["__one", "__met"])
+    several = F.when(F.col("__met") > 1, F.raise_error(F.concat(F.lit(f"several rows for one {', '.join(keys)}: "), F.col("__met").cast("string"))).cast("long"))
+    met = F.coalesce("__met", F.lit(0)).alias(matches) if matches else F.coalesce(several, F.col("__met")).alias("__met")
+    rows = joined.select(*[c for c in left.columns if c not in taken.values()], *[F.col("__one")[n].alias(n) for n in taken.values()], met)
+    return rows if matches else rows.filter(F.col("__met").isNull() | (F.col("__met") == 1)).drop("__met")
+
+
 def attach_tier(df: DataFrame, seed: DataFrame, on: Mapping[str, str] | Sequence[str], take: Sequence[str] = ("tier_rank", "tier_label")) -> DataFrame:
     """Left join to a decision table, broadcast while it is small; its size is looked at first."""
     small = seed.limit(SEED_ROWS + 1).count() <= SEED_ROWS
@@ -81,12 +104,41 @@ def walk_bounds(df: DataFrame, id_col: str, high: int | None = None) -> DataFram
     return df.agg(F.min(id_col).alias("lowest"), F.max(id_col).alias("highest"), F.count(F.lit(1)).alias("records"), reached.alias("reached_known"))
 
 
-def score_before(df: DataFrame, partition: Sequence[str], order: Sequence[str], side: str, names: Mapping[object, str]) -> DataFrame:
-    """Running counts of each side's wins before the current row; 0 on the first row. One window for all."""
+def score_before(df: DataFrame, partition: Sequence[str], order: Sequence[str], side: str, names: Mapping[object, str], largest: int | None = LARGEST) -> DataFrame:
+    """Running counts of each side's wins before the current row; 0 on the first row.
+
+    One window for all, while no partition has more than `largest` rows, which is counted first (None: it is known).
+    Beyond that the rows are dealt by ranges of partition and order over blocks, counted within their block, and the
+    sums of the blocks before are added, so that a large partition is counted in many tasks. Null partitions are one.
+    """
+    if largest is not None:
+        top = df.groupBy(*partition).agg(F.count(F.lit(1)).alias("c")).agg(F.max("c")).first()[0] or 0
+        if top > largest:
+            return _score_in_blocks(df, partition, order, side, names, largest)
     window = W.partitionBy(*partition).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
     return df.withColumns({name: F.count(F.when(F.col(side) == value, 1)).over(window) for value, name in names.items()})
 
 
+def _score_in_blocks(df: DataFrame, partition: Sequence[str], order: Sequence[str], side: str, names: Mapping[object, str], size: int) -> DataFrame:
+    spark, columns = df.sparkSession, df.columns
+    path = scratch_dir(spark, "blocks")
+    ranges = max(2, -(-df.count() // size) * 2)
+    # written once, so the number of a block holds for whatever is computed again
+    df.repartitionByRange(ranges, *[F.col(c) for c in (*partition, *order)]).withColumn("__block", F.spark_partition_id()).write.parquet(path)
+    rows = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("__block", T.IntegerType())])).parquet(path)
+    inside = W.partitionBy(*partition, "__block").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    counted = rows.withColumns({name: F.count(F.when(F.col(side) == value, 1)).over(inside) for value, name in names.items()})
+    sums = rows.groupBy(*partition, "__block").agg(*[F.count_if(F.col(side) == value).alias(f"__{name}") for value, name in names.items()])
+    # one row for each block of a partition
+    ahead = W.partitionBy(*partition).orderBy("__block").rowsBetween(W.unboundedPreceding, -1)
+    base = sums.select(*[F.col(c).alias(f"__p{i}") for i, c in enumerate(partition)], F.col("__block").alias("__b"), *[F.coalesce(F.sum(f"__{name}").over(ahead), F.lit(0)).alias(f"__{name}") for name in names.values()])
+    same = F.col("__block") == F.col("__b")
+    for i, c in enumerate(partition):
+        same = same & F.col(c).eqNullSafe(F.col(f"__p{i}"))
+    joined = counted.join(base, same)
+    return joined.select(*columns, *[(F.col(name) + F.col(f"__{name}")).alias(name) for name in names.values()])
+
+
 def reconcile(fact: DataFrame, recount: DataFrame, on: Sequence[str], differ: Mapping[str, str]) -> DataFrame:
     """Rows of the fact whose stated values differ from the recount; null on either side is no difference."""
     joined = fact.join(recount, list(on), "inner")

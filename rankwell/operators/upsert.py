@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from rankwell.sources.schemas import TableSpec
@@ -21,12 +20,21 @@ def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 def last_wins(df: DataFrame, keys: list[str] | tuple[str, ...], order: str) -> DataFrame:
     """The last row of every key by `order`, which must tell the rows of a key apart: differing rows that share the
-    last place are an error, for nothing says which of them came last. Rows that are wholly equal may repeat.
+    last place are an error, for nothing says which of them came last, however often each is there. Rows that are
+    wholly equal may repeat. A null order comes before all others.
+
+    One aggregate: where rows lie, each key becomes its last row, the greatest and the least hash of the rows on that
+    place, and these are merged, so the rows of a frequent key never meet in one task.
     """
-    window = W.partitionBy(*keys).orderBy(F.desc(order), "__row")
-    ranked = df.withColumn("__row", F.xxhash64(*[df[c] for c in df.columns])).withColumns({"__nth": F.row_number().over(window), "__tied": F.lead(order).over(window).eqNullSafe(F.col(order)) & (F.lead("__row").over(window) != F.col("__row"))})
-    checked = F.when(F.col("__tied"), F.raise_error(F.lit(f"{order} does not tell the rows of {', '.join(keys)} apart")).cast("int")).otherwise(F.col("__nth"))
-    return ranked.filter("__nth = 1").withColumn("__nth", checked).filter("__nth = 1").drop("__nth", "__tied", "__row")
+    row, place = F.struct(*[df[c] for c in df.columns]), F.col(order)
+    mark = F.xxhash64(*[df[c] for c in df.columns])
+    last = df.groupBy(*keys).agg(
+        F.max_by(row, F.struct(place.alias("at"), mark.alias("mark"))).alias("__row"),
+        F.max(F.struct(place.alias("at"), mark.alias("mark")))["mark"].alias("__greatest"), F.max(F.struct(place.alias("at"), F.bitwise_not(mark).alias("mark")))["mark"].alias("__least"),
+    )
+    tied = F.col("__greatest") != F.bitwise_not(F.col("__least"))
+    checked = F.when(tied, F.raise_error(F.lit(f"{order} does not tell the rows of {', '.join(keys)} apart")).cast("boolean")).otherwise(F.lit(True))
+    return last.filter(checked).select(*[F.col("__row")[c].alias(c) for c in df.columns])
 
 
 @dataclass(frozen=True)
@@ -43,17 +51,11 @@ class Upsert:
         return self.merged.drop("__change")
 
     def counts(self) -> dict[str, int]:
-        """Rows received, written, inserted and updated, from the merge itself; rows left as they were are not written."""
-        return self._counts(["update"])
-
-    def key_counts(self) -> dict[str, int]:
-        """The same by keys: every distinct key of the batch is written, and updated unless it was inserted."""
-        return self._counts(["update", "known"])
-
-    def _counts(self, updates: list[str]) -> dict[str, int]:
-        row = self.merged.agg(F.count_if(F.col("__change") == "insert").alias("inserted"), F.count_if(F.col("__change").isin(updates)).alias("updated")).first()
-        inserted, updated = row["inserted"], row["updated"]
-        return {"received": self.batch.count(), "written": inserted + updated, "inserted": inserted, "updated": updated}
+        """Rows received, and keys written, inserted and updated: every distinct key of the batch is written, and is
+        updated unless it was inserted, also where the table has nothing to update."""
+        change = F.col("__change")
+        row = self.merged.agg(F.count_if(change == "insert").alias("inserted"), F.count_if(change.isin("update", "known")).alias("updated")).first()
+        return {"received": self.batch.count(), "written": row["inserted"] + row["updated"], "inserted": row["inserted"], "updated": row["updated"]}
 
 
 def upsert(target: DataFrame, batch: DataFrame, spec: TableSpec, order: str) -> Upsert:
@@ -62,7 +64,7 @@ def upsert(target: DataFrame, batch: DataFrame, spec: TableSpec, order: str) ->
     Within the batch the last row of a key wins, by `order` (a column of the batch that need not belong to the
     table). A known key has its updatable columns replaced and keeps the write-once ones; a new key is inserted;
     a table with nothing to update keeps its old rows. An empty batch changes nothing. One exchange by key on
-    either side: the window and the join share it.
+    either side: the aggregate of the batch and the join share it.
     """
     new = last_wins(batch, spec.keys, order)
     on = [F.col(f"t.{k}").eqNullSafe(F.col(f"b.{k}")) for k in spec.keys]

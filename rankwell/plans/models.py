@@ -96,7 +96,8 @@ def dim_tournament(tournaments: DataFrame, seed: DataFrame) -> DataFrame:
 
 
 def fct_series(series: DataFrame, tournaments: DataFrame) -> DataFrame:
-    df = r.attach(series, tournaments, {"discipline": "discipline", "tournament_page": "page_title"}, ["tournament_key", "tier_rank"])
+    # a page title that stands for two tournaments would multiply their series
+    df = r.attach_one(series, tournaments, {"discipline": "discipline", "tournament_page": "page_title"}, ["tournament_key", "tier_rank"])
     one, two = F.col("side_1_maps"), F.col("side_2_maps")
     return df.select(
         "series_key", "source_name", "discipline", "page_title", "played_at", x.as_day(F.col("played_at")).alias("played_on"), "tournament_key", "tier_rank", "tournament_page", "side_1_team", "side_2_team", "side_1_maps", "side_2_maps", "map_count",
@@ -141,8 +142,9 @@ def fct_player_map(players: DataFrame, maps: DataFrame) -> DataFrame:
 
 
 def fct_round(rounds: DataFrame, players: DataFrame, maps: DataFrame) -> DataFrame:
-    """The running score is taken before the joins, whose keys are unique; all three share the exchange by map."""
-    df = r.score_before(rounds, ["map_key"], ["round_number"], "winning_side", {1: "side_1_score_before", 2: "side_2_score_before"})
+    """The running score is taken before the joins, whose keys are unique; all three share the exchange by map, whose
+    rounds are some dozens."""
+    df = r.score_before(rounds, ["map_key"], ["round_number"], "winning_side", {1: "side_1_score_before", 2: "side_2_score_before"}, largest=None)
     df = r.attach(df, maps, ["map_key"], ["tournament_key", "tier_rank"])
     df = r.attach(df, players, {"map_key": "map_key", "first_kill_player": "player"}, {"side": "first_kill_side"})
     return df.withColumns({"first_kill_converted": F.col("first_kill_side") == F.col("winning_side"), "was_clutch": F.col("clutch_player").isNotNull()})

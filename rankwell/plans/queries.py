@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from rankwell.functions import coerce, text
 from rankwell.functions import exprs as x
+from rankwell.functions.wikitext import strip_markup
 from rankwell.operators import incremental as inc
 from rankwell.operators import nested, priority, quality
 from rankwell.operators import relational as r
@@ -150,6 +151,22 @@ def score_before(spark, d):
     return r.score_before(df, ["user_id"], ["ts", "event_id"], "event_type", {"click": "clicks_before", "purchase": "purchases_before"}).select("event_id", "user_id", "clicks_before", "purchases_before")
 
 
+@query("""SELECT 'b' || event_id AS k, count(*) FILTER (WHERE event_type = 'click') OVER w AS clicks_before, count(*) FILTER (WHERE event_type = 'purchase') OVER w AS purchases_before FROM events
+WINDOW w AS (PARTITION BY user_id % 3 = 0 ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""")
+def score_before_in_blocks(spark, d):
+    """Two partitions hold all events, so each is counted in several blocks."""
+    df = load(spark, d, "events").select("event_id", (c("user_id") % 3 == 0).alias("third"), "event_type", "ts")
+    counted = r.score_before(df, ["third"], ["ts", "event_id"], "event_type", {"click": "clicks_before", "purchase": "purchases_before"}, largest=max(100, df.count() // 8))
+    return counted.select(x.readable_key(lit("b"), "event_id", sep="").alias("k"), "clicks_before", "purchases_before")
+
+
+@query("SELECT o_orderkey, coalesce(n, 0) AS lines, first_ship FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n, min(l_shipdate) AS first_ship FROM lineitem WHERE l_returnflag <> 'N' GROUP BY 1) ON o_orderkey = l_orderkey")
+def guarded_attach(spark, d):
+    """Every order once, however many lines meet it, with their number and the least of them."""
+    lines = load(spark, d, "lineitem").filter(c("l_returnflag") != "N")
+    return r.attach_one(load(spark, d, "orders").select("o_orderkey"), lines, {"o_orderkey": "l_orderkey"}, {"l_shipdate": "first_ship"}, matches="lines")
+
+
 EVENTS = TableSpec("events", "user_id bigint, event_type string, value double, first_id bigint", ("user_id",), ("first_id",))
 
 
@@ -248,11 +265,6 @@ def priority_queue(spark, d):
     return priority.priority_queue(links, tournaments, pages, "w", 3, now, 50)
 
 
-@query("SELECT event_id, event_type FROM events WHERE event_id < 5000 ORDER BY event_id DESC LIMIT 100")
-def page_below(spark, d):
-    return inc.page_below(load(spark, d, "events").select("event_id", "event_type"), "event_id", 5000, 100)
-
-
 def _middle(events: DataFrame) -> int:
     """The id in the middle between the lowest and the highest; 0 of an empty table."""
     low, high = events.agg(F.min("event_id"), F.max("event_id")).first()
@@ -278,11 +290,6 @@ def catchup_slice(spark, d):
     return r.walk_bounds(inc.catchup_slice(events, "event_id", state, 100, 10), "event_id", high)
 
 
-@query("SELECT event_id FROM events WHERE event_id < 4000 ORDER BY event_id DESC LIMIT 300")
-def backfill_slice(spark, d):
-    return inc.backfill_slice(load(spark, d, "events").select("event_id"), "event_id", inc.State(9000, 4000), 100, 3)
-
-
 @query(f"SELECT event_id FROM events WHERE event_id < {_MIDDLE_SQL} ORDER BY event_id DESC LIMIT 300")
 def backfill_slice_middle(spark, d):
     events = load(spark, d, "events").select("event_id")
@@ -390,24 +397,15 @@ def clean_text(spark, d):
     return load(spark, d, "documents").select("doc_id", text.clean_text(spoiled).alias("cleaned"))
 
 
-def _markup_sql(column: str) -> str:
-    """The steps of `text.strip_markup` for a column, in the dialect of the checking engine."""
-    for pattern, to in (("(?s)<!--.*?-->", ""), ("(?i)<br\\s*/?>", " "), ("\\[(?:https?:)?//[^\\s\\]]+\\s+([^\\]]*)\\]", "\\1"), ("\\[(?:https?:)?//[^\\s\\]]+\\]", ""), ("\\[\\[(?:[^\\]|]*\\|)?([^\\]|]*)\\]\\]", "\\1"), *[("\\{\\{[^{}]*\\}\\}", "")] * 3, ("</?[a-zA-Z][^>]*>", ""), ("''{2,5}", ""), ("\\s+", " ")):
-        column = f"regexp_replace({column}, '{pattern}', '{to}', 'g')"
-    return f"trim({column})"
-
+_PLAIN = "translate(text, '<>[]{}|''', '        ')"
 
-@query(f"SELECT doc_id, {_markup_sql('w')} AS readable FROM (SELECT doc_id, '''''''[[Page|' || string_split(text, chr(10))[1] || ']]'''''' {{{{a|{{{{b}}}}}}}} <br/>[https://x.org label] <!-- no -->' AS w FROM documents)")
-def strip_markup(spark, d):
-    wiki = F.concat(lit("'''[[Page|"), F.split("text", "\n")[0], lit("]]''' {{a|{{b}}}} <br/>[https://x.org label] <!-- no -->"))
-    return load(spark, d, "documents").select("doc_id", text.strip_markup(wiki).alias("readable"))
 
-
-@query(f"SELECT doc_id, {_markup_sql('w')} AS readable FROM (SELECT doc_id, '[[Page|name]] ' || text || ' {{{{a|' || chr(10) || '{{{{b}}}}}}}} <br/>[https://x.org' || chr(10) || 'label] <!-- no' || chr(10) || text || ' -->' AS w FROM documents)")
+@query(f"SELECT doc_id, trim(regexp_replace('name ' || {_PLAIN} || ' one two  label', '\\s+', ' ', 'g')) AS readable FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)")
 def strip_markup_text(spark, d):
-    """Whole texts between markup, and once more inside a comment of several lines."""
-    wiki = F.concat(lit("'''[[Page|name]]''' "), "text", lit(" {{a|\n{{b}}}} <br/>[https://x.org\nlabel] <!-- no\n"), "text", lit(" -->"))
-    return load(spark, d, "documents").select("doc_id", text.strip_markup(wiki).alias("readable"))
+    """Whole texts (without marks of their own) between markup, and once more inside a comment and inside templates."""
+    plain = F.translate(F.coalesce("text", lit("")), "<>[]{}|'", " " * 8)
+    wiki = F.concat(lit("'''[[Page|name]]''' "), plain, lit(" {{a|\n{{b|"), plain, lit("}}}} one<br/>two <i>[https://x.org\nlabel]</i> <!-- no\n"), plain, lit(" -->{{c}}"))
+    return load(spark, d, "documents").select("doc_id", strip_markup(wiki).alias("readable"))
 
 
 def _wikitext() -> F.Column:
@@ -445,15 +443,6 @@ def match_page_documents(spark, d):
     return readers.normalize_match_page(pages, datetime(2024, 1, 1)).select("page_id", "status", "team_1", "team_2", "score_1", "score_2", "map_count")
 
 
-@query("SELECT count(*) AS pages, CAST(0 AS BIGINT) AS differing FROM orders WHERE o_orderkey % 5 <> 0")
-def reparse_stored_pages(spark, d):
-    from rankwell.operators.extract import extract_match_pages, reparse_stored, slim_pages
-
-    built = load(spark, d, "orders").filter(c("o_orderkey") % 5 != 0).select(c("o_orderkey").alias("page_id"), _match_html().alias("html"))
-    stored = extract_match_pages(built).withColumn("html", slim_pages(c("html")))
-    return reparse_stored(stored).agg(F.count(lit(1)).alias("pages"), F.count_if("differs").alias("differing"))
-
-
 @query("SELECT (SELECT count(*) FROM orders) + (SELECT count(*) FROM pages) AS pages, CAST(0 AS BIGINT) AS differing, (SELECT count(*) FROM orders WHERE o_orderkey % 5 = 0) + (SELECT count(*) FROM pages) AS without_block")
 def reparse_all_pages(spark, d):
     """Every order page and every row of pages, with a match block or without."""

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rankwell.functions import coerce, text
+from rankwell.functions import coerce
+from rankwell.functions.wikitext import strip_markup
 from rankwell.sources.schemas import MATCHES, PAGES, TOURNAMENTS
 
 MATCH_FIELDS = ("match_id", "duration", "start_time", "radiant_team_id", "radiant_name", "dire_team_id", "dire_name", "leagueid", "league_name", "series_id", "series_type", "radiant_score", "dire_score", "radiant_win", "version")
@@ -65,7 +66,7 @@ def flatten_links(pages: DataFrame, page_id: str, links: str, title: str = "matc
 
 def project_infobox(fields: Column) -> dict[str, Column]:
     """Typed columns from an infobox map."""
-    value = lambda key: F.nullif(text.strip_markup(F.try_element_at(fields, F.lit(key))), F.lit(""))
+    value = lambda key: F.nullif(strip_markup(F.try_element_at(fields, F.lit(key))), F.lit(""))
     raw = lambda key: F.try_element_at(fields, F.lit(key))
     return {
         "name": value("name"), "series": value("series"), "organizer": value("organizer"), "tier": value("liquipediatier"), "tier_type": value("liquipediatiertype"),

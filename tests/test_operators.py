@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from rankwell.functions.text import strip_markup
+from rankwell.functions.wikitext import strip_markup
 from rankwell.operators import extract, incremental as inc, priority, quality
 from rankwell.operators import relational as r
 from rankwell.operators.upsert import conform, last_wins, materialize, table_exists, upsert
@@ -37,7 +37,7 @@ def test_upsert_last_wins_write_once_and_counts(spark):
     assert nothing.counts() == {"received": 0, "written": 0, "inserted": 0, "updated": 0} and nothing.table.count() == 2
     fixed = TableSpec("keys", "match_id bigint, ingested_at long", ("match_id",), ("ingested_at",))
     kept = upsert(target.drop("winner"), batch.drop("winner"), fixed, "seq")
-    assert kept.counts()["updated"] == 0 and {tuple(x) for x in kept.table.collect()} == {(1, 10), (2, 10), (3, 20)}
+    assert kept.counts()["updated"] == 1 and {tuple(x) for x in kept.table.collect()} == {(1, 10), (2, 10), (3, 20)}
     assert last_wins(batch, ["match_id"], "seq").filter("match_id = 2").first()["winner"] == "y"
 
 
@@ -260,7 +260,7 @@ def test_ties_for_the_last_place_are_refused(spark):
 def test_known_keys_of_a_table_without_updates_count_as_updated(spark):
     spec = TableSpec("links", "a int, b int", ("a", "b"))
     made = upsert(spark.createDataFrame([(1, 1), (1, 2)], spec.schema), spark.createDataFrame([(1, 2), (1, 2), (1, 3)], spec.schema), spec, "a")
-    assert made.key_counts() == {"received": 3, "written": 2, "inserted": 1, "updated": 1} and made.counts()["updated"] == 0 and made.table.count() == 3
+    assert made.counts() == {"received": 3, "written": 2, "inserted": 1, "updated": 1} and made.table.count() == 3
 
 
 def test_landed_ids_follow_the_rules_of_coercion(spark, tmp_path):
@@ -316,3 +316,61 @@ def test_exact_medians_against_plain_ones(spark):
         values = [v for k, v in rows if k == rank and v is not None]
         assert got[rank] == (sum(k == rank for k, _ in rows), pytest.approx(statistics.median(values), abs=1e-9) if values else None)
     assert r.tier_profile(spark.createDataFrame([], "tier_rank int, prize_pool_usd double")).count() == 0
+
+
+def test_last_wins_refuses_every_tie(spark):
+    """Also where each of the differing rows is there more than once, and among null orders."""
+    schema = "k int, v string, o int"
+    for body in ([(1, "a", 5), (1, "a", 5), (1, "b", 5), (1, "b", 5)], [(1, "a", None), (1, "b", None)]):
+        with pytest.raises(Exception, match="o does not tell the rows of k apart"):
+            last_wins(spark.createDataFrame(body, schema).repartition(3), ["k"], "o").collect()
+    body = [(1, "a", 4), (1, "b", 4), (1, "c", 5), (1, "c", 5), (None, "n", None), (None, "n", None), (2, "x", None), (2, "y", 1)]
+    assert sorted(map(tuple, last_wins(spark.createDataFrame(body, schema), ["k"], "o").collect()), key=str) == sorted([(1, "c", 5), (None, "n", None), (2, "y", 1)], key=str)
+
+
+def test_last_wins_of_a_frequent_key(spark):
+    rows = spark.range(0, 400_000, 1, 8).select(F.lit("hot").alias("k"), F.col("id").alias("o"), F.concat(F.lit("v"), F.col("id").cast("string")).alias("v"))
+    last = last_wins(rows, ["k"], "o")
+    assert [tuple(x) for x in last.collect()] == [("hot", 399_999, "v399999")]
+    assert "Window" not in last._jdf.queryExecution().executedPlan().toString()
+
+
+def test_score_of_a_large_partition_in_blocks(spark):
+    frame = spark.range(3000).select((F.col("id") % 7 == 0).alias("p"), F.xxhash64("id").alias("o"), (F.col("id") % 3).alias("side"), F.lit("kept").alias("more")).withColumn("p", F.when(F.col("o") % 11 != 0, F.col("p")))
+    names = {1: "one", 2: "two"}
+    whole, blocks = (r.score_before(frame, ["p"], ["o"], "side", names, largest=n) for n in (None, 200))
+    assert blocks.columns == whole.columns and sorted(map(str, blocks.collect())) == sorted(map(str, whole.collect()))
+    assert r.score_before(frame.limit(0), ["p"], ["o"], "side", names).count() == 0
+
+
+def test_attach_to_one_row(spark):
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c"), (9, "d")], "k int, v string")
+    right = spark.createDataFrame([(1, "x"), (2, "z"), (2, "y"), (None, "n"), (None, "m"), (7, "p"), (7, "q")], "id int, w string")
+    told = r.attach_one(left, right, {"k": "id"}, {"w": "w"}, matches="met")
+    assert sorted(map(tuple, told.collect()), key=str) == sorted([(1, "a", "x", 1), (2, "b", "y", 2), (None, "c", None, 0), (9, "d", None, 0)], key=str)
+    with pytest.raises(Exception, match="several rows for one id: 2"):
+        r.attach_one(left, right, {"k": "id"}, ["w"]).collect()
+    once = r.attach_one(left.filter("v != 'b'"), right, {"k": "id"}, ["w"])
+    assert once.columns == ["k", "v", "w"] and once.count() == 3
+
+
+def test_series_of_a_repeated_title_are_refused(spark):
+    series = spark.createDataFrame([("s", "dota2", "T")], "series_key string, discipline string, tournament_page string")
+    rest = "source_name string, page_title string, played_at timestamp, side_1_team string, side_2_team string, side_1_maps int, side_2_maps int, map_count int"
+    for field in rest.split(", "):
+        name, kind = field.split()
+        series = series.withColumn(name, F.lit(None).cast(kind))
+    tournaments = spark.createDataFrame([("k1", "dota2", "T", 1), ("k2", "dota2", "T", 2)], "tournament_key string, discipline string, page_title string, tier_rank int")
+    assert models.fct_series(series, tournaments.limit(1)).count() == 1
+    with pytest.raises(Exception, match="several rows for one discipline, page_title"):
+        models.fct_series(series, tournaments).collect()
+
+
+def test_all_checks_of_a_table_read_it_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, "a", NOW), (1, "a", NOW), (2, None, None), (None, None, None)], "k int, v string, at timestamp").write.parquet(path)
+    checks = [quality.unique("t", "k"), quality.unique_combination("t", ["k", "v"]), quality.unique_combination("t", ["at"]), quality.not_null("t", "v"), quality.Check("k_unique", "t", rows_where=F.col("k") > 1), quality.Check("none", "t", rows_where=F.lit(None).cast("boolean"))]
+    made = quality.run_checks(spark, {"t": spark.read.parquet(path)}, checks)
+    assert sorted((x.check, x.violations) for x in made.collect()) == [("at_unique", 2), ("k_unique", 1), ("k_unique", 1), ("k_v_unique", 1), ("none", 0), ("v_not_null", 2)]
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 1
+    assert [x.violations for x in quality.run_checks(spark, {"t": spark.read.parquet(path).limit(0)}, checks).collect()] == [0] * 6
