@@ -14,7 +14,7 @@ from rankwell.operators.extract import extract_match_pages
 from rankwell.operators.upsert import conform
 from rankwell.plans.queries import c, lit, load, query
 from rankwell.sources import readers
-from rankwell.sources.schemas import SEED_DDL, STATE, TableSpec, read_seed
+from rankwell.sources.schemas import SEED_DDL, TableSpec, read_seed
 from rankwell.sources.scratch import scratch_dir
 from rankwell.streaming import collect
 
@@ -74,12 +74,43 @@ def stream_trace(spark, d):
     for part in (events.filter(c("event_id") <= (low + high) // 2), events):
         part.write.mode("append").json(f"{base}/landing")
         collect.stream_collect(spark, f"{base}/landing", feed.spec.schema, feed, lambda df: df, lambda: NOW).awaitTermination()
-    newest = spark.read.schema(STATE.schema).parquet(f"{feed.location}/state").orderBy(F.desc("records_seen")).limit(1)
-    state = collect.all_states(newest).select(lit("state").alias("kind"), "high_watermark", "backfill_cursor", c("records_seen").alias("records"))
+    state = collect.all_states(collect.states_of(spark, feed)).select(lit("state").alias("kind"), "high_watermark", "backfill_cursor", c("records_seen").alias("records"))
     runs = collect.run_history(collect.runs_of(spark, feed)).select(lit("run").alias("kind"), "high_watermark", "backfill_cursor", "records", "inserted", "updated", "stop_reason", c("gap_suspected").alias("gap"))
     return runs.unionByName(state, allowMissingColumns=True)
 
 
+_RUN = "SELECT {0} AS run, CAST({1} AS BIGINT) AS records, CAST({2} AS BIGINT) AS inserted, CAST({3} AS BIGINT) AS updated, high AS high_watermark, {4} AS backfill_cursor, '{5}' AS stop_reason FROM n"
+_AT = "(SELECT max(event_id) FROM e, n AS m WHERE i = {0} * m.p)"
+
+
+@query("WITH e AS (SELECT event_id, row_number() OVER (ORDER BY event_id DESC) AS i FROM events), n AS (SELECT count(*) AS n, greatest(1, count(*) // 20) AS p, max(event_id) AS high, min(event_id) AS low FROM events) " + " UNION ALL ".join([
+    _RUN.format(1, "2 * p", "2 * p", 0, _AT.format(2), "page_limit"), _RUN.format(2, "3 * p", "3 * p", 0, _AT.format(5), "page_limit"), _RUN.format(3, "p", 0, "p", _AT.format(5), "caught_up"),
+    _RUN.format(4, "n - 5 * p", "n - 5 * p", 0, "low", "exhausted"), _RUN.format(5, 0, 0, 0, "low", "empty_page"),
+]))
+def bounded_runs(spark, d):
+    """A catch-up and a backfill that stop at their page limits, and runs that end for each other reason."""
+    events = load(spark, d, "events").select("event_id", "value")
+    feed = collect.Feed("driver", "all", "events", TableSpec("events", "event_id bigint, value double", ("event_id",)), "event_id", "event_id", f"{scratch_dir(spark, 'bounded')}/feed")
+    page = max(1, events.count() // 20)
+    for mode, most in ((inc.CATCHUP, 2), (inc.BACKFILL, 3), (inc.CATCHUP, 9), (inc.BACKFILL, 100), (inc.BACKFILL, 1)):
+        collect.run_feed(events, feed, mode, NOW, page, most)
+    number = F.regexp_extract("run_id", r"(\d+)$", 1).cast("int") + 1
+    return collect.runs_of(spark, feed).select(number.alias("run"), "records", "inserted", "updated", "high_watermark", "backfill_cursor", "stop_reason")
+
+
+@query("""WITH n AS (SELECT count(*) AS n, (count(*) + 4) // 5 AS p FROM pages)
+SELECT k AS run, CAST(least(2 * p * k, n) AS BIGINT) AS records_seen, CAST(least(2 * p * k, n) AS BIGINT) AS stored, k = 3 AS finished, CASE WHEN k = 3 THEN 'exhausted' ELSE 'page_limit' END AS stop_reason FROM n, (VALUES (1), (2), (3)) AS runs(k)""")
+def token_scan_runs(spark, d):
+    """A scan by url and id over several runs: what is seen and stored after each, and whether the token is cleared."""
+    pages = load(spark, d, "pages").select("url", "page_id")
+    feed = collect.Feed("driver", "all", "pages", TableSpec("pages", "url string, page_id bigint", ("url", "page_id")), "page_id", "page_id", f"{scratch_dir(spark, 'scan')}/feed")
+    page, made = max(1, -(-pages.count() // 5)), []
+    for run in (1, 2, 3):
+        reason = collect.run_feed(pages, feed, collect.SCAN, NOW, page, 2, ["url", "page_id"])
+        made.append((run, collect.load_state(spark, feed).records_seen, collect.current_table(spark, feed).count(), collect.load_token(spark, feed) is None, reason))
+    return spark.createDataFrame(made, "run int, records_seen long, stored long, finished boolean, stop_reason string")
+
+
 def _tag(classes: str, *inside: Column | str, tag: str = "div") -> Column:
     return F.concat(lit(f'<{tag} class="{classes}">'), *[lit(x) if isinstance(x, str) else x.cast("string") for x in inside], lit(f"</{tag}>"))
 

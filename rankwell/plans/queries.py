@@ -15,7 +15,7 @@ from rankwell.operators import incremental as inc
 from rankwell.operators import nested, priority, quality
 from rankwell.operators import relational as r
 from rankwell.operators.upsert import upsert
-from rankwell.sources import readers
+from rankwell.sources import paged, readers
 from rankwell.sources.schemas import TableSpec
 from rankwell.sources.scratch import scratch_dir
 
@@ -280,6 +280,14 @@ def page_below_middle(spark, d):
     return inc.page_below(events, "event_id", _middle(events), 100)
 
 
+@query(f"SELECT event_id, event_type FROM events WHERE event_id < {_MIDDLE_SQL} ORDER BY event_id DESC LIMIT 300")
+def stored_page_below(spark, d):
+    """A page of a table that is stored by id, in files of some hundred rows, of which it opens a handful."""
+    events, path = load(spark, d, "events").select("event_id", "event_type"), scratch_dir(spark, "paged")
+    paged.write_by_id(events, "event_id", path, max(100, events.count() // 50))
+    return paged.stored_page(spark, path, "event_id", _middle(events), 300)
+
+
 @query("""WITH b AS (SELECT max(event_id) - 250 AS high FROM events), n AS (SELECT count(*) AS n FROM events, b WHERE event_id > high),
 s AS (SELECT event_id FROM events ORDER BY event_id DESC LIMIT (SELECT 100 * least(10, n // 100 + 1) FROM n))
 SELECT min(event_id) AS lowest, max(event_id) AS highest, count(*) AS records, bool_or(event_id <= high) AS reached_known FROM s, b""")
@@ -471,6 +479,21 @@ def landing_matches(spark, d):
     return rows.select("match_id", "duration_seconds", "radiant_win", "radiant_name", F.unix_seconds("start_time").alias("start_epoch"), "league_id")
 
 
+@query("SELECT o_orderkey + 1 AS match_id, CAST(o_orderkey % 4000 AS INTEGER) AS duration_seconds, CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_orderkey % 2 = 0 END AS radiant_win, CASE WHEN o_orderkey % 2 = 0 THEN 'C' || o_custkey ELSE 'C} ' || o_custkey END AS radiant_name FROM orders")
+def landing_arrays(spark, d):
+    """The same list as arrays: even orders in files of flat records, cut between records, odd ones with braces in texts,
+    which are read whole."""
+    k, path = c("o_orderkey"), scratch_dir(spark, "arrays")
+    names = F.concat(F.when(k % 2 == 0, "C").otherwise("C} "), c("o_custkey").cast("string"))
+    won = F.when(k % 4 == 0, lit("yes")).otherwise((k % 2 == 0).cast("string"))
+    record = F.to_json(F.struct((k + 1).alias("match_id"), (k % 4000).alias("duration"), won.alias("radiant_win"), names.alias("radiant_name")))
+    record = F.regexp_replace(record, '"(true|false)"', "$1")
+    parts = load(spark, d, "orders").groupBy((k % 2).alias("odd"), F.floor(k / 5000).alias("file")).agg(F.collect_list(record).alias("records"))
+    parts.select("odd", F.concat(lit("[\n"), F.array_join("records", ",\n "), lit("]\n")).alias("value")).write.partitionBy("odd").text(path)
+    rows = readers.normalize_matches(readers.read_match_landing(spark, path), datetime(2024, 1, 1))
+    return rows.select("match_id", "duration_seconds", "radiant_win", "radiant_name")
+
+
 @query("SELECT doc_id, quality, toxic FROM documents LEFT JOIN labels USING (doc_id)")
 def listing_with_content(spark, d):
     return readers.merge_listing_with_content(load(spark, d, "documents").select("doc_id"), load(spark, d, "labels"), "doc_id").select("doc_id", "quality", "toxic")

@@ -15,16 +15,56 @@ from rankwell.sources.schemas import MATCHES, PAGES, TOURNAMENTS
 MATCH_FIELDS = ("match_id", "duration", "start_time", "radiant_team_id", "radiant_name", "dire_team_id", "dire_name", "leagueid", "league_name", "series_id", "series_type", "radiant_score", "dire_score", "radiant_win", "version")
 
 
+def _bodies(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Records of whole files: one file is one row; a body that is not an array of objects is an error."""
+    bodies = spark.read.text(path, wholetext=True).select(F.try_parse_json("value").alias("body"))
+    array = F.try_variant_get("body", "$", "array<variant>")
+    checked = F.when(array.isNull(), F.raise_error(F.lit("a match list must be a JSON array"))).otherwise(array)
+    return bodies.select(F.explode(checked).alias("record"))
+
+
+def _pieces(spark: SparkSession, path: str) -> DataFrame:
+    """What stands before each closing brace: file, place, kind (first, next, last or none of these) and the record."""
+    text = spark.read.option("lineSep", "}").text(path)
+    at = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    rows = text.select(F.col("_metadata.file_path").alias("file"), at.alias("at"), F.regexp_replace("value", r"^[﻿\s]+", "").alias("piece"))
+    body = F.concat(F.regexp_replace("piece", r"^[\[,]\s*", ""), F.lit("}"))
+    record = F.try_parse_json(F.when(body.startswith("{"), body)).alias("record")
+    rows = rows.select("file", "at", "piece", record)
+    kind = F.when(F.rtrim("piece") == "]", "last").when(F.col("record").isNull(), None).when(F.col("piece").startswith("["), "first").when(F.col("piece").startswith(","), "next")
+    return rows.select("file", "at", kind.alias("kind"), "record")
+
+
+def _records(spark: SparkSession, path: str) -> DataFrame:
+    """Records of JSON arrays, read in parts of a file where that is sure to be right.
+
+    Files are cut at closing braces, so Spark splits them like lines. A file is an array of flat objects if its pieces
+    are one that opens it, others that go on, and one that ends it, in this order, and each holds one whole object;
+    all other files (nested objects, braces in texts, what is no array) are read whole, one file a row.
+    """
+    pieces = _pieces(spark, path)
+    ends = pieces.groupBy("file").agg(
+        F.count_if(F.col("kind").isNull()).alias("odd"), F.count_if(F.col("kind") == "first").alias("firsts"), F.count_if(F.col("kind") == "last").alias("lasts"),
+        F.min_by("kind", "at").alias("begins"), F.max_by("kind", "at").alias("ends"),
+    )
+    flat = (F.col("odd") == 0) & (F.col("firsts") == 1) & (F.col("lasts") == 1) & (F.col("begins") == "first") & (F.col("ends") == "last")
+    whole = [r["file"] for r in ends.filter(~flat).select("file").collect()]
+    rows = pieces.filter(F.col("kind") != "last")
+    if whole:
+        names = spark.createDataFrame([(f,) for f in whole], "file string")
+        rows = rows.join(names, "file", "left_anti")
+    rows = rows.select("record")
+    return rows.unionByName(_bodies(spark, whole)) if whole else rows
+
+
 def read_match_landing(spark: SparkSession, path: str, fields: tuple[str, ...] = MATCH_FIELDS, id_field: str = "match_id", multi_line: bool = True) -> DataFrame:
     """Landed match lists (JSON arrays of objects) as one VARIANT column per field, and the record itself.
 
-    A body that is not an array of objects is an error; a record whose id is no integer by the rules of coercion is dropped.
+    A large array of flat records is read by several tasks. A body that is not an array of objects is an error (a file
+    without a byte has none and gives no records); a record whose id is no integer by the rules of coercion is dropped.
     """
     if multi_line:
-        bodies = spark.read.text(path, wholetext=True).select(F.try_parse_json("value").alias("body"))
-        array = F.try_variant_get("body", "$", "array<variant>")
-        checked = F.when(array.isNull(), F.raise_error(F.lit("a match list must be a JSON array"))).otherwise(array)
-        records = bodies.select(F.explode(checked).alias("record"))
+        records = _records(spark, path)
     else:
         records = spark.read.text(path).select(F.try_parse_json("value").alias("record"))
     shaped = records.select("record", *[F.try_variant_get("record", f"$.{f}", "variant").alias(f) for f in fields])

@@ -1,5 +1,6 @@
 """Upsert, interval algebra, queue, quality checks, extraction and streaming on small frames."""
 
+import json
 import os
 from datetime import datetime, timedelta
 
@@ -11,7 +12,7 @@ from rankwell.operators import extract, incremental as inc, priority, quality
 from rankwell.operators import relational as r
 from rankwell.operators.upsert import conform, last_wins, materialize, table_exists, upsert
 from rankwell.plans import models
-from rankwell.sources import readers
+from rankwell.sources import bucketed, paged, readers
 from rankwell.sources.schemas import RAW_TABLES, TableSpec, tier_seed
 from rankwell.streaming import collect
 
@@ -280,11 +281,10 @@ def test_templates_go_at_any_depth(spark):
     assert spark.createDataFrame([(deep,), ("}} {{ open",), (None,)], "t string").select(strip_markup(F.col("t"))).collect() == [("a b c",), ("}} {{ open",), (None,)]
 
 
-def test_a_table_of_many_batches(spark, tmp_path, monkeypatch):
-    """Batches against a dictionary: over several bases, with a batch run again, write-once columns and a failed run."""
-    monkeypatch.setattr(collect, "FOLD", 3)
+def test_a_table_of_many_batches(spark, tmp_path):
+    """Batches against a dictionary: over splitting buckets, with a batch run again, write-once columns and a failed run."""
     spec = TableSpec("m", "k bigint, born string, v string", ("k",), ("born",))
-    feed = collect.Feed("s", "d", "m", spec, "k", "at", str(tmp_path / "feed"))
+    feed = collect.Feed("s", "d", "m", spec, "k", "at", str(tmp_path / "feed"), bucket_rows=2)
     frame = lambda n, keys: spark.createDataFrame([(k, f"b{n}", None if k == 2 and n == 5 else f"v{n}", n) for k in keys], "k bigint, born string, v string, at int")
     expected, counts = {}, []
     for n, keys in enumerate([(1, 2), (2, 3), (4,), (1, 4), (), (2, 5), (6, 1), (7,)]):
@@ -300,22 +300,75 @@ def test_a_table_of_many_batches(spark, tmp_path, monkeypatch):
     runs = collect.runs_of(spark, feed).collect()
     assert sorted((x.inserted, x.updated) for x in runs if x.stop_reason != "failed") == sorted(counts)
     assert [x.high_watermark for x in runs if x.stop_reason == "failed"] == [7] and collect.load_state(spark, feed).high_watermark == 7
-    assert [p.name for p in sorted((tmp_path / "feed" / "base").glob("batch=*"))] == ["batch=2", "batch=5"]
-    assert sorted(p.name for p in (tmp_path / "feed" / "data").glob("batch=*")) == ["batch=3", "batch=4", "batch=5", "batch=6", "batch=7"]
+    manifest = feed.table(spark).manifest()
+    assert manifest.buckets == 4 and manifest.rows == 7 and sorted(p.name for p in (tmp_path / "feed/table/manifest").glob("*.json")) == ["6.json", "7.json"]
+    assert not list((tmp_path / "feed/table/staged").iterdir()) and len(list((tmp_path / "feed/table/data").iterdir())) <= 6
+    assert feed.table(spark).rows(feed.table(spark).manifest(7)).count() == 6
 
 
-def test_exact_medians_against_plain_ones(spark):
-    import random
-    import statistics
-
-    draw = random.Random(3)
-    rows = [(r, float(draw.choice((draw.randrange(50), draw.gauss(0, 1000))))) for r in (1, 2, None) for _ in range({1: 40_001, 2: 12_000, None: 7}[r])]
-    rows += [(3, 5.0)] * 1000 + [(3, 6.0)] * 1000 + [(4, None)] * 3 + [(1, None)] * 10
-    got = {x.r: (x.n, x.median_value) for x in r.tier_profile(spark.createDataFrame(rows, "r int, v double").repartition(7), "r", "v").collect()}
-    for rank in (1, 2, 3, 4, None):
-        values = [v for k, v in rows if k == rank and v is not None]
-        assert got[rank] == (sum(k == rank for k, _ in rows), pytest.approx(statistics.median(values), abs=1e-9) if values else None)
-    assert r.tier_profile(spark.createDataFrame([], "tier_rank int, prize_pool_usd double")).count() == 0
+def test_a_batch_reads_its_buckets_alone(spark, tmp_path):
+    """While the table grows tenfold, batches of ten keys read and write about as much as before."""
+    spec = TableSpec("m", "k bigint, v string", ("k",))
+    table = bucketed.BucketedTable(spark, spec, str(tmp_path / "t"), bucket_rows=100)
+    keys = lambda low, high: spark.range(low, high).select(F.col("id").alias("k"), F.lit("x" * 50).alias("v"), F.lit(1).alias("at"))
+    reads, rows = [], bucketed.BucketedTable.rows
+
+    def counted(self, manifest=None, buckets=None):
+        if buckets is not None:
+            reads.append((len(manifest.held), sum(n for b, (_, n) in manifest.held.items() if b in buckets)))
+        return rows(self, manifest, buckets)
+
+    for number, high in enumerate((2000, 20_000)):
+        table.merge(keys(0, high), 10 * number, "at", {})
+        table.merge(keys(high // 2, high // 2 + 5).union(keys(10**6 + high, 10**6 + high + 5)).withColumn("v", F.lit("new")), 10 * number + 1, "at", {"n": number})
+    with pytest.MonkeyPatch.context() as patched:
+        patched.setattr(bucketed.BucketedTable, "rows", counted)
+        for number, low in enumerate((5000, 7000)):
+            assert table.merge(keys(low, low + 10), 30 + number, "at", {}) == {"received": 10, "written": 10, "inserted": 0, "updated": 10}
+    assert all(buckets >= 190 and read <= 12 * 200 for buckets, read in reads) and len(reads) == 2
+    assert table.rows().count() == 20_010 and {r.v for r in table.rows().filter("k >= 10000 and k < 10005 or k >= 1000000").collect()} == {"new"}
+    assert table.manifest(12).saved == {"n": 1} or table.manifest(31).batch == 30
+
+
+def test_buckets_split_one_at_a_time(spark):
+    keys = spark.range(2000)
+    for old, new in ((1, 2), (3, 4), (5, 9), (8, 9)):
+        moved = {r.a for r in keys.select(bucketed.bucket_of(["id"], old).alias("a"), bucketed.bucket_of(["id"], new).alias("b")).filter("a != b").distinct().collect()}
+        assert moved <= bucketed.split_by(old, new)
+    assert {r[0] for r in keys.select(bucketed.bucket_of(["id"], 7)).distinct().collect()} == set(range(7))
+
+
+def test_bounded_runs_and_why_they_stop(spark, tmp_path):
+    spec = TableSpec("m", "k bigint, v string", ("k",))
+    feed = collect.Feed("s", "d", "m", spec, "k", "k", str(tmp_path / "feed"))
+    source = spark.range(1, 101).select(F.col("id").alias("k"), F.lit("v").alias("v"))
+    run = lambda mode, most, rows=source, **more: collect.run_feed(rows, feed, mode, NOW, 10, most, **more)
+    assert run(inc.CATCHUP, 2) == "page_limit" and collect.load_state(spark, feed) == inc.State(100, 81, 20)
+    assert run(inc.BACKFILL, 3) == "page_limit" and collect.load_state(spark, feed) == inc.State(100, 51, 50)
+    newer = source.union(spark.range(101, 116).select(F.col("id").alias("k"), F.lit("n").alias("v")))
+    assert run(inc.CATCHUP, 5, newer) == "caught_up" and collect.load_state(spark, feed) == inc.State(115, 51, 70)
+    assert run(inc.BACKFILL, 9) == "exhausted" and collect.load_state(spark, feed) == inc.State(115, 1, 120)
+    assert run(inc.BACKFILL, 9) == "empty_page" and run(inc.CATCHUP, 2, source.limit(0)) == "empty_page"
+    far = spark.range(500, 600).select(F.col("id").alias("k"), F.lit("f").alias("v"))
+    assert run(inc.CATCHUP, 2, far) == "page_limit"
+    with pytest.raises(ValueError, match="does not descend"):
+        run(inc.BACKFILL, 1, slice_of=lambda state: far.filter("k >= 580"))
+    runs = {(x.stop_reason, x.gap_suspected) for x in collect.runs_of(spark, feed).collect()}
+    assert {a for a, _ in runs} == {"page_limit", "caught_up", "exhausted", "empty_page", "failed"} and ("page_limit", True) in runs
+    assert collect.current_table(spark, feed).count() == 115 + 20 and collect.states_of(spark, feed).first()["high_watermark"] == 599
+
+
+def test_a_scan_goes_on_from_its_token(spark, tmp_path):
+    spec = TableSpec("links", "title string, page bigint", ("title", "page"))
+    feed = collect.Feed("s", "d", "links", spec, "page", "page", str(tmp_path / "feed"))
+    source = spark.range(25).select(F.format_string("t%s", F.col("id") % 4).alias("title"), F.col("id").alias("page"))
+    seen = []
+    for turn in range(2):
+        for reason in ("page_limit", "page_limit", "exhausted"):
+            assert collect.run_feed(source, feed, collect.SCAN, NOW, 5, 2, ["title", "page"]) == reason
+            seen.append(collect.current_table(spark, feed).count())
+            assert (collect.load_token(spark, feed) is None) == (reason == "exhausted")
+    assert seen == [10, 20, 25, 25, 25, 25] and collect.load_state(spark, feed) == inc.State(None, None, 50)
 
 
 def test_last_wins_refuses_every_tie(spark):
@@ -374,3 +427,38 @@ def test_all_checks_of_a_table_read_it_once(spark, tmp_path):
     assert sorted((x.check, x.violations) for x in made.collect()) == [("at_unique", 2), ("k_unique", 1), ("k_unique", 1), ("k_v_unique", 1), ("none", 0), ("v_not_null", 2)]
     assert made._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 1
     assert [x.violations for x in quality.run_checks(spark, {"t": spark.read.parquet(path).limit(0)}, checks).collect()] == [0] * 6
+
+
+def test_a_page_opens_a_handful_of_files(spark, tmp_path):
+    path = str(tmp_path / "by_id")
+    frame = spark.range(0, 40_000, 1, 8).select((F.xxhash64("id") % 100_000).alias("k"), "id").dropDuplicates(["k"])
+    paged.write_by_id(frame.union(spark.createDataFrame([(None, -1)], "k long, id long")), "k", path, 40)
+    assert len(list((tmp_path / "by_id" / "rows").glob("part-*"))) > 600
+    for cursor, size in ((None, 100), (5000, 100), (-99_990, 100), (10**9, 1), (-(10**9), 5)):
+        page = paged.stored_page(spark, path, "k", cursor, size)
+        assert page.collect() == inc.page_below(frame, "k", cursor, size).collect()
+        assert len(page.inputFiles()) <= 8 or cursor == -(10**9)
+
+
+def test_large_arrays_are_read_in_parts(spark, tmp_path):
+    """Flat arrays in several tasks, in any layout; nested records and braces in texts whole; what is no array raises."""
+    flat = [{"match_id": i, "duration": i % 90, "radiant_name": f"n{i}", "league_name": "[x], {" * (i % 2)} for i in range(5000)]
+    (tmp_path / "flat.json").write_text("\n" + json.dumps(flat, indent=1) + "\n")
+    (tmp_path / "dense.json").write_text(json.dumps(flat[:10]).replace("{\"", "{ \""))
+    (tmp_path / "nested.json").write_text(json.dumps([{"match_id": 9000 + i, "radiant_name": "}, {", "more": {"a": [1, {}]}} for i in range(5)]))
+    (tmp_path / "none.json").write_text(" [ ] ")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 50_000)
+    try:
+        rows = readers.read_match_landing(spark, str(tmp_path))
+        ids = sorted(r.match_id for r in readers.normalize_matches(rows, NOW).collect())
+        assert ids == sorted([*range(5000), *range(10), *range(9000, 9005)])
+        one = readers._pieces(spark, str(tmp_path / "flat.json"))
+        assert one.rdd.getNumPartitions() > 5
+        names = {r.match_id: r.radiant_name for r in readers.normalize_matches(rows, NOW).collect()}
+        assert names[17] == "n17" and names[9002] == "}, {"
+        for bad in ('{"match_id": 1}', '[{"match_id": 1}', '{"match_id": 1}]', '[{"match_id": 1}{"match_id": 2}]', ',{"match_id": 1}[{"match_id": 2}]', " "):
+            (tmp_path / "bad.json").write_text(bad)
+            with pytest.raises(Exception, match="must be a JSON array"):
+                readers.read_match_landing(spark, str(tmp_path / "bad.json")).count()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
