@@ -144,19 +144,42 @@ PAGE = """<html><body><div class="match-bm"><div class="match-bm-match-header-da
 </div><div class="match-bm-match-additional">history</div></div></body></html>"""
 
 
-def test_match_document():
-    d = extract.match_document(PAGE)
+def document(spark, *pages):
+    """The documents of pages, without what is null in them."""
+    def full(x):
+        return {k: full(v) for k, v in x.items() if v is not None} if isinstance(x, dict) else [full(v) for v in x] if isinstance(x, list) else x
+
+    made = extract.extract_match_pages(spark.createDataFrame(list(enumerate(pages)), "n int, html string"))
+    return [full(r.document.asDict(True)) for r in made.orderBy("n").collect()]
+
+
+def test_match_document(spark):
+    slim = extract.slim_page(PAGE)
+    d, again, none = document(spark, PAGE, slim, "<p>nothing</p>")
     assert (d["status"], d["played_at_epoch"], d["tournament_page"], d["score"]) == ("finished", 1724482800, "VCT/2024/Champions", [1, 3])
     assert d["teams"][0] == {"page": "Leviatán", "name": "Leviatán", "short": "LEV"}
-    assert d["veto"] == [{"order": 1, "action": "ban", "map": "Bind", "team": "Leviatán"}, {"order": 2, "action": "decider", "map": "Haven", "team": None}]
+    assert d["veto"] == [{"order": 1, "action": "ban", "map": "Bind", "team": "Leviatán"}, {"order": 2, "action": "decider", "map": "Haven"}]
     (m,) = d["maps"]
     assert (m["number"], m["map"], m["score"], m["length"]) == (1, "Icebox", [7, 13], "63:00")
     assert m["halves"] == [[{"side": "atk", "rounds": 5}, {"side": "def", "rounds": 2}], [{"side": "def", "rounds": 7}]] and m["team_stats"] == {"first_kills": ["9", "11"]}
     assert m["players"] == [{"side": 1, "page": "KiNgg", "name": "kiNgg", "agent": "Viper", "kills": 15, "deaths": 14, "assists": 5, "headshot_pct": 34.2, "first_kills": 3, "first_deaths": 2}]
     assert m["rounds"] == [{"number": 1, "winner": 1, "winner_side": "atk", "outcome": "Spike detonated", "first_kill": "MiniBoo", "clutch": "C0M"}]
-    slim = extract.slim_page(PAGE)
-    assert extract.match_document(slim) == d and "history" not in slim
-    assert extract.match_document("<p>nothing</p>") == {"status": "unparsed", "teams": [], "veto": [], "maps": []} and extract.slim_page("<p>nothing</p>") is None
+    assert again == d and "history" not in slim
+    assert none == {"status": "unparsed", "teams": [], "veto": [], "maps": []} and extract.slim_page("<p>nothing</p>") is None
+
+
+def test_markup_around_what_is_read(spark):
+    """Other class names before the action, titles on what is no link, blocks without a link ahead of one that has it."""
+    page = """<div class=match-bm><div class="match-bm-match-header-tournament">soon</div><div class="match-bm-match-header-tournament"><a title="Cup">The Cup</a></div>
+    <div class="match-bm-match-header-team"><a title="Icon">i</a><b class="match-bm-match-header-team-long">Plain</b></div><div class="match-bm-match-header-team"><a title="Only link">o</a></div>
+    <div class="is--active match-bm-map-veto-card match-bm-map-veto-card--ban"><div class="match-bm-map-veto-card-map-info">by</div><div class="match-bm-map-veto-card-map-info"><a title="">?</a></div></div>
+    <div class="match-bm-lol-game-summary"><div class="match-bm-lol-game-summary-score">13</div></div>
+    <div class="match-bm-rounds-overview-round"><i class="match-bm-rounds-overview-round-title">3</i><i class="match-bm-rounds-overview-round-outcome"></i><i class="match-bm-rounds-overview-round-outcome"><u class="a--b match-bm-rounds-overview-round-outcome-icon x--def"></u></i></div>
+    <div class="match-bm-match-round-detail"><i class="match-bm-match-round-detail-header">3</i><div class="match-bm-match-round-detail-body"><span><b>First Kill</b><img title="Jett"><a>x</a><a title="Player One">p</a></span></div></div></div>"""
+    (d,) = document(spark, page)
+    assert (d["tournament_page"], d["tournament_name"], d["status"], d["veto"]) == ("Cup", "The Cup", "unknown", [{"order": 1, "action": "ban"}])
+    assert d["teams"] == [{"name": "Plain"}, {"page": "Only link", "name": "Only link"}] and "score" not in d["maps"][0]
+    assert d["maps"][0]["rounds"] == [{"number": 3, "winner": 2, "winner_side": "def", "first_kill": "Player One"}]
 
 
 @pytest.mark.parametrize(("text", "fields"), [
@@ -271,9 +294,9 @@ def test_landed_ids_follow_the_rules_of_coercion(spark, tmp_path):
 
 
 @pytest.mark.parametrize("piece", ["<div>", "<b><i>", "</p>", "<a title='"])
-def test_deep_and_broken_pages_are_read(piece):
+def test_deep_and_broken_pages_are_read(spark, piece):
     page = f"<div class='match-bm'>{20_000 * piece}<div class='match-bm-match-header-result-text'>Live</div></div>"
-    assert extract.match_document(page)["status"] in ("live", "unknown") and extract.slim_page(page).startswith("<div")
+    assert document(spark, page)[0]["status"] in ("live", "unknown") and extract.slim_page(page).startswith("<div")
 
 
 def test_templates_go_at_any_depth(spark):
