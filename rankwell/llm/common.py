@@ -50,6 +50,19 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def least_by_hash(df: DataFrame, h: Column, most: int, rows: int | None = None) -> DataFrame:
+    """The `most` rows with the least 64-bit hash; `rows` is how many there are at least (counted, if not given).
+
+    Of many more rows only those below a threshold, about twice as many as wanted, are brought together and sorted;
+    should these not suffice, all are.
+    """
+    rows = df.count() if rows is None else rows
+    if rows > 4 * most:
+        near = df.filter(h < F.lit((2 * most << 64) // rows - (1 << 63)))
+        df = near if near.limit(most).count() == most else df
+    return df.orderBy(h).limit(most)
+
+
 def split_points(df: DataFrame, column: str, parts: int) -> list[int]:
     """At most `parts` - 1 ascending integers that cut a numeric column into ranges of about equal rows.
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankwell.llm.common import held_out, materialize
+from rankwell.llm.common import held_out, least_by_hash, materialize
 
 #: Rows that a view is fitted on, at most: labelled ones, and those that the other view has labelled in a round.
 SAMPLE = 20_000
@@ -186,11 +186,13 @@ def teach_from_table(pool: DataFrame, width: int, most: int = TAUGHT) -> Teacher
         counts = np.zeros((2, 2 * STEPS + 1))
         for row in scored.select(each).groupBy("e.view", "e.step").count().collect():
             counts[row["view"], row["step"] + STEPS] = row["count"]
-        labels = []
+        labels, sure = [], 0
         for k in (0, 1):
             good, bad = sure_steps(counts[k], share, prior)
+            steps = np.arange(2 * STEPS + 1) - STEPS
+            sure = max(sure, int(counts[k][(steps >= good) | (steps <= bad)].sum()))
             labels.append(F.when(F.col(f"s.v{k}") >= good, 1).when(F.col(f"s.v{k}") <= bad, 0).otherwise(-1).alias(f"by{k}"))
-        found = scored.select("h", "f", *labels).filter("by0 >= 0 or by1 >= 0").orderBy("h").limit(most).toPandas()
+        found = least_by_hash(scored.select("h", "f", *labels).filter("by0 >= 0 or by1 >= 0"), F.col("h"), most, sure).toPandas()
         x = np.array(found["f"].tolist(), float).reshape(len(found), -1) if len(found) else np.empty((0, width + SOURCES + LANGS + 2))
         return Lesson((x[:, :width], x[:, width:]), (found["by0"].to_numpy(), found["by1"].to_numpy()))
 
@@ -261,7 +263,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, taught: int =
     reaches the driver is bounded by these two numbers. Of several labelled rows with one id one is taken.
     """
     known = labels.filter(F.col(label_col).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    known = known.groupBy(F.col("doc_id").alias("__id")).agg(F.min(label_col).cast("int").alias("__y")).orderBy(F.xxhash64("__id"), "__id").limit(sample)
+    known = known.groupBy(F.col("doc_id").alias("__id")).agg(F.min(label_col).cast("int").alias("__y"))
+    known = least_by_hash(known, F.xxhash64("__id"), sample)
 
     def run(texts: pa.Array, sources: pa.Array, langs: pa.Array, sizes: pa.Array) -> pa.Array:
         rows = [text_features(t) + meta_features(s, g, n) for t, s, g, n in zip(texts.to_pylist(), sources.to_pylist(), langs.to_pylist(), sizes.to_pylist(), strict=True)]

@@ -70,8 +70,17 @@ def scan(text: str | None) -> tuple[int, list[Detection], list[tuple[int, str]]]
         for rule in group:
             for m in rule.pattern.finditer(plain):
                 raw.append(Detection(bisect_right(gaps, m.start()) - 1, bisect_right(gaps, m.end()) - 1, rule.label, rule.priority, rule.order))
-    base = sorted((spaced.count(b" ", 0, at), label) for at, label in base)
-    return n_words, resolve(raw), base
+    return n_words, resolve(raw), _numbered(spaced, sorted(base))
+
+
+def _numbered(spaced: bytes, base: list[tuple[int, str]]) -> list[tuple[int, str]]:
+    """Ascending places as word numbers, each counted on from the one before."""
+    out, words, before = [], 0, 0
+    for at, label in base:
+        words += spaced.count(b" ", before, at)
+        before = at
+        out.append((words, label))
+    return out
 
 
 def _places(spaced: bytes, phrase: bytes) -> Iterator[int]:

@@ -12,7 +12,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankwell.llm.common import held_out, materialize
+from rankwell.llm.common import held_out, least_by_hash, materialize
 
 #: Labelled rows that the model is fitted on, at most: those with the least hash of their id.
 SAMPLE = 20_000
@@ -165,7 +165,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
     wins; of several texts of one id the least is learned from. Null labels are not used.
     """
     known = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
-    known = known.groupBy(F.col(id_col).alias("__id")).agg(F.max(label_col).alias("__y")).orderBy(F.xxhash64("__id"), "__id").limit(sample)
+    known = known.groupBy(F.col(id_col).alias("__id")).agg(F.max(label_col).alias("__y"))
+    known = least_by_hash(known, F.xxhash64("__id"), sample)
     texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(F.broadcast(known), "__id")
     texts = materialize(texts.groupBy("__id").agg(F.max("__y").alias("__y"), F.min("__text").alias("__text")))
     totals = dict(texts.groupBy("__y").count().collect())

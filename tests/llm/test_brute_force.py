@@ -504,3 +504,24 @@ def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (101, 100), (200, 200)], "a long, b long")
     got = {r.fp: r.root for r in connected_components(edges).collect()}
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100}
+
+
+def test_least_by_hash_equals_a_whole_sort(spark):
+    from pyspark.sql import functions as F
+
+    from rankwell.llm.common import least_by_hash
+
+    frame = spark.range(20_000).select("id", F.xxhash64("id").alias("h"))
+    whole = [r.id for r in frame.orderBy("h").limit(50).collect()]
+    assert [r.id for r in least_by_hash(frame, F.col("h"), 50).collect()] == whole
+    # most rows above the threshold: it does not suffice, and all are sorted
+    skewed = frame.filter("h > 0 or id % 997 = 0")
+    assert [r.id for r in least_by_hash(skewed, F.col("h"), 50).collect()] == [r.id for r in skewed.orderBy("h").limit(50).collect()]
+
+
+def test_many_base_phrases_are_numbered_in_one_pass():
+    import time
+
+    began = time.time()
+    words, _, base = licenses.scan("cc by " * 200_000)
+    assert words == 400_000 and [n for n, _ in base] == list(range(0, 400_000, 2)) and time.time() - began < 6
