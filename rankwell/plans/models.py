@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rankwell.functions import exprs as x
 from rankwell.operators import nested
 from rankwell.operators import relational as r
-from rankwell.sources.schemas import DOCUMENT_DDL, struct
+from rankwell.sources.schemas import DOCUMENT_DDL, SUMMARY_DDL, struct
 
 #: Names of the two feeds in keys and in source_name.
 PAGES_FEED, MATCH_FEED = "wiki", "matchlist"
@@ -35,9 +35,10 @@ def stg_tournaments(tournaments: DataFrame) -> DataFrame:
     )
 
 
-def stg_series(pages: DataFrame) -> DataFrame:
-    """Finished series; the document is parsed here, once for every model below."""
-    done = nested.parse_document(pages.filter(F.col("status") == "finished"), struct(DOCUMENT_DDL))
+def stg_series(pages: DataFrame, document: str = DOCUMENT_DDL) -> DataFrame:
+    """Finished series; the document is parsed here, once for every model below. Models without players and rounds do
+    with less of it (SUMMARY_DDL)."""
+    done = nested.parse_document(pages.filter(F.col("status") == "finished"), struct(document))
     return done.select(
         x.readable_key(F.lit(PAGES_FEED), "wiki", "page_title").alias("series_key"), F.lit(PAGES_FEED).alias("source_name"), F.col("wiki").alias("discipline"), "page_title", "played_at", "tournament_page",
         x.blank_to_null(F.col("team_1")).alias("side_1_team"), x.blank_to_null(F.col("team_2")).alias("side_2_team"), F.col("score_1").alias("side_1_maps"), F.col("score_2").alias("side_2_maps"), "map_count", "doc", "refreshed_at",
@@ -48,13 +49,14 @@ def stg_maps(series: DataFrame) -> DataFrame:
     keep = ["series_key", "discipline", "played_at", "tournament_page", "side_1_team", "side_2_team"]
     rows = nested.unfold(series, F.col("doc.maps"), "m", keep)
     m = lambda name: F.col(f"m.{name}")
+    more = [name for name in ("players", "rounds") if name in rows.schema["m"].dataType.fieldNames()]
     roles = {f"side_{s}_{role}_rounds": x.rounds_by_role(x.at(m("halves"), s - 1), role) for s in (1, 2) for role in ("atk", "def")}
     plants = {}
     for s in (1, 2):
         plants[f"side_{s}_post_plant_won"], plants[f"side_{s}_post_plant_played"] = x.fraction_parts(x.at(m("team_stats")["post_plant"], s - 1))
     return rows.select(
         x.readable_key("series_key", m("number"), sep="#").alias("map_key"), *keep, m("number").alias("map_number"), m("map").alias("map_name"), x.at(m("score"), 0).alias("side_1_rounds"), x.at(m("score"), 1).alias("side_2_rounds"),
-        x.clock_to_seconds(m("length")).alias("duration_seconds"), x.starting_side(m("halves")).alias("side_1_starting_side"), *[c.alias(n) for n, c in (roles | x.team_stat_columns(m("team_stats")) | plants).items()], m("players").alias("players"), m("rounds").alias("rounds"),
+        x.clock_to_seconds(m("length")).alias("duration_seconds"), x.starting_side(m("halves")).alias("side_1_starting_side"), *[c.alias(n) for n, c in (roles | x.team_stat_columns(m("team_stats")) | plants).items()], *[m(name).alias(name) for name in more],
     )
 
 
@@ -182,6 +184,14 @@ def build_marts(raw: Mapping[str, DataFrame], seed: DataFrame, save=None) -> dic
     return m
 
 
+def build_fct_map(raw: Mapping[str, DataFrame], seed: DataFrame, save=None) -> DataFrame:
+    """fct_map alone, from documents without players and rounds; `save` as for `build_marts`."""
+    keep = save or (lambda name, df: df)
+    series = keep("stg_series", stg_series(raw["match_pages"], SUMMARY_DDL))
+    facts = fct_series(series, dim_tournament(stg_tournaments(raw["tournaments"]), seed))
+    return fct_map(stg_maps(series), facts, stg_veto(series))
+
+
 def recount_mismatch(rounds: DataFrame, maps: DataFrame) -> DataFrame:
     """Maps whose stated score is not what their rounds add up to, by side."""
     won = r.count_filtered(rounds, ["map_key"], counted_1=F.col("winning_side") == 1, counted_2=F.col("winning_side") == 2)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -72,6 +73,9 @@ DOCUMENT_DDL = ("""
         rounds: array<struct<number: int, winner: int, winner_side: string, outcome: string, first_kill: string, clutch: string>>>>
 """.replace("\n", " "))
 
+#: The same without players and rounds.
+SUMMARY_DDL = re.sub(r",\s*players: array<struct<.*?>>,\s*rounds: array<struct<.*?>>", "", DOCUMENT_DDL)
+
 SEED_DDL = "discipline string, tier_key string, tier_rank int, tier_label string"
 
 #: The tier spellings of each discipline, their rank and label; one spelling has no rank.

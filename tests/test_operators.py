@@ -485,3 +485,11 @@ def test_large_arrays_are_read_in_parts(spark, tmp_path):
                 readers.read_match_landing(spark, str(tmp_path / "bad.json")).count()
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_series_gather_no_documents(spark):
+    """Scores are aggregates beside the documents: the plan of fct_series has no list of maps in it."""
+    from rankwell.plans.queries import QUERIES
+
+    plan = QUERIES["mart_fct_series"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "from_json" not in plan
