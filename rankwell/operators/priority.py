@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankwell.functions.exprs import tier_rank_case
+from rankwell.operators.upsert import table_exists
+from rankwell.sources.schemas import PAGES
 
 SETTLED = ("finished",)
 RETRY_DAYS = 3
@@ -33,3 +35,12 @@ def priority_queue(links: DataFrame, tournaments: DataFrame, pages: DataFrame, w
     """The next `limit` matches by rank, latest start (unknown last) and title; never a full sort."""
     wanted = missing_or_stale(designated_matches(links, tournaments, wiki, now).filter(F.col("rank") <= max_rank), pages, wiki, now)
     return wanted.orderBy("rank", F.desc_nulls_last("latest_start"), "match_title").limit(limit)
+
+
+def queue_of_tables(spark: SparkSession, wiki: str, max_rank: int, now: datetime, limit: int, links: str = "links", tournaments: str = "tournaments", pages: str = "match_pages") -> DataFrame:
+    """The queue from tables of the catalogue. Without links and tournaments there is nothing to ask for, which is an
+    error and not an empty queue; without stored pages every linked match is missing."""
+    if missing := [name for name in (links, tournaments) if not table_exists(spark, name)]:
+        raise ValueError(f"the queue needs {' and '.join(missing)}: collect them first")
+    stored = spark.table(pages) if table_exists(spark, pages) else spark.createDataFrame([], PAGES.schema)
+    return priority_queue(spark.table(links), spark.table(tournaments), stored, wiki, max_rank, now, limit)

@@ -479,19 +479,60 @@ def landing_matches(spark, d):
     return rows.select("match_id", "duration_seconds", "radiant_win", "radiant_name", F.unix_seconds("start_time").alias("start_epoch"), "league_id")
 
 
-@query("SELECT o_orderkey + 1 AS match_id, CAST(o_orderkey % 4000 AS INTEGER) AS duration_seconds, CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_orderkey % 2 = 0 END AS radiant_win, CASE WHEN o_orderkey % 2 = 0 THEN 'C' || o_custkey ELSE 'C} ' || o_custkey END AS radiant_name FROM orders")
+@query("""SELECT o_orderkey + 1 AS match_id, CAST(o_orderkey % 100000 + 1 AS BIGINT) AS start_epoch, CAST(o_orderkey % 4000 AS INTEGER) AS duration_seconds, o_custkey AS radiant_team_id, CASE WHEN o_orderkey % 2 = 0 THEN 'C' ELSE 'C} ' END || o_custkey AS radiant_name,
+CASE WHEN o_orderkey % 7 > 0 THEN o_custkey + 1 END AS dire_team_id, CASE WHEN o_orderkey % 5 > 0 THEN o_orderpriority END AS dire_name, CAST(o_orderkey % 50 AS INTEGER) AS radiant_score, CASE WHEN o_orderkey % 3 > 0 THEN CAST(o_custkey % 50 AS INTEGER) END AS dire_score,
+CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_orderkey % 2 = 0 END AS radiant_win, o_orderkey % 90 AS league_id, o_orderstatus AS league_name, o_orderkey % 300 AS series_id, CAST(o_orderkey % 3 AS INTEGER) AS series_type, CAST(o_custkey % 30 AS INTEGER) AS parse_version,
+'2024-01-01' AS seen_first, '2024-01-01' AS seen_last, o_orderkey + 1 AS kept_id FROM orders""")
 def landing_arrays(spark, d):
-    """The same list as arrays: even orders in files of flat records, cut between records, odd ones with braces in texts,
-    which are read whole."""
-    k, path = c("o_orderkey"), scratch_dir(spark, "arrays")
-    names = F.concat(F.when(k % 2 == 0, "C").otherwise("C} "), c("o_custkey").cast("string"))
-    won = F.when(k % 4 == 0, lit("yes")).otherwise((k % 2 == 0).cast("string"))
-    record = F.to_json(F.struct((k + 1).alias("match_id"), (k % 4000).alias("duration"), won.alias("radiant_win"), names.alias("radiant_name")))
+    """Every column of landed matches. Lists come as arrays: even orders in files of flat records, cut between records,
+    odd ones with braces in texts, which are read whole; ids as texts, unreadable values, missing fields."""
+    k, cust, path = c("o_orderkey"), c("o_custkey"), scratch_dir(spark, "arrays")
+    text_of = lambda e: e.cast("string")
+    record = F.to_json(F.struct(
+        text_of(k + 1).alias("match_id"), (k % 4000).alias("duration"), (k % 100_000 + 1).alias("start_time"), text_of(cust).alias("radiant_team_id"), F.concat(F.when(k % 2 == 0, "C").otherwise("C} "), text_of(cust)).alias("radiant_name"),
+        F.when(k % 7 > 0, text_of(cust + 1)).otherwise("none").alias("dire_team_id"), F.when(k % 5 > 0, c("o_orderpriority")).otherwise(" ").alias("dire_name"), (k % 90).alias("leagueid"), c("o_orderstatus").alias("league_name"), (k % 300).alias("series_id"), (k % 3).alias("series_type"),
+        (k % 50).alias("radiant_score"), F.when(k % 3 > 0, cust % 50).alias("dire_score"), F.when(k % 4 == 0, lit("yes")).otherwise((k % 2 == 0).cast("string")).alias("radiant_win"), text_of(cust % 30).alias("version"),
+    ))
     record = F.regexp_replace(record, '"(true|false)"', "$1")
     parts = load(spark, d, "orders").groupBy((k % 2).alias("odd"), F.floor(k / 5000).alias("file")).agg(F.collect_list(record).alias("records"))
     parts.select("odd", F.concat(lit("[\n"), F.array_join("records", ",\n "), lit("]\n")).alias("value")).write.partitionBy("odd").text(path)
     rows = readers.normalize_matches(readers.read_match_landing(spark, path), datetime(2024, 1, 1))
-    return rows.select("match_id", "duration_seconds", "radiant_win", "radiant_name")
+    day = lambda name: F.date_format(name, "yyyy-MM-dd")
+    return rows.select(
+        *[n for n in rows.columns if n not in ("start_time", "ingested_at", "refreshed_at", "payload")], F.unix_seconds("start_time").alias("start_epoch"), day("ingested_at").alias("seen_first"), day("refreshed_at").alias("seen_last"), F.get_json_object("payload", "$.match_id").cast("bigint").alias("kept_id")
+    )
+
+
+@query("""SELECT 'dota2' AS wiki, p_partkey AS page_id, p_name AS page_title, CAST(1706933106 AS BIGINT) AS revised_epoch, p_brand AS name, p_type AS series, 'O ' || p_partkey AS organizer, p_brand AS tier, CASE WHEN p_partkey % 3 > 0 THEN p_type END AS tier_type, 'game' AS game, 'Offline' AS setting,
+p_brand AS country, 'City ' || p_size AS city, CAST('2024-01-0' || (p_partkey % 9 + 1) AS DATE) AS start_date, CAST(NULL AS DATE) AS end_date, CAST(p_partkey * 10 AS DOUBLE) AS prize_pool_usd, p_partkey || ' EUR' AS prize_pool_local, 'eur' AS local_currency, CAST(p_size AS INTEGER) AS team_count, '2024-01-01' AS seen, p_brand AS kept_name FROM part""")
+def infobox_columns(spark, d):
+    """Every column of tournaments, from the infobox of a page for every part."""
+    from rankwell.operators.extract import extract_infobox
+
+    k = c("p_partkey").cast("string")
+    fields = {
+        "name": c("p_brand"), "series": F.concat(lit("[[x|"), c("p_type"), lit("]]")), "organizer": F.concat(lit("'''O''' "), k), "liquipediatier": c("p_brand"), "liquipediatiertype": F.when(c("p_partkey") % 3 > 0, c("p_type")).otherwise("{{none}}"), "game": lit("game"), "type": lit("Off<!-- - -->line"),
+        "country": c("p_brand"), "city": F.concat(lit("City "), c("p_size").cast("string")), "sdate": F.concat(lit("2024-01-0"), (c("p_partkey") % 9 + 1).cast("string")), "edate": lit("2024-01-??"), "prizepoolusd": F.concat(lit("$"), F.format_number(c("p_partkey") * 10, 0)),
+        "prizepool": F.concat(k, lit(" EUR")), "localcurrency": lit("eur"), "team_number": c("p_size").cast("string"),
+    }
+    wikitext = F.concat(lit("{{Infobox league"), *[F.concat(lit(f"\n|{name}="), value) for name, value in fields.items()], lit("\n}}"))
+    pages = load(spark, d, "part").select(lit("dota2").alias("wiki"), c("p_partkey").alias("pageid"), c("p_name").alias("title"), lit("2024-02-03T04:05:06Z").alias("revised_at"), extract_infobox(wikitext, "Infobox league").alias("fields"))
+    rows = readers.normalize_tournaments(pages, datetime(2024, 1, 1))
+    kept = [n for n in rows.columns if n not in ("revised_at", "ingested_at", "refreshed_at", "infobox")]
+    return rows.select(*kept, F.unix_seconds("revised_at").alias("revised_epoch"), F.date_format("refreshed_at", "yyyy-MM-dd").alias("seen"), F.get_json_object("infobox", "$.name").alias("kept_name"))
+
+
+@query("""SELECT o_orderkey AS page_id, o_orderkey % 5 <> 0 AS has_block, false AS has_history, false AS has_style, o_orderkey % 5 <> 0 AS has_veto FROM orders UNION ALL SELECT -page_id - 1, false, false, false, false FROM pages""")
+def stored_pages(spark, d):
+    """What is stored of a page: its match block without history and heavy attributes, nothing where there is none."""
+    from rankwell.operators.extract import extract_match_pages
+
+    wrapped = F.concat(lit('<html><p style="x">above</p>'), F.regexp_replace(_match_html(), "</div>$", '<div class="match-bm-match-additional">history</div><i style="y" src="z"></i></div>'), lit("<p>below</p></html>"))
+    both = load(spark, d, "orders").select(c("o_orderkey").alias("page_id"), wrapped.alias("html")).unionByName(load(spark, d, "pages").select((-c("page_id") - 1).alias("page_id"), "html"))
+    rows = readers.normalize_match_page(extract_match_pages(both.select(lit("valorant").alias("wiki"), c("page_id").cast("string").alias("page_title"), "page_id", lit(0).alias("revision_id"), "html")), datetime(2024, 1, 1))
+    held = lambda what: F.coalesce(c("html").contains(what), lit(False))
+    whole = held('<div class="match-bm">') & ~held("above") & ~held("below")
+    return rows.select("page_id", whole.alias("has_block"), held("history").alias("has_history"), (held("style=") | held("src=")).alias("has_style"), held("veto-card--ban").alias("has_veto"))
 
 
 @query("SELECT doc_id, quality, toxic FROM documents LEFT JOIN labels USING (doc_id)")

@@ -493,3 +493,11 @@ def test_series_gather_no_documents(spark):
 
     plan = QUERIES["mart_fct_series"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "collect_list" not in plan and "from_json" not in plan
+
+
+def test_a_queue_without_its_inputs_is_refused(spark):
+    with pytest.raises(ValueError, match="the queue needs no_links and no_tournaments"):
+        priority.queue_of_tables(spark, "w", 5, NOW, 9, "no_links", "no_tournaments", "no_pages")
+    spark.createDataFrame([("w", 1, "Match:1"), ("v", 1, "Match:2")], "wiki string, tournament_page_id long, match_title string").createOrReplaceTempView("some_links")
+    spark.createDataFrame([("w", 1, "S-Tier", None)], "wiki string, page_id long, tier string, start_date date").createOrReplaceTempView("some_tournaments")
+    assert [x.match_title for x in priority.queue_of_tables(spark, "w", 5, NOW, 9, "some_links", "some_tournaments", "no_pages").collect()] == ["Match:1"]
