@@ -143,10 +143,10 @@ def length_ranges(lengths: np.ndarray, least: int) -> list[np.ndarray]:
     return ranges
 
 
-def search_ranges(vectors: np.ndarray, queries: np.ndarray, own: list[np.ndarray], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+def search_ranges(vectors: np.ndarray, queries: np.ndarray, own: list[np.ndarray], k: int, exact: bool = False) -> list[tuple[np.ndarray, np.ndarray]]:
     """Positions and inner products of the verified vectors of each query, from one index for each range of lengths.
 
-    Ranges of no more vectors than a query may verify anyway are verified whole. A query leaves a range out if none
+    Ranges of no more vectors than a query may verify anyway are verified whole, and so are all with `exact`. A query leaves a range out if none
     of its vectors is long enough to be among the k best found so far.
     """
     lengths, asked = lengths_of(vectors), lengths_of(queries)
@@ -157,7 +157,7 @@ def search_ranges(vectors: np.ndarray, queries: np.ndarray, own: list[np.ndarray
         if not open_:
             continue
         left_out = [np.flatnonzero(np.isin(rows, own[q])) for q in open_]
-        if len(rows) <= SPARE * k:
+        if exact or len(rows) <= SPARE * k:
             made = [(kept := np.delete(np.arange(len(rows)), out), (vectors[rows[kept]] * queries[q]).sum(1)) for q, out in zip(open_, left_out, strict=True)]
         else:
             made = Index(vectors[rows], longest).search(queries[open_], left_out, k)
@@ -166,7 +166,7 @@ def search_ranges(vectors: np.ndarray, queries: np.ndarray, own: list[np.ndarray
     return found
 
 
-def _search_block(k: int, counts: bool):
+def _search_block(k: int, counts: bool, exact: bool):
     names = ["query_id", "vec_id", "score", *["verified"] * counts]
 
     def run(key: tuple, vectors: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
@@ -179,7 +179,7 @@ def _search_block(k: int, counts: bool):
         own = [np.flatnonzero(ids == query_id) for query_id in asked]
         out = []
         held, asked_for = (np.stack(rows["v"].to_numpy()).astype(np.float64) for rows in (vectors, queries))
-        made = search_ranges(held, asked_for, own, k)
+        made = search_ranges(held, asked_for, own, k, exact)
         for query_id, query, (rows, scores) in zip(asked, asked_for, made, strict=True):
             # products of many rows at once may differ in their last bits, so what is near the k best is computed singly
             number, scale = len(rows), np.abs(scores).max(initial=0.0)
@@ -199,12 +199,14 @@ def usable(vector: Column) -> Column:
     return F.coalesce(vector.isNotNull() & (F.size(vector) > 0) & sound & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def search(df: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", counts: bool = False) -> DataFrame:
+def search(df: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", counts: bool = False, exact: bool = False) -> DataFrame:
     """The k largest inner products found for every query row, nearest first: query_id, rank, vec_id, score; with
-    `counts` also how many vectors were verified for the query.
+    `counts` also how many vectors were verified for the query. With `exact` every candidate is verified whose length
+    does not rule it out, so that none is missed.
 
     Every usable row is indexed; rows with the query's id are not its candidates. Repeated rows (same id, same
-    vector) count once; rows with a null id or an unusable vector take no part; vectors meet those of their own
+    vector) count once; rows with a null id or an unusable vector take no part; different vectors of one id are
+    queries of one ranking, in which an id may come once for each of its vectors; vectors meet those of their own
     length only. Ties go to the smaller id. Other columns are ignored, an empty table gives an empty one. The
     blocks are dealt by a hash of the id, so copies of one vector spread over all of them; each task holds one
     block and one batch of queries, with one index for each range of lengths, and each query leaves k rows a block.
@@ -222,7 +224,7 @@ def search(df: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_id",
     left = rows.select("vec_id", "v", "dim", number(blocks).alias("block"), every(batches).alias("batch"))
     right = rows.filter("asks").select("vec_id", "v", "dim", number(batches).alias("batch"), every(blocks).alias("block"))
     keys = ("dim", "block", "batch")
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_search_block(k, counts), "query_id long, vec_id long, score double" + ", verified long" * counts)
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_search_block(k, counts, exact), "query_id long, vec_id long, score double" + ", verified long" * counts)
     columns = ["query_id", "rank", "vec_id", "score"]
     if counts:
         found, columns = found.withColumn("verified", F.sum("verified").over(W.partitionBy("query_id"))), [*columns, "verified"]

@@ -525,3 +525,21 @@ def test_many_base_phrases_are_numbered_in_one_pass():
     began = time.time()
     words, _, base = licenses.scan("cc by " * 200_000)
     assert words == 400_000 and [n for n, _ in base] == list(range(0, 400_000, 2)) and time.time() - began < 6
+
+
+def test_exact_search_equals_all_products(spark):
+    """On vectors in a narrow cone, where collisions tell little; also two vectors of one id."""
+    draw = np.random.default_rng(3)
+    vectors = (draw.normal(size=(600, 16)) * 0.2 + 1).tolist()
+    rows = [(i, v) for i, v in enumerate(vectors)] + [(20, vectors[5])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    asked = ann.F.col("vec_id") % 100 == 10
+    got = {}
+    for r in ann.search(frame, asked, k=20, exact=True).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    held = np.array([v for _, v in rows])
+    for query, found in got.items():
+        scores = (held * held[query]).sum(1)
+        order = sorted((-s, i) for (i, _), s in zip(rows, scores, strict=True) if i != query)[:20]
+        assert [(k, i) for k, i, _ in sorted(found)] == [(k, i) for k, (_, i) in enumerate(order, 1)]
+    assert set(got) == {10, 110, 210, 310, 410, 510}
