@@ -428,7 +428,7 @@ def infobox_fields(spark, d):
     return readers.normalize_tournaments(pages, datetime(2024, 1, 1)).select("page_id", "name", "tier", "start_date", "end_date", "prize_pool_usd", "team_count")
 
 
-def _match_html() -> F.Column:
+def match_html() -> F.Column:
     k, n = c("o_orderkey"), lambda e: e.cast("string")
     team = lambda name: F.concat(lit('<div class="match-bm-match-header-team"><span class="match-bm-match-header-team-long"><a title="'), name, lit('">'), name, lit("</a></span></div>"))
     body = F.concat(
@@ -445,7 +445,7 @@ UNION ALL SELECT -page_id - 1, 'unparsed', NULL, NULL, NULL, NULL, 0 FROM pages"
 def match_page_documents(spark, d):
     from rankwell.operators.extract import extract_match_pages
 
-    built = load(spark, d, "orders").select(c("o_orderkey").alias("page_id"), _match_html().alias("html"))
+    built = load(spark, d, "orders").select(c("o_orderkey").alias("page_id"), match_html().alias("html"))
     both = built.unionByName(load(spark, d, "pages").select((-c("page_id") - 1).alias("page_id"), "html"))
     pages = extract_match_pages(both.select(lit("valorant").alias("wiki"), c("page_id").cast("string").alias("page_title"), "page_id", lit(0).alias("revision_id"), "html"))
     return readers.normalize_match_page(pages, datetime(2024, 1, 1)).select("page_id", "status", "team_1", "team_2", "score_1", "score_2", "map_count")
@@ -456,7 +456,7 @@ def reparse_all_pages(spark, d):
     """Every order page and every row of pages, with a match block or without."""
     from rankwell.operators.extract import extract_match_pages, reparse_stored, slim_pages
 
-    built = load(spark, d, "orders").select(c("o_orderkey").alias("page_id"), _match_html().alias("html"))
+    built = load(spark, d, "orders").select(c("o_orderkey").alias("page_id"), match_html().alias("html"))
     both = built.unionByName(load(spark, d, "pages").select((-c("page_id") - 1).alias("page_id"), "html"))
     stored = extract_match_pages(both).withColumn("html", slim_pages(c("html")))
     return reparse_stored(stored).agg(F.count(lit(1)).alias("pages"), F.count_if("differs").alias("differing"), F.count_if(c("html").isNull()).alias("without_block"))
@@ -527,7 +527,7 @@ def stored_pages(spark, d):
     """What is stored of a page: its match block without history and heavy attributes, nothing where there is none."""
     from rankwell.operators.extract import extract_match_pages
 
-    wrapped = F.concat(lit('<html><p style="x">above</p>'), F.regexp_replace(_match_html(), "</div>$", '<div class="match-bm-match-additional">history</div><i style="y" src="z"></i></div>'), lit("<p>below</p></html>"))
+    wrapped = F.concat(lit('<html><p style="x">above</p>'), F.regexp_replace(match_html(), "</div>$", '<div class="match-bm-match-additional">history</div><i style="y" src="z"></i></div>'), lit("<p>below</p></html>"))
     both = load(spark, d, "orders").select(c("o_orderkey").alias("page_id"), wrapped.alias("html")).unionByName(load(spark, d, "pages").select((-c("page_id") - 1).alias("page_id"), "html"))
     rows = readers.normalize_match_page(extract_match_pages(both.select(lit("valorant").alias("wiki"), c("page_id").cast("string").alias("page_title"), "page_id", lit(0).alias("revision_id"), "html")), datetime(2024, 1, 1))
     held = lambda what: F.coalesce(c("html").contains(what), lit(False))
@@ -543,7 +543,7 @@ def listing_with_content(spark, d):
 @query("SELECT DISTINCT doc_id, w AS match_title FROM (SELECT doc_id, unnest(string_split(lower(text), ' ')) AS w FROM documents) WHERE w <> ''")
 def flatten_links(spark, d):
     words = F.transform(F.split(F.lower("text"), " "), lambda w: F.nullif(w, lit("")))
-    return readers.flatten_links(load(spark, d, "documents").select("doc_id", words.alias("links")), "doc_id", "links")
+    return readers.flatten_links(readers.dealt(load(spark, d, "documents").select("doc_id", "text")).select("doc_id", words.alias("links")), "doc_id", "links")
 
 
 @query("SELECT url LIKE 'https://%' AS secure, count(*) AS n, count(nullif(url LIKE '%/en/%', false)) AS english, CAST(sum(length(html)) AS BIGINT) AS chars FROM pages GROUP BY 1")

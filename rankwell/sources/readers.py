@@ -94,6 +94,13 @@ def normalize_matches(records: DataFrame, now: datetime) -> DataFrame:
     return stamp(rows, now).select(*MATCHES.columns)
 
 
+def dealt(scan: DataFrame) -> DataFrame:
+    """A scan with fewer parts than there are cores (a small table in one file), dealt over all cores; a larger one as
+    it is."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def merge_listing_with_content(listing: DataFrame, content: DataFrame, key: str) -> DataFrame:
     """Every listed page gives a row, with its content if that came back."""
     return listing.join(content, key, "left")
