@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from rankwell.functions import coerce
 from rankwell.operators.extract import extract_match_pages, reparse_stored, slim_pages
 from rankwell.plans import adapter, models
-from rankwell.plans.marts import DIM, WITH, models_of, sql_of
+from rankwell.plans.marts import DIM, DOCUMENTS, WITH, models_of, sql_of
 from rankwell.plans.queries import c, lit, load, match_html, query
 from rankwell.sources.schemas import tier_seed
 
@@ -38,14 +38,14 @@ CAST((pk + k) % 25 - (pk + 2 * k) % 20 AS INTEGER) AS kill_diff, CAST((pk + k) %
 round(((pk + k) % 4) / nullif(s1 + s2, 0), 9) AS first_kills_per_round FROM f, range(1, 11) AS r(k)"""))
 def mart_fct_player_map_all(spark, d):
     """Every column of the players' fact, quotients rounded to nine places."""
-    made = models_of(spark, d, "stg_maps", "stg_series")["fct_player_map"]
+    made = models_of(spark, d, ["fct_player_map"], DOCUMENTS, True)["fct_player_map"]
     return made.withColumns({n: F.round(n, 9) for n in ("kd_ratio", "kills_per_round", "first_kills_per_round")})
 
 
 @query(sql_of("""SELECT map_key, s1 AS side_1_rounds, s2 AS side_2_rounds, CAST(s1 - CASE WHEN s1 > 0 THEN 1 ELSE 0 END AS BIGINT) AS counted_1, CAST(s2 - CASE WHEN s1 > 0 THEN 0 ELSE 1 END AS BIGINT) AS counted_2 FROM f WHERE map_number % 3 = 0"""))
 def mart_recount_spoiled(spark, d):
     """The recount where the first round of every third map is lost: exactly these maps are told."""
-    m = models_of(spark, d, "stg_maps", "stg_series")
+    m = models_of(spark, d, ["stg_rounds", "fct_map"], DOCUMENTS, True)
     lost = (c("round_number") == 1) & (c("map_number") % 3 == 0)
     return models.recount_mismatch(m["stg_rounds"].filter(~lost), m["fct_map"])
 

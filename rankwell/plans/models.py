@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -158,38 +158,46 @@ def fct_veto(veto: DataFrame, series: DataFrame) -> DataFrame:
     return df.select(x.readable_key("series_key", "veto_order", sep="#").alias("veto_key"), "series_key", "discipline", "tournament_key", "tier_rank", "played_at", "veto_order", "action", "map_name", "team", side)
 
 
-def build_marts(raw: Mapping[str, DataFrame], seed: DataFrame, save=None) -> dict[str, DataFrame]:
-    """All models in order. `save(name, df)` may write a model and return the written one; the parsed documents
-    (stg_series) are what is worth writing, as four models read them."""
-    keep = save or (lambda name, df: df)
-    m: dict[str, DataFrame] = {}
-
-    def add(name: str, df: DataFrame) -> None:
-        m[name] = keep(name, df)
-
-    add("stg_matches", stg_matches(raw["matches"]))
-    add("stg_tournaments", stg_tournaments(raw["tournaments"]))
-    add("stg_series", stg_series(raw["match_pages"]))
-    add("stg_maps", stg_maps(m["stg_series"]))
-    add("stg_players", stg_players(m["stg_maps"]))
-    add("stg_rounds", stg_rounds(m["stg_maps"]))
-    add("stg_veto", stg_veto(m["stg_series"]))
-    add("dim_tournament", dim_tournament(m["stg_tournaments"], seed))
-    add("fct_series", fct_series(m["stg_series"], m["dim_tournament"]))
-    add("fct_map", fct_map(m["stg_maps"], m["fct_series"], m["stg_veto"]))
-    add("fct_match", fct_match(m["stg_matches"], m["fct_map"]))
-    add("fct_player_map", fct_player_map(m["stg_players"], m["fct_map"]))
-    add("fct_round", fct_round(m["stg_rounds"], m["stg_players"], m["fct_map"]))
-    add("fct_veto", fct_veto(m["stg_veto"], m["fct_series"]))
-    return m
-
-
-def build_fct_map(raw: Mapping[str, DataFrame], seed: DataFrame, save=None) -> DataFrame:
-    """fct_map alone, from documents without players and rounds; `save` as for `build_marts`."""
-    keep = save or (lambda name, df: df)
-    series = keep("stg_series", stg_series(raw["match_pages"], SUMMARY_DDL))
-    facts = fct_series(series, dim_tournament(stg_tournaments(raw["tournaments"]), seed))
-    return fct_map(stg_maps(series), facts, stg_veto(series))
+#: Each model: how it is made, and from which models and raw tables.
+MODELS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
+    "stg_matches": (stg_matches, ("matches",)),
+    "stg_tournaments": (stg_tournaments, ("tournaments",)),
+    "stg_series": (stg_series, ("match_pages",)),
+    "stg_maps": (stg_maps, ("stg_series",)),
+    "stg_players": (stg_players, ("stg_maps",)),
+    "stg_rounds": (stg_rounds, ("stg_maps",)),
+    "stg_veto": (stg_veto, ("stg_series",)),
+    "dim_tournament": (dim_tournament, ("stg_tournaments", "seed")),
+    "fct_series": (fct_series, ("stg_series", "dim_tournament")),
+    "fct_map": (fct_map, ("stg_maps", "fct_series", "stg_veto")),
+    "fct_match": (fct_match, ("stg_matches", "fct_map")),
+    "fct_player_map": (fct_player_map, ("stg_players", "fct_map")),
+    "fct_round": (fct_round, ("stg_rounds", "stg_players", "fct_map")),
+    "fct_veto": (fct_veto, ("stg_veto", "fct_series")),
+}
+
+
+def sources_of(*models: str) -> set[str]:
+    """The raw tables (and the seed) that models rest on."""
+    return set().union(*(sources_of(*MODELS[name][1]) if name in MODELS else {name} for name in models))
+
+
+def build_marts(raw: Mapping[str, DataFrame], seed: DataFrame, save=None, want: Sequence[str] = tuple(MODELS), document: str = DOCUMENT_DDL) -> dict[str, DataFrame]:
+    """The models that are wanted (default: all), in order. `save(name, df)` may write a model and return the written
+    one; the parsed documents (stg_series) are what is worth writing, as four models read them. A model that no wanted
+    one rests on is not made, and `raw` need not hold its tables. Models without players and rounds do with less of
+    the documents (SUMMARY_DDL)."""
+    made: dict[str, DataFrame] = {**raw, "seed": seed}
+
+    def get(name: str) -> DataFrame:
+        if name not in made:
+            make, needs = MODELS[name]
+            more = {"document": document} if name == "stg_series" else {}
+            df = make(*map(get, needs), **more)
+            made[name] = save(name, df) if save else df
+        return made[name]
+
+    return {name: get(name) for name in want}
 
 
 def recount_mismatch(rounds: DataFrame, maps: DataFrame) -> DataFrame:

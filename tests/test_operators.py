@@ -200,6 +200,13 @@ def test_pages_stored_without_a_block_keep_their_document(spark):
     assert extract.reparse_stored(changed).first().differs
 
 
+def test_only_what_is_wanted_is_made():
+    """A wanted model asks for the raw tables that it rests on, and no other model is made."""
+    assert models.sources_of("fct_veto") == {"match_pages", "tournaments", "seed"}
+    assert models.sources_of("fct_match") == {"matches", "match_pages", "tournaments", "seed"}
+    assert models.sources_of("dim_tournament") == {"tournaments", "seed"} and models.sources_of() == set()
+
+
 def test_models_of_one_match(spark):
     pages = spark.createDataFrame([("valorant", "Match:1", 1, 1, PAGE), ("valorant", "Match:2", 2, 1, None)], "wiki string, page_title string, page_id int, revision_id int, html string")
     raw = readers.normalize_match_page(extract.extract_match_pages(pages), NOW).cache()
