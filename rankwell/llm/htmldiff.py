@@ -9,7 +9,7 @@ from __future__ import annotations
 import html
 import re
 from collections import Counter, deque
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +40,8 @@ MARK = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+
 SPLIT = re.compile(r"[^a-z]+")
 #: Share of the characters of two pages outside furniture that lie in common lines, from which they are copies.
 COPY = 0.8
+#: Ranges of the order of pages whose outermost leaders one task compares.
+SPAN = 64
 #: Bits of the vectors that one alignment keeps at once; longer pages are aligned by halves.
 TRACE_BITS = 1 << 24
 
@@ -278,24 +280,71 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(numbers, pa.int64()), pa.array(leads, pa.bool_())], names=names)
 
 
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each range the nearest leaders in the ranges on either side that are no copies of its outermost ones."""
-    rows = [row for batch in batches for row in batch.to_pylist()]
+_PAGE = "struct<hashes:array<bigint>,sizes:array<int>>"
+_ENDS = ", ".join(f"{name} struct<host:string,page:{_PAGE}>" for name in ("first", "second", "last_but_one", "last"))
 
-    def nearest(mine: dict, others: Iterator[dict | None]) -> dict | None:
-        lines = weighed(mine["page"])
-        for other in others:
-            if other is not None:
-                if other["host"] != mine["host"]:
-                    return None
-                if not copies(lines, weighed(other["page"])):
-                    return other["page"]
-        return None
 
+class _End:
+    """An outermost leader of a range, with its lines outside furniture."""
+
+    def __init__(self, row: dict):
+        self.host, self.page, self.lines = row["host"], row["page"], weighed(row["page"])
+
+    def meets(self, others: Iterable[_End]) -> tuple[_End | None, bool]:
+        """The first of the others that is no copy, and whether the search came to an end: one of another host ends it."""
+        for other in others:
+            if other.host != self.host or not copies(self.lines, other.lines):
+                return other, True
+        return None, False
+
+
+def _ranges(ends: pa.Table) -> list[tuple[int, list[_End]]]:
+    """The ranges of a block in order, each with its outermost leaders in order; its first and last are always there."""
+    order = ("first", "second", "last_but_one", "last")
+    return [(row["part"], [_End(row[name]) for name in order if row[name]]) for row in sorted(ends.to_pylist(), key=lambda row: row["part"])]
+
+
+def _inside(ends: pa.Table) -> pa.Table:
+    """For each range of a block the nearest leaders of the block's other ranges on either side that are no copies of
+    its outermost ones, and whether one must be sought outside the block."""
+    ranges, out = _ranges(ends), []
+    for i, (part, mine) in enumerate(ranges):
+        before = (end for _, others in reversed(ranges[:i]) for end in reversed(others))
+        after = (end for _, others in ranges[i + 1 :] for end in others)
+        row = {"part": part}
+        for side, me, others in (("left", mine[0], before), ("right", mine[-1], after)):
+            found, ended = me.meets(others)
+            row |= {side: found.page if found and found.host == me.host else None, f"{side}_open": not ended}
+        out.append(row)
     page = pa.struct([("hashes", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32()))])
-    left = [nearest(row["first"], (r[c] for r in reversed(rows[:i]) for c in ("last", "last_but_one"))) for i, row in enumerate(rows)]
-    right = [nearest(row["last"], (r[c] for r in rows[i + 1 :] for c in ("first", "second"))) for i, row in enumerate(rows)]
-    yield pa.RecordBatch.from_arrays([pa.array([r["part"] for r in rows], pa.int32()), pa.array(left, page), pa.array(right, page)], names=["part", "left", "right"])
+    return pa.Table.from_pylist(out, pa.schema([("part", pa.int32()), ("left", page), ("right", page), ("left_open", pa.bool_()), ("right_open", pa.bool_())]))
+
+
+def _outline(block: tuple[pa.Scalar, ...], ends: pa.Table) -> pa.Table:
+    """A block as one range of the level above: its outermost leaders, and the nearest to each that is no copy."""
+    ranges = _ranges(ends)
+    inner = [end for _, of in ranges for end in of]
+    first, last = inner[0], inner[-1]
+    told = {"first": first, "second": first.meets(inner[1:])[0], "last_but_one": last.meets(reversed(inner[:-1]))[0], "last": last}
+    row = {"part": block[0].as_py()} | {name: end and {"host": end.host, "page": end.page} for name, end in told.items()}
+    end = pa.struct([("host", pa.string()), ("page", pa.struct([("hashes", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32()))]))])
+    return pa.Table.from_pylist([row], pa.schema([("part", pa.int32()), *((name, end) for name in told)]))
+
+
+def _across(ends: DataFrame, ranges: int) -> DataFrame:
+    """(part, left, right) of every range: the nearest leaders beyond it that are no copies of its outermost ones.
+
+    Blocks of SPAN ranges are settled by one task each; what a block cannot settle, for all that it holds on that side
+    are copies, is asked of the level above, in which a block is a range. No task holds more than SPAN ranges' ends.
+    """
+    blocks = ends.withColumn("block", F.floor(F.col("part") / SPAN).cast("int"))
+    inside = blocks.groupBy("block").applyInArrow(_inside, f"part int, left {_PAGE}, right {_PAGE}, left_open boolean, right_open boolean")
+    if ranges <= SPAN:
+        return inside.select("part", "left", "right")
+    above = materialize(blocks.groupBy("block").applyInArrow(_outline, f"part int, {_ENDS}"))
+    beyond = _across(above, -(-ranges // SPAN)).select(F.col("part").alias("block"), F.col("left").alias("l"), F.col("right").alias("r"))
+    joined = inside.withColumn("block", F.floor(F.col("part") / SPAN).cast("int")).join(beyond, "block")
+    return joined.select("part", F.when(F.col("left_open"), F.col("l")).otherwise(F.col("left")).alias("left"), F.when(F.col("right_open"), F.col("r")).otherwise(F.col("right")).alias("right"))
 
 
 def neighbour_lines(pages: DataFrame) -> DataFrame:
@@ -303,20 +352,20 @@ def neighbour_lines(pages: DataFrame) -> DataFrame:
 
     Input: key, host, path, page (hashes and sizes of its lines). Pages are ordered by host, path and key over ranges
     of that order, which no host can outgrow, and fall into runs of copies. A page's neighbours are the leaders of the
-    runs beside its own; only the outermost runs of a range look beyond it, through a table of one row a range.
+    runs beside its own; only the outermost runs of a range look beyond it, through a table of one row a range, which
+    is searched in blocks, level by level.
     """
     n = max(2, int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ranged = pages.repartitionByRange(n, "host", "path", "key").withColumn("part", F.spark_partition_id()).sortWithinPartitions("host", "path", "key")
     ranged = ranged.select("key", "host", "part", "page")
-    kind = "struct<hashes:array<bigint>,sizes:array<int>>"
-    walked = materialize(ranged.mapInArrow(_runs, f"key bigint, host string, part int, page {kind}, run bigint, leads boolean"))
+    walked = materialize(ranged.mapInArrow(_runs, f"key bigint, host string, part int, page {_PAGE}, run bigint, leads boolean"))
     order = W.partitionBy("part").orderBy("run")
     row = F.struct("host", "page")
     leaders = walked.filter("leads").select("part", "run", row.alias("row"), F.lag(row).over(order).alias("p"), F.lead(row).over(order).alias("n"))
     ends = leaders.groupBy("part").agg(F.min_by("row", "run").alias("first"), F.max_by("row", "run").alias("last"), F.min_by("n", "run").alias("second"), F.max_by("p", "run").alias("last_but_one"))
-    across = ends.repartition(1).sortWithinPartitions("part").mapInArrow(_across, f"part int, left {kind}, right {kind}")
+    across = _across(materialize(ends) if n > SPAN else ends, n)
     same = lambda c: F.when(F.col(c)["host"] == F.col("row")["host"], F.col(c)["page"])
-    beside = leaders.join(F.broadcast(across), "part").select("part", "run", F.when(F.col("p").isNull(), F.col("left")).otherwise(same("p")).alias("before"), F.when(F.col("n").isNull(), F.col("right")).otherwise(same("n")).alias("after"))
+    beside = leaders.join(across, "part").select("part", "run", F.when(F.col("p").isNull(), F.col("left")).otherwise(same("p")).alias("before"), F.when(F.col("n").isNull(), F.col("right")).otherwise(same("n")).alias("after"))
     return walked.join(beside, ["part", "run"]).select("key", "page", "before", "after")
 
 
