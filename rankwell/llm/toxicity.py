@@ -111,11 +111,12 @@ def features(text: str | None, words: _Words, lexicon: Lexicon, label: int | Non
         near += k < len(you) and you[k] <= i + NEAR
     raw = text.encode("utf-8", "replace")
     size = max(1, len(raw))
-    letters = size - len(raw.translate(None, _LETTERS)) or 1
+    of = lambda kind: len(raw) - len(raw.translate(None, kind))
+    letters = of(_LETTERS) or 1
     return [
         math.log1p(len(written)), len(hits) / n, math.log1p(len(hits)), math.log1p(len(distinct)), max(weights, default=0.0), sum(weights) / n, near / n, len(you) / n,
-        (size - len(raw.translate(None, _UPPER))) / letters, shouted / n, raw.count(b"!") / size, raw.count(b"?") / size, (size - len(raw.translate(None, _SYMBOLS))) / size,
-        (raw.count(b"!!") + raw.count(b"??") + raw.count(b"..")) / size, disguised / n, hidden / n, listed / n, (size - len(raw.translate(None, _DIGITS))) / size,
+        of(_UPPER) / letters, shouted / n, raw.count(b"!") / size, raw.count(b"?") / size, of(_SYMBOLS) / size,
+        (raw.count(b"!!") + raw.count(b"??") + raw.count(b"..")) / size, disguised / n, hidden / n, listed / n, of(_DIGITS) / size,
     ]
 
 
