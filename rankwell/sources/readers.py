@@ -17,9 +17,16 @@ MATCH_FIELDS = ("match_id", "duration", "start_time", "radiant_team_id", "radian
 
 
 def _bodies(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Records of whole files: one file is one row; a body that is not an array of objects is an error."""
-    bodies = spark.read.text(path, wholetext=True).select(F.try_parse_json("value").alias("body"))
-    array = F.try_variant_get("body", "$", "array<variant>")
+    """Records of whole files: one file is one row; a body that is not an array of objects, or not one alone, is an error.
+
+    The parser stops behind the first value, so the body is parsed with its own digest behind it: a second array in the
+    file, or what else follows the first, is not passed over.
+    """
+    digest = F.md5(F.col("value").cast("binary"))
+    marked = F.try_parse_json(F.concat(F.lit("["), F.col("value"), F.lit(', "'), digest, F.lit('"]')))
+    alone = F.try_variant_get(marked, "$[1]", "string") == digest
+    bodies = spark.read.text(path, wholetext=True).select(F.when(alone, F.try_variant_get(marked, "$[0]", "array<variant>")).alias("body"))
+    array = F.col("body")
     checked = F.when(array.isNull(), F.raise_error(F.lit("a match list must be a JSON array"))).otherwise(array)
     return bodies.select(F.explode(checked).alias("record"))
 
