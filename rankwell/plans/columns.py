@@ -8,7 +8,7 @@ from rankwell.functions import coerce
 from rankwell.operators.extract import extract_match_pages, reparse_stored, slim_pages
 from rankwell.plans import adapter, models
 from rankwell.plans.marts import DIM, DOCUMENTS, WITH, models_of, sql_of
-from rankwell.plans.queries import c, lit, load, match_html, query
+from rankwell.plans.queries import c, lit, load, match_html, order_pages, query
 from rankwell.sources.schemas import tier_seed
 
 BASE = "base AS (SELECT t.*, c_mktsegment, c_nationkey FROM t JOIN customer ON page_id = c_custkey), "
@@ -53,10 +53,9 @@ def mart_recount_spoiled(spark, d):
 @query("SELECT o_orderkey AS page_id, o_orderkey % 5 <> 0 AND o_orderkey % 3 = 0 AS differs FROM orders")
 def reparse_spoiled_pages(spark, d):
     """Stored pages of which every third has another document than its page gives; pages without a block stand."""
-    built = load(spark, d, "orders").select(c("o_orderkey").alias("page_id"), match_html().alias("html"))
-    stored = extract_match_pages(built).withColumn("html", slim_pages(c("html")))
+    stored = extract_match_pages(order_pages(spark, d, match_html()), deal=False).withColumn("html", slim_pages(c("html")))
     spoiled = F.when(c("page_id") % 3 == 0, c("document").withField("status", lit("spoiled"))).otherwise(c("document"))
-    return reparse_stored(stored.withColumn("document", spoiled)).select("page_id", "differs")
+    return reparse_stored(stored.withColumn("document", spoiled), deal=False).select("page_id", "differs")
 
 
 @query("""SELECT event_id, CASE WHEN event_id % 4 <> 0 AND event_id % 4 <> 1 THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END AS k, CASE WHEN event_id % 4 <> 1 THEN event_id % 4 <> 0 END AS readable FROM events""")

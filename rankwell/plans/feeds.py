@@ -144,8 +144,8 @@ CASE WHEN p_partkey % 2 = 1 THEN 1 ELSE 2 END AS round_1_winner, CASE WHEN p_par
 FROM part, (VALUES (1), (2)) AS sides(n)""")
 def match_page_details(spark, d):
     """Veto, halves, team stats, players and rounds of a page for every part, one row a player."""
-    pages = load(spark, d, "part").select("p_partkey", _detailed_page().alias("html"))
-    read = extract_match_pages(pages).select("p_partkey", c("document.veto")[0].alias("v"), c("document.maps")[0].alias("m"))
+    parts = readers.dealt_for_pages(load(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size"))
+    read = extract_match_pages(parts.select("p_partkey", _detailed_page().alias("html")), deal=False).select("p_partkey", c("document.veto")[0].alias("v"), c("document.maps")[0].alias("m"))
     one, two, half = c("m.rounds")[0], c("m.rounds")[1], c("m.halves")
     flat = read.select(
         "p_partkey", c("v.action").alias("veto_action"), c("v.map").alias("veto_map"), c("v.team").alias("veto_team"), c("m.map").alias("map_name"), c("m.score")[1].alias("score_2"),

@@ -424,7 +424,7 @@ def _wikitext() -> F.Column:
 def infobox_fields(spark, d):
     from rankwell.operators.extract import extract_infobox
 
-    pages = load(spark, d, "part").select(lit("dota2").alias("wiki"), c("p_partkey").alias("pageid"), c("p_name").alias("title"), lit("2024-01-01T00:00:00Z").alias("revised_at"), extract_infobox(_wikitext(), "Infobox league").alias("fields"))
+    pages = readers.dealt_for_pages(load(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")).select(lit("dota2").alias("wiki"), c("p_partkey").alias("pageid"), c("p_name").alias("title"), lit("2024-01-01T00:00:00Z").alias("revised_at"), extract_infobox(_wikitext(), "Infobox league").alias("fields"))
     return readers.normalize_tournaments(pages, datetime(2024, 1, 1)).select("page_id", "name", "tier", "start_date", "end_date", "prize_pool_usd", "team_count")
 
 
@@ -439,15 +439,20 @@ def match_html() -> F.Column:
     return F.when(k % 5 != 0, body).otherwise("<p>nothing</p>")
 
 
+def order_pages(spark: SparkSession, d: str, html: F.Column) -> DataFrame:
+    """A page for every order; what is dealt out are the numbers that it is made of."""
+    return readers.dealt_for_pages(load(spark, d, "orders").select("o_orderkey", "o_custkey")).select(c("o_orderkey").alias("page_id"), html.alias("html"))
+
+
 @query("""SELECT o_orderkey AS page_id, CASE WHEN o_orderkey % 5 = 0 THEN 'unparsed' ELSE 'finished' END AS status, CASE WHEN o_orderkey % 5 <> 0 THEN 'T' || o_custkey END AS team_1, CASE WHEN o_orderkey % 5 <> 0 THEN 'T' || (o_custkey + 1) END AS team_2,
 CASE WHEN o_orderkey % 5 <> 0 THEN CAST(o_orderkey % 4 AS INTEGER) END AS score_1, CASE WHEN o_orderkey % 5 <> 0 THEN CAST(o_orderkey % 3 AS INTEGER) END AS score_2, CASE WHEN o_orderkey % 5 <> 0 THEN 1 ELSE 0 END AS map_count FROM orders
 UNION ALL SELECT -page_id - 1, 'unparsed', NULL, NULL, NULL, NULL, 0 FROM pages""")
 def match_page_documents(spark, d):
     from rankwell.operators.extract import extract_match_pages
 
-    built = load(spark, d, "orders").select(c("o_orderkey").alias("page_id"), match_html().alias("html"))
+    built = order_pages(spark, d, match_html())
     both = built.unionByName(load(spark, d, "pages").select((-c("page_id") - 1).alias("page_id"), "html"))
-    pages = extract_match_pages(both.select(lit("valorant").alias("wiki"), c("page_id").cast("string").alias("page_title"), "page_id", lit(0).alias("revision_id"), "html"))
+    pages = extract_match_pages(both.select(lit("valorant").alias("wiki"), c("page_id").cast("string").alias("page_title"), "page_id", lit(0).alias("revision_id"), "html"), deal=False)
     return readers.normalize_match_page(pages, datetime(2024, 1, 1)).select("page_id", "status", "team_1", "team_2", "score_1", "score_2", "map_count")
 
 
@@ -456,10 +461,10 @@ def reparse_all_pages(spark, d):
     """Every order page and every row of pages, with a match block or without."""
     from rankwell.operators.extract import extract_match_pages, reparse_stored, slim_pages
 
-    built = load(spark, d, "orders").select(c("o_orderkey").alias("page_id"), match_html().alias("html"))
+    built = order_pages(spark, d, match_html())
     both = built.unionByName(load(spark, d, "pages").select((-c("page_id") - 1).alias("page_id"), "html"))
-    stored = extract_match_pages(both).withColumn("html", slim_pages(c("html")))
-    return reparse_stored(stored).agg(F.count(lit(1)).alias("pages"), F.count_if("differs").alias("differing"), F.count_if(c("html").isNull()).alias("without_block"))
+    stored = extract_match_pages(both, deal=False).withColumn("html", slim_pages(c("html")))
+    return reparse_stored(stored, deal=False).agg(F.count(lit(1)).alias("pages"), F.count_if("differs").alias("differing"), F.count_if(c("html").isNull()).alias("without_block"))
 
 
 @query("""SELECT o_orderkey + 1 AS match_id, CASE WHEN o_orderkey % 6 = 0 THEN NULL WHEN o_orderkey % 6 = 1 THEN 3 ELSE CAST(o_orderkey % 4000 AS INTEGER) END AS duration_seconds, CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_orderkey % 2 = 0 END AS radiant_win,
@@ -516,7 +521,7 @@ def infobox_columns(spark, d):
         "prizepool": F.concat(k, lit(" EUR")), "localcurrency": lit("eur"), "team_number": c("p_size").cast("string"),
     }
     wikitext = F.concat(lit("{{Infobox league"), *[F.concat(lit(f"\n|{name}="), value) for name, value in fields.items()], lit("\n}}"))
-    pages = load(spark, d, "part").select(lit("dota2").alias("wiki"), c("p_partkey").alias("pageid"), c("p_name").alias("title"), lit("2024-02-03T04:05:06Z").alias("revised_at"), extract_infobox(wikitext, "Infobox league").alias("fields"))
+    pages = readers.dealt_for_pages(load(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")).select(lit("dota2").alias("wiki"), c("p_partkey").alias("pageid"), c("p_name").alias("title"), lit("2024-02-03T04:05:06Z").alias("revised_at"), extract_infobox(wikitext, "Infobox league").alias("fields"))
     rows = readers.normalize_tournaments(pages, datetime(2024, 1, 1))
     kept = [n for n in rows.columns if n not in ("revised_at", "ingested_at", "refreshed_at", "infobox")]
     return rows.select(*kept, F.unix_seconds("revised_at").alias("revised_epoch"), F.date_format("refreshed_at", "yyyy-MM-dd").alias("seen"), F.get_json_object("infobox", "$.name").alias("kept_name"))
@@ -528,8 +533,8 @@ def stored_pages(spark, d):
     from rankwell.operators.extract import extract_match_pages
 
     wrapped = F.concat(lit('<html><p style="x">above</p>'), F.regexp_replace(match_html(), "</div>$", '<div class="match-bm-match-additional">history</div><i style="y" src="z"></i></div>'), lit("<p>below</p></html>"))
-    both = load(spark, d, "orders").select(c("o_orderkey").alias("page_id"), wrapped.alias("html")).unionByName(load(spark, d, "pages").select((-c("page_id") - 1).alias("page_id"), "html"))
-    rows = readers.normalize_match_page(extract_match_pages(both.select(lit("valorant").alias("wiki"), c("page_id").cast("string").alias("page_title"), "page_id", lit(0).alias("revision_id"), "html")), datetime(2024, 1, 1))
+    both = order_pages(spark, d, wrapped).unionByName(load(spark, d, "pages").select((-c("page_id") - 1).alias("page_id"), "html"))
+    rows = readers.normalize_match_page(extract_match_pages(both.select(lit("valorant").alias("wiki"), c("page_id").cast("string").alias("page_title"), "page_id", lit(0).alias("revision_id"), "html"), deal=False), datetime(2024, 1, 1))
     held = lambda what: F.coalesce(c("html").contains(what), lit(False))
     whole = held('<div class="match-bm">') & ~held("above") & ~held("below")
     return rows.select("page_id", whole.alias("has_block"), held("history").alias("has_history"), (held("style=") | held("src=")).alias("has_style"), held("veto-card--ban").alias("has_veto"))

@@ -108,6 +108,16 @@ def dealt(scan: DataFrame) -> DataFrame:
     return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
 
 
+#: Rows of a task whose pages are read in Python, about.
+PAGES_A_TASK = 20_000
+
+
+def dealt_for_pages(rows: DataFrame) -> DataFrame:
+    """Narrow rows that pages are made of, dealt over as many tasks as their number asks for: a compact file is split by
+    its size, and a part of it may hold millions."""
+    return rows.repartition(max(2 * rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // PAGES_A_TASK)))
+
+
 def merge_listing_with_content(listing: DataFrame, content: DataFrame, key: str) -> DataFrame:
     """Every listed page gives a row, with its content if that came back."""
     return listing.join(content, key, "left")
