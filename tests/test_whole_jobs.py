@@ -69,3 +69,36 @@ def test_no_exchange_moves_players_or_rounds_one_by_one(spark):
         unfolded = [i for i, line in enumerate(lines) if "Generate" in line and ("rounds" in line or "players" in line)]
         # what unfolds players or rounds lies under no exchange
         assert unfolded and not [i for i in unfolded for j in range(i) if "Exchange" in lines[j] and depth(lines[j]) < depth(lines[i]) and all(depth(x) > depth(lines[j]) for x in lines[j + 1 : i + 1])], name
+
+
+def test_markup_inside_of_texts(spark, tmp_path):
+    """Marks that a text holds itself are read by the query and by its SQL alike."""
+    texts = ["plain  text", "a [[b|c]] ''d'' {e}", "<b>x</b> <!-- y", "{{t|{{u}}}} [http://z w]", "it''''''s | }} {{", None, "no\n<br />break [x] ]]"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.readable for r in QUERIES["strip_markup_text"](spark, str(tmp_path)).collect()}
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    assert got == dict(con.sql(SQL["strip_markup_text"]).fetchall())
+    # a brace of its own keeps the template around it, as in the SQL
+    assert got[1].startswith("name a c d {e} {{a| {{b|a c d {e}}}}} one two") and got[0] == "name plain text one two label"
+
+
+def test_plain_markup_is_read_as_the_parser_reads_it():
+    from rankwell.operators import extract
+
+    class Parsed(extract.Page):
+        def _plain(self, source):
+            return False
+
+    block = '<div class="match-bm x"><a title="T 1">T<br>1</a><p>open<span data-timestamp="">s</div>tail</q>'
+    for source in (block, f"<html>{block}</html>", "", "text alone", f"{block}<p", block + "a > b", block.replace("T 1", "T\n1"), block + '<i id="1" id="2"></i>', f"<script>{block}</script>", block + "&amp;", block.upper()):
+        plain, parsed = extract.Page(source), Parsed(source)
+        told = lambda page: [(e.tag, e.attributes, e.begin, e.end, e.text_from, e.text_to) if isinstance(e, extract.Element) else e for e in page.items]
+        assert told(plain) == told(parsed), source
+    assert extract.Page("x")._plain(block) and not extract.Page("x")._plain(block + "<!-- c -->")
+    assert extract.block_items("<div class='match&#45;bm'>x</div>")["text"] == "x" and extract.block_items("<p>&amp;</p>") == {"text": None, "items": None}
+
+
+def test_pages_are_dealt_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(readers, "PAGES_A_TASK", 100)
+    assert readers.dealt_for_pages(spark.range(5000).coalesce(1)).rdd.getNumPartitions() == 50
