@@ -466,11 +466,11 @@ def match_page_documents(spark, d):
 @query("SELECT (SELECT count(*) FROM orders) + (SELECT count(*) FROM pages) AS pages, CAST(0 AS BIGINT) AS differing, (SELECT count(*) FROM orders WHERE o_orderkey % 5 = 0) + (SELECT count(*) FROM pages) AS without_block")
 def reparse_all_pages(spark, d):
     """Every order page and every row of pages, with a match block or without."""
-    from rankwell.operators.extract import extract_match_pages, reparse_stored, slim_pages
+    from rankwell.operators.extract import extract_match_pages, reparse_stored
 
     built = order_pages(spark, d, match_html())
     both = built.unionByName(load(spark, d, "pages").select((-c("page_id") - 1).alias("page_id"), "html"))
-    stored = extract_match_pages(both, deal=False).withColumn("html", slim_pages(c("html")))
+    stored = extract_match_pages(both, deal=False, slim="html")
     return reparse_stored(stored, deal=False).agg(F.count(lit(1)).alias("pages"), F.count_if("differs").alias("differing"), F.count_if(c("html").isNull()).alias("without_block"))
 
 
