@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rankwell.functions import coerce
-from rankwell.operators.extract import extract_match_pages, reparse_stored, slim_pages
+from rankwell.operators.extract import extract_match_pages, reparse_stored
 from rankwell.plans import adapter, models
 from rankwell.plans.marts import DIM, DOCUMENTS, WITH, models_of, sql_of
 from rankwell.plans.queries import c, lit, load, match_html, order_pages, query
@@ -53,7 +53,7 @@ def mart_recount_spoiled(spark, d):
 @query("SELECT o_orderkey AS page_id, o_orderkey % 5 <> 0 AND o_orderkey % 3 = 0 AS differs FROM orders")
 def reparse_spoiled_pages(spark, d):
     """Stored pages of which every third has another document than its page gives; pages without a block stand."""
-    stored = extract_match_pages(order_pages(spark, d, match_html()), deal=False).withColumn("html", slim_pages(c("html")))
+    stored = extract_match_pages(order_pages(spark, d, match_html()), deal=False, slim="html")
     spoiled = F.when(c("page_id") % 3 == 0, c("document").withField("status", lit("spoiled"))).otherwise(c("document"))
     return reparse_stored(stored.withColumn("document", spoiled), deal=False).select("page_id", "differs")
 
