@@ -541,7 +541,7 @@ def stored_pages(spark, d):
 
     wrapped = F.concat(lit('<html><p style="x">above</p>'), F.regexp_replace(match_html(), "</div>$", '<div class="match-bm-match-additional">history</div><i style="y" src="z"></i></div>'), lit("<p>below</p></html>"))
     both = order_pages(spark, d, wrapped).unionByName(load(spark, d, "pages").select((-c("page_id") - 1).alias("page_id"), "html"))
-    rows = readers.normalize_match_page(extract_match_pages(both.select(lit("valorant").alias("wiki"), c("page_id").cast("string").alias("page_title"), "page_id", lit(0).alias("revision_id"), "html"), deal=False), datetime(2024, 1, 1))
+    rows = readers.normalize_match_page(extract_match_pages(both.select(lit("valorant").alias("wiki"), c("page_id").cast("string").alias("page_title"), "page_id", lit(0).alias("revision_id"), "html"), deal=False, slim="html"), datetime(2024, 1, 1), stored=True)
     held = lambda what: F.coalesce(c("html").contains(what), lit(False))
     whole = held('<div class="match-bm">') & ~held("above") & ~held("below")
     return rows.select("page_id", whole.alias("has_block"), held("history").alias("has_history"), (held("style=") | held("src=")).alias("has_style"), held("veto-card--ban").alias("has_veto"))

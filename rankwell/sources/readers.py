@@ -149,16 +149,16 @@ def normalize_tournaments(pages: DataFrame, now: datetime, fields: str = "fields
     return stamp(rows, now).select(*TOURNAMENTS.columns)
 
 
-def normalize_match_page(pages: DataFrame, now: datetime, document: str = "document") -> DataFrame:
+def normalize_match_page(pages: DataFrame, now: datetime, document: str = "document", stored: bool = False) -> DataFrame:
     """Raw match page rows from (wiki, page_title, page_id, revision_id, html, document struct); a page that did not
     come back has a null document and the status `missing`. Of the page its match block is stored, without history and
-    heavy attributes: enough to read it again; nothing of a page without a block."""
-    d = F.col(document)
+    heavy attributes: enough to read it again; nothing of a page without a block. With `stored`, html is that already."""
+    d, html = F.col(document), F.col("html")
     rows = pages.select(
         "wiki", "page_title", F.col("page_id").cast("bigint").alias("page_id"), F.col("revision_id").cast("bigint").alias("revision_id"),
         F.when(d.isNull(), "missing").otherwise(F.coalesce(d["status"], F.lit("unknown"))).alias("status"), coerce.epoch_to_ts(d["played_at_epoch"]).alias("played_at"), d["tournament_page"].alias("tournament_page"),
         F.get(d["teams"], F.lit(0))["page"].alias("team_1"), F.get(d["teams"], F.lit(1))["page"].alias("team_2"), F.get(d["score"], F.lit(0)).alias("score_1"), F.get(d["score"], F.lit(1)).alias("score_2"),
-        F.when(d["maps"].isNull(), 0).otherwise(F.size(d["maps"])).alias("map_count"), F.coalesce(F.to_json(d), F.lit('{"status":"missing","teams":[],"veto":[],"maps":[]}')).alias("document"), slim_pages(F.col("html")).alias("html"),
+        F.when(d["maps"].isNull(), 0).otherwise(F.size(d["maps"])).alias("map_count"), F.coalesce(F.to_json(d), F.lit('{"status":"missing","teams":[],"veto":[],"maps":[]}')).alias("document"), (html if stored else slim_pages(html)).alias("html"),
     )
     return stamp(rows, now).select(*PAGES.columns)
 

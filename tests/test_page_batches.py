@@ -57,7 +57,7 @@ def test_stored_pages_lose_heavy_attributes_as_the_expression_has_it(spark):
     assert row.slim == row.plain
 
 
-@pytest.mark.parametrize(("name", "readings"), [("reparse_all_pages", 3), ("reparse_spoiled_pages", 2)])
+@pytest.mark.parametrize(("name", "readings"), [("stored_pages", 2), ("reparse_all_pages", 3), ("reparse_spoiled_pages", 2)])
 def test_a_page_is_read_once_for_document_and_storage(spark, name, readings):
     """Both branches of a union have the first reading; what is read again is the stored page."""
     plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
